@@ -39,5 +39,100 @@ _SQL["term_rank_from_index"] = (
 _SQL["term_rank_one_pass"] = _SQL["term_rank_from_index"]
 
 
+# -- postings ------------------------------------------------------------------
+_P = B.POSTING_KMEANS_FIXED
+_SPREAD = _P.spread
+_M = _P.k // len(B.POSTING_TAGS)
+
+POSTINGS = (
+    "postings AS ("
+    "SELECT 1 AS posting_type, o_orderkey AS id, CAST(NULL AS BIGINT) AS accepted_answer, "
+    "CAST(NULL AS BIGINT) AS parent_id, CAST(0 AS BIGINT) AS score, "
+    "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS tags FROM orders "
+    "UNION ALL "
+    "SELECT CASE WHEN l_linenumber = 7 THEN 3 ELSE 2 END, "
+    f"CAST({B.ANSWER_ID_BASE} + l_orderkey * 10 + l_linenumber AS BIGINT), NULL, "
+    "CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_orderkey END, "
+    f"CAST(trunc(l_quantity) AS BIGINT) - {B.SCORE_OFFSET}, NULL FROM lineitem)")
+VALID = ("valid AS (SELECT CASE WHEN posting_type = 1 THEN id ELSE parent_id END AS qid, * "
+         "FROM postings WHERE posting_type = 1 OR (posting_type = 2 AND parent_id IS NOT NULL))")
+PAIRS = ("pairs AS (SELECT q.qid, q.tags, a.id AS answer_id, a.score AS answer_score "
+         "FROM valid q JOIN valid a ON a.qid = q.qid WHERE q.posting_type = 1 AND a.posting_type = 2)")
+SCORED = "scored AS (SELECT qid, tags, max(answer_score) AS max_score FROM pairs GROUP BY qid, tags)"
+TAGS = f"tags(tag, pos) AS (SELECT * FROM {_values(B.POSTING_TAGS)} v(tag, pos))"
+VECTORS = (f"vectors AS (SELECT s.qid AS id, CAST(t.pos AS BIGINT) * {_SPREAD} AS x, s.max_score AS y "
+           "FROM scored s JOIN tags t ON s.tags = t.tag)")
+HASH = f"md5('{_P.seed}:' || CAST(id AS VARCHAR))"
+SEEDS = (f"seeds AS (SELECT CAST((x // {_SPREAD}) * {_M} + rn - 1 AS INTEGER) AS k, id, x, y FROM "
+         f"(SELECT *, row_number() OVER (PARTITION BY x ORDER BY {HASH}, id) AS rn FROM vectors) "
+         f"WHERE rn <= {_M})")
+C0 = "c0 AS (SELECT k, x AS cx, y AS cy FROM seeds)"
+POSTING_CTES = f"WITH {POSTINGS}, {VALID}, {PAIRS}, {SCORED}, {TAGS}, {VECTORS}"
+SEED_CTES = f"{POSTING_CTES}, {SEEDS}, {C0}"
+
+
+def _assign(name: str, centres: str) -> str:
+    return (f"{name} AS (SELECT id, x, y, k FROM (SELECT v.id, v.x, v.y, c.k, row_number() OVER "
+            "(PARTITION BY v.id ORDER BY (v.x - c.cx) * (v.x - c.cx) + (v.y - c.cy) * (v.y - c.cy), c.k) AS rn "
+            f"FROM vectors v CROSS JOIN {centres} c) WHERE rn = 1)")
+
+
+def _means(name: str, assigned: str) -> str:
+    return (f"{name} AS (SELECT k, CAST(trunc(sum(x) / count(*)) AS BIGINT) AS cx, "
+            "CAST(trunc(sum(y) / count(*)) AS BIGINT) AS cy, count(*) AS n "
+            f"FROM {assigned} GROUP BY k)")
+
+
+def _carry(name: str, old: str, means: str) -> str:
+    return (f"{name} AS (SELECT o.k, coalesce(m.cx, o.cx) AS cx, coalesce(m.cy, o.cy) AS cy "
+            f"FROM {old} o LEFT JOIN {means} m USING (k))")
+
+
+def _rounds(n: int) -> str:
+    """CTEs a1, m1, c1 ... an, mn, cn: n unrolled k-means rounds from c0."""
+    parts = []
+    for r in range(1, n + 1):
+        parts += [_assign(f"a{r}", f"c{r - 1}"), _means(f"m{r}", f"a{r}"), _carry(f"c{r}", f"c{r - 1}", f"m{r}")]
+    return ", ".join(parts)
+
+
+FIT = f"{SEED_CTES}, {_rounds(_P.max_iter)}"
+_CF = f"c{_P.max_iter}"
+STATS = (
+    f"{FIT}, {_assign('af', _CF)}, "
+    "kx AS (SELECT k, x, count(*) AS n FROM af GROUP BY k, x), "
+    "dom AS (SELECT k, x, n AS top, size FROM (SELECT k, x, n, CAST(sum(n) OVER (PARTITION BY k) AS BIGINT) AS size, "
+    "row_number() OVER (PARTITION BY k ORDER BY n DESC, x) AS rn FROM kx) WHERE rn = 1), "
+    "med AS (SELECT k, CAST(trunc(median(y)) AS BIGINT) AS median_score FROM af GROUP BY k), "
+    "stats AS (SELECT d.k, t.tag, CAST((d.top * 100) // d.size AS DOUBLE) AS pct, d.size, m.median_score "
+    f"FROM dom d JOIN med m USING (k) JOIN tags t ON t.pos = d.x // {_SPREAD})")
+
+_SQL["posting_line_parse"] = f"WITH {POSTINGS} SELECT * FROM postings"
+_SQL["posting_valid"] = f"WITH {POSTINGS}, {VALID} SELECT * FROM valid"
+_SQL["qa_pairs"] = f"{POSTING_CTES} SELECT qid, tags, answer_id, answer_score FROM pairs"
+_SQL["qa_groups"] = (f"{POSTING_CTES} SELECT qid, count(*) AS n_answers, min(answer_id) AS min_answer_id, "
+                     "max(answer_id) AS max_answer_id FROM pairs GROUP BY qid")
+_SQL["question_max_score"] = f"{POSTING_CTES} SELECT qid, tags, max_score FROM scored"
+_SQL["tag_score_vectors"] = f"{POSTING_CTES} SELECT id, x, y FROM vectors"
+_SQL["seed_sample_per_tag"] = f"{SEED_CTES} SELECT k, id, x, y FROM seeds"
+_SQL["seed_sample_global"] = (
+    f"{POSTING_CTES} SELECT CAST(row_number() OVER (ORDER BY {HASH}, id) - 1 AS INTEGER) AS k, id, x, y "
+    f"FROM vectors ORDER BY {HASH}, id LIMIT {_P.k}")
+_SQL["nearest_centre"] = f"{SEED_CTES}, {_assign('a1', 'c0')} SELECT id, x, y, k FROM a1"
+_SQL["centre_means"] = f"{SEED_CTES}, {_assign('a1', 'c0')}, {_means('m1', 'a1')} SELECT k, cx, cy, n FROM m1"
+_SQL["kmeans_step"] = f"{SEED_CTES}, {_rounds(1)} SELECT k, cx, cy FROM c1"
+_SQL["centre_movement"] = (
+    f"{SEED_CTES}, {_rounds(1)} SELECT CAST(sum((o.cx - n.cx) * (o.cx - n.cx) + (o.cy - n.cy) * (o.cy - n.cy)) "
+    "AS BIGINT) AS movement FROM c0 o JOIN c1 n USING (k)")
+_SQL["kmeans_fit"] = f"{FIT} SELECT k, cx, cy FROM {_CF}"
+_SQL["cluster_dominant_tag"] = f"{STATS} SELECT k, tag FROM stats"
+_SQL["cluster_percent"] = f"{STATS} SELECT k, pct FROM stats"
+_SQL["cluster_median"] = f"{STATS} SELECT k, median_score FROM stats"
+_SQL["cluster_summary"] = f"{STATS} SELECT k, tag, pct, size, median_score FROM stats ORDER BY median_score, k"
+_SQL["cluster_report"] = (
+    f"{STATS} SELECT k, format('{{:7d}}  {{:<17s}} ({{:<5.1f}}%)      {{:7d}}', median_score, tag, pct, size) "
+    "AS line FROM stats")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)

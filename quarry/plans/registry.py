@@ -8,9 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import terms
+from quarry.operators import clustering, postings, sampling, terms
 from quarry.sources import bindings as B
 from quarry.sources.articles import parse_articles
+from quarry.sources.postings import parse_postings
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -60,3 +61,120 @@ def term_rank_from_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("term_rank_one_pass")
 def term_rank_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.rank_one_pass(B.articles(spark, sf_dir), B.DOC_TERMS)
+
+
+# -- postings, scores, vectors -----------------------------------------------
+
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = postings.question_max_score(B.postings(spark, sf_dir))
+    return postings.tag_vectors(scored, B.POSTING_TAGS, B.POSTING_KMEANS.spread)
+
+
+def _seeds(vectors: DataFrame) -> list[tuple[int, int]]:
+    return sampling.seed_centres(vectors, B.POSTING_KMEANS_FIXED, len(B.POSTING_TAGS))
+
+
+def _fitted(vectors: DataFrame) -> list[tuple[int, int]]:
+    return clustering.kmeans(vectors, _seeds(vectors), B.POSTING_KMEANS_FIXED).centres
+
+
+@query("posting_line_parse")
+def posting_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_postings(B.posting_lines(spark, sf_dir))
+
+
+@query("posting_valid")
+def posting_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.valid_postings(B.postings(spark, sf_dir))
+
+
+@query("qa_pairs")
+def qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.qa_pairs(B.postings(spark, sf_dir))
+
+
+@query("qa_groups")
+def qa_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.qa_groups(postings.qa_pairs(B.postings(spark, sf_dir)))
+
+
+@query("question_max_score")
+def question_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.question_max_score(B.postings(spark, sf_dir))
+
+
+@query("tag_score_vectors")
+def tag_score_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _vectors(spark, sf_dir)
+
+
+@query("seed_sample_per_tag")
+def seed_sample_per_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.sample_per_tag(_vectors(spark, sf_dir), B.POSTING_KMEANS_FIXED, len(B.POSTING_TAGS))
+
+
+@query("seed_sample_global")
+def seed_sample_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = B.POSTING_KMEANS_FIXED
+    return sampling.sample_global(_vectors(spark, sf_dir), p.k, p.seed)
+
+
+@query("nearest_centre")
+def nearest_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _vectors(spark, sf_dir)
+    return clustering.assign(v, _seeds(v)).select("id", "x", "y", "k")
+
+
+@query("centre_means")
+def centre_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _vectors(spark, sf_dir)
+    return clustering.centre_means(clustering.assign(v, _seeds(v)))
+
+
+@query("kmeans_step")
+def kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _vectors(spark, sf_dir)
+    return clustering.step_frame(v, _seeds(v))
+
+
+@query("centre_movement")
+def centre_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _vectors(spark, sf_dir)
+    seeds = _seeds(v)
+    return clustering.movement_frame(clustering.centres_frame(spark, seeds), clustering.step_frame(v, seeds))
+
+
+@query("kmeans_fit")
+def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.centres_frame(spark, _fitted(_vectors(spark, sf_dir)))
+
+
+def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _vectors(spark, sf_dir)
+    p = B.POSTING_KMEANS_FIXED
+    return clustering.cluster_stats(v, _fitted(v), B.POSTING_TAGS, p.spread)
+
+
+@query("cluster_dominant_tag")
+def cluster_dominant_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stats(spark, sf_dir).select("k", "tag")
+
+
+@query("cluster_percent")
+def cluster_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stats(spark, sf_dir).select("k", "pct")
+
+
+@query("cluster_median")
+def cluster_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stats(spark, sf_dir).select("k", "median_score")
+
+
+@query("cluster_summary")
+def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stats(spark, sf_dir)
+
+
+@query("cluster_report")
+def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster_report(_stats(spark, sf_dir))
