@@ -134,5 +134,37 @@ _SQL["cluster_report"] = (
     "AS line FROM stats")
 
 
+# -- time use --------------------------------------------------------------------
+RESPONDENTS = (
+    "respondents AS (SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS tucaseid, "
+    "CAST(l_linenumber AS DOUBLE) AS telfs, CAST(1 + l_partkey % 2 AS DOUBLE) AS tesex, "
+    "CAST(l_quantity + 15 AS DOUBLE) AS teage, "
+    "CAST((l_orderkey * 7 + l_partkey) % 600 AS DOUBLE) AS t010101, "
+    "CAST((l_partkey * 11) % 120 AS DOUBLE) AS t110101, "
+    "CAST((l_suppkey * 13 + l_orderkey) % 90 AS DOUBLE) AS t180301, "
+    "CAST((l_orderkey * 3 + l_linenumber) % 480 AS DOUBLE) AS t050101, "
+    "CAST((l_partkey * 5) % 45 AS DOUBLE) AS t180501, "
+    "CAST((l_orderkey + l_suppkey) % 200 AS DOUBLE) AS t120301, "
+    "CAST((l_partkey + l_linenumber) % 60 AS DOUBLE) AS t181201, "
+    "CAST(l_linenumber AS DOUBLE) AS t500101 FROM lineitem)")
+RECODES = ("CASE WHEN telfs >= 1 AND telfs < 3 THEN 'working' ELSE 'not working' END AS working, "
+           "CASE WHEN tesex = 1 THEN 'male' ELSE 'female' END AS sex, "
+           "CASE WHEN teage <= 22 THEN 'young' WHEN teage <= 55 THEN 'active' ELSE 'elder' END AS age")
+HOURS = ("t010101 / 60 + t110101 / 60 + t180301 / 60 AS primaryNeeds, "
+         "t050101 / 60 + t180501 / 60 AS work, t120301 / 60 + t181201 / 60 AS other")
+SUMMARY = f"WITH {RESPONDENTS}, summed AS (SELECT {RECODES}, {HOURS} FROM respondents WHERE telfs <= 4)"
+GROUPED = (f"{SUMMARY} SELECT working, sex, age, round(avg(primaryNeeds), 1) AS primaryNeeds, "
+           "round(avg(work), 1) AS work, round(avg(other), 1) AS other FROM summed "
+           "GROUP BY working, sex, age ORDER BY working, sex, age")
+
+_SQL["wide_read"] = f"WITH {RESPONDENTS} SELECT * FROM respondents"
+_SQL["respondent_recode"] = f"WITH {RESPONDENTS} SELECT tucaseid, {RECODES} FROM respondents"
+_SQL["activity_hours"] = f"WITH {RESPONDENTS} SELECT tucaseid, {HOURS} FROM respondents"
+_SQL["respondent_summary"] = f"{SUMMARY} SELECT * FROM summed"
+_SQL["summary_grouped"] = GROUPED
+_SQL["summary_grouped_sql"] = GROUPED
+_SQL["summary_grouped_typed"] = GROUPED
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)

@@ -6,12 +6,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quarry.operators import clustering, postings, sampling, terms
+from quarry.operators import clustering, postings, sampling, terms, timeuse
 from quarry.sources import bindings as B
 from quarry.sources.articles import parse_articles
 from quarry.sources.postings import parse_postings
+from quarry.sources.wide import parse_wide_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -178,3 +178,49 @@ def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("cluster_report")
 def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster_report(_stats(spark, sf_dir))
+
+
+# -- time use ------------------------------------------------------------------
+
+def _respondents(spark: SparkSession, sf_dir: str):
+    r = B.respondents(spark, sf_dir)
+    return r, timeuse.classify_columns(r.columns)
+
+
+@query("wide_read")
+def wide_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, df = parse_wide_lines(B.respondent_lines(spark, sf_dir))
+    return df
+
+
+@query("respondent_recode")
+def respondent_recode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, _ = _respondents(spark, sf_dir)
+    return timeuse.recoded(r, keep=("tucaseid",))
+
+
+@query("activity_hours")
+def activity_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, (p, w, o) = _respondents(spark, sf_dir)
+    return timeuse.activity_hours(r, p, w, o, keep=("tucaseid",))
+
+
+@query("respondent_summary")
+def respondent_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, (p, w, o) = _respondents(spark, sf_dir)
+    return timeuse.respondent_summary(r, p, w, o)
+
+
+@query("summary_grouped")
+def summary_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeuse.summary_grouped(respondent_summary(spark, sf_dir))
+
+
+@query("summary_grouped_sql")
+def summary_grouped_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeuse.summary_grouped_sql(respondent_summary(spark, sf_dir))
+
+
+@query("summary_grouped_typed")
+def summary_grouped_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeuse.summary_grouped_typed(timeuse.summary_typed(respondent_summary(spark, sf_dir)))
