@@ -31,12 +31,12 @@ MAX_EMPLOYABLE_STATUS = 4
 
 GROUP_KEYS = ("working", "sex", "age")
 MEASURES = ("primaryNeeds", "work", "other")
-# Names and types are enforced; the measures stay nullable because parquet and
-# CSV readers mark every column nullable (`to()` refuses to narrow that).
+# Names and types are enforced; fields stay nullable because parquet and CSV
+# readers mark every column nullable (`to()` refuses to narrow that).
 TIME_USAGE_ROW = T.StructType([
-    T.StructField("working", T.StringType(), False),
-    T.StructField("sex", T.StringType(), False),
-    T.StructField("age", T.StringType(), False),
+    T.StructField("working", T.StringType(), True),
+    T.StructField("sex", T.StringType(), True),
+    T.StructField("age", T.StringType(), True),
     T.StructField("primaryNeeds", T.DoubleType(), True),
     T.StructField("work", T.DoubleType(), True),
     T.StructField("other", T.DoubleType(), True),
@@ -123,7 +123,10 @@ def summary_grouped_sql(summed: DataFrame, view: str = "summed") -> DataFrame:
 
 def summary_typed(summed: DataFrame) -> DataFrame:
     """Rows forced to the fixed row schema by name (reordered, cast; a
-    missing column is an error)."""
+    missing column is an error, where `to()` alone would fill in nulls)."""
+    missing = [f.name for f in TIME_USAGE_ROW.fields if f.name not in summed.columns]
+    if missing:
+        raise ValueError(f"columns missing for the time-usage row: {missing}")
     return summed.to(TIME_USAGE_ROW)
 
 

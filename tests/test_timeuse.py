@@ -1,0 +1,95 @@
+import pytest
+
+from conftest import SF_SMALL
+from quarry.functions.recode import hours_sum
+from quarry.operators import timeuse as TU
+from quarry.sources import bindings as B
+
+
+def test_classification_first_class_wins_order_kept():
+    names = ["tucaseid", "t1805x", "t010101", "t180101", "t050101", "t1801", "t18999", "t0301",
+             "t1212", "t500101", "telfs", "t1803"]
+    p, w, o = TU.classify_columns(names)
+    assert p == ["t010101", "t180101", "t1801", "t0301", "t1803"]
+    assert w == ["t1805x", "t050101"]
+    assert o == ["t18999", "t1212"]
+
+
+def test_classification_as_data_agrees(spark):
+    names = list(B.RESPONDENT_COLUMNS) + ["t1805", "t0999", "t17"]
+    frame = {r["name"]: r["class"] for r in TU.classify_frame(spark, names).collect()}
+    p, w, o = TU.classify_columns(names)
+    for n in names:
+        expect = "primary" if n in p else "work" if n in w else "other" if n in o else None
+        assert frame[n] == expect
+
+
+def test_recode_boundaries(spark):
+    df = spark.createDataFrame([(1.0, 1.0, 22.0), (2.99, 2.0, 23.0), (3.0, 1.0, 55.0), (0.5, 2.0, 56.0),
+                                (4.0, 1.0, 3.0)], "telfs double, tesex double, teage double")
+    got = [tuple(r) for r in TU.recoded(df).collect()]
+    assert got == [("working", "male", "young"), ("working", "female", "active"),
+                   ("not working", "male", "active"), ("not working", "female", "elder"),
+                   ("not working", "male", "young")]
+
+
+def test_empty_group_is_an_error():
+    with pytest.raises(ValueError, match="work"):
+        hours_sum([], "work")
+
+
+def test_hours_divide_then_add_left_to_right(spark):
+    df = spark.createDataFrame([(10.0, 20.0, 7.0)], "a double, b double, c double")
+    got = df.select(hours_sum(["a", "b", "c"], "g").alias("h")).collect()[0]["h"]
+    assert got == 10.0 / 60 + 20.0 / 60 + 7.0 / 60
+
+
+def test_summary_filters_not_employable(spark):
+    r = B.respondents(spark, SF_SMALL)
+    p, w, o = TU.classify_columns(r.columns)
+    s = TU.respondent_summary(r, p, w, o)
+    assert s.count() == r.where("telfs <= 4").count()
+    assert s.columns == ["working", "sex", "age", "primaryNeeds", "work", "other"]
+
+
+def test_three_grouped_forms_agree(spark):
+    r = B.respondents(spark, SF_SMALL)
+    p, w, o = TU.classify_columns(r.columns)
+    s = TU.respondent_summary(r, p, w, o)
+    a = [tuple(x) for x in TU.summary_grouped(s).collect()]
+    b = [tuple(x) for x in TU.summary_grouped_sql(s, "summed_test").collect()]
+    c = [tuple(x) for x in TU.summary_grouped_typed(TU.summary_typed(s)).collect()]
+    assert a == b == c
+    assert len(a) == 12
+    assert [x[:3] for x in a] == sorted(x[:3] for x in a)
+
+
+def test_grouped_brute_force(spark):
+    r = B.respondents(spark, SF_SMALL)
+    p, w, o = TU.classify_columns(r.columns)
+    rows = TU.respondent_summary(r, p, w, o).collect()
+    groups = {}
+    for x in rows:
+        groups.setdefault((x["working"], x["sex"], x["age"]), []).append(x)
+    got = {tuple(x[:3]): tuple(x[3:]) for x in TU.summary_grouped(TU.respondent_summary(r, p, w, o)).collect()}
+    for key, xs in groups.items():
+        for i, m in enumerate(TU.MEASURES):
+            mean = sum(x[m] for x in xs) / len(xs)
+            assert abs(got[key][i] - mean) <= 0.05 + 1e-9
+
+
+def test_round_half_up(spark):
+    df = spark.createDataFrame([("working", "male", "young", 0.25, -0.25, 1.0)],
+                               "working string, sex string, age string, primaryNeeds double, work double, other double")
+    r = TU.summary_grouped(df).collect()[0]
+    assert (r["primaryNeeds"], r["work"]) == (0.3, -0.3)
+
+
+def test_typed_form_enforces_names_and_types(spark):
+    df = spark.createDataFrame([("a", "b", "c", 1, 2, 3)],
+                               "sex string, working string, age string, work int, primaryNeeds int, other int")
+    t = TU.summary_typed(df)
+    assert t.columns == ["working", "sex", "age", "primaryNeeds", "work", "other"]
+    assert [f.dataType.simpleString() for f in t.schema.fields][3:] == ["double"] * 3
+    with pytest.raises(ValueError, match="other"):
+        TU.summary_typed(df.drop("other"))
