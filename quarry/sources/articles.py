@@ -49,12 +49,10 @@ def parse_articles(lines: DataFrame, *, value: str = "value", mode: str = "stric
     ok, title, text = _layout(v, marker, prefix_len, suffix_len)
     keep = [F.col(c) for c in lines.columns if c != value]
     if mode == "strict":
+        # A filter, not a column: column pruning cannot drop the check.
         err = F.raise_error(F.concat(F.lit("malformed article line: "), F.substring(v, 1, 80)))
-        return lines.select(
-            *keep,
-            F.when(ok, title).otherwise(err).alias("title"),
-            F.when(ok, text).otherwise(err).alias("text"),
-        )
+        return (lines.where(F.coalesce(F.when(~F.coalesce(ok, F.lit(False)), err), F.lit(True)))
+                .select(*keep, title.alias("title"), text.alias("text")))
     if mode == "lenient":
         flagged = lines.withColumn("_ok", F.coalesce(ok, F.lit(False)))
         good = flagged.where("_ok").select(*keep, title.alias("title"), text.alias("text"))

@@ -13,6 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 POSTING_COLUMNS = ("posting_type", "id", "accepted_answer", "parent_id", "score", "tags")
+# --- Fixed value: a valid line. Integer fields 0, 1 and 4 are required, 2
+# and 3 may be empty; anything may follow a fifth comma. Digit counts keep the
+# values inside int (type) and bigint (ids, score).
+LINE_PATTERN = (r"^[+-]?[0-9]{1,9},[+-]?[0-9]{1,18},([+-]?[0-9]{1,18})?,"
+                r"([+-]?[0-9]{1,18})?,[+-]?[0-9]{1,18}(,.*)?$")
+# ---------------------------------------------------------------------------
 # Integer fields and whether they may be empty.
 _INT_FIELDS = (("posting_type", 0, False, "int"), ("id", 1, False, "bigint"),
                ("accepted_answer", 2, True, "bigint"), ("parent_id", 3, True, "bigint"),
@@ -32,30 +38,27 @@ def parse_postings(lines: DataFrame, *, value: str = "value", mode: str = "stric
 
     mode="strict": a missing or non-integer required field fails the job.
     mode="lenient": returns ``(postings, rejects)``.
+
+    The layout is checked once per line by one anchored pattern, in a filter
+    (a filter survives column pruning; a check inside an output column would
+    be dropped with the column). The fields are then split and cast once.
     """
-    fields = F.split(F.col(value), ",")
-    parsed: dict[str, Column] = {}
-    bad: list[Column] = []
+    if mode not in ("strict", "lenient"):
+        raise ValueError(f"unknown mode {mode!r}")
+    v = F.col(value)
+    ok = v.rlike(LINE_PATTERN)
+    fields = F.split(v, ",")
+    types = {name: typ for name, _, _, typ in _INT_FIELDS}
+    parsed = []
     for name, i, optional, typ in _INT_FIELDS:
         raw = F.get(fields, i)
-        s = F.nullif(raw, F.lit("")) if optional else raw
-        n = s.try_cast(typ)
-        parsed[name] = n
-        # required: must be present and an integer; optional: empty or an integer
-        bad.append(n.isNull() if not optional else (s.isNotNull() & n.isNull()))
+        parsed.append((F.nullif(raw, F.lit("")) if optional else raw).cast(types[name]).alias(name))
     # JVM split drops trailing empty fields, so an empty sixth field is "no tag".
-    parsed["tags"] = F.nullif(F.get(fields, 5), F.lit(""))
-    is_bad = F.coalesce(*[F.when(b, F.lit(True)) for b in bad], F.lit(False))
+    parsed.append(F.nullif(F.get(fields, 5), F.lit("")).alias("tags"))
     if mode == "strict":
-        err = F.raise_error(F.concat(F.lit("malformed posting line: "), F.substring(F.col(value), 1, 80)))
-        types = {name: typ for name, _, _, typ in _INT_FIELDS}
-        return lines.select(*[
-            F.when(~is_bad, parsed[c]).otherwise(err).cast(types.get(c, "string")).alias(c)
-            for c in POSTING_COLUMNS
-        ])
-    if mode == "lenient":
-        flagged = lines.withColumn("_bad", is_bad)
-        good = flagged.where(~F.col("_bad")).select(*[parsed[c].alias(c) for c in POSTING_COLUMNS])
-        rejects = flagged.where(F.col("_bad")).drop("_bad")
-        return good, rejects
-    raise ValueError(f"unknown mode {mode!r}")
+        err = F.raise_error(F.concat(F.lit("malformed posting line: "), F.substring(v, 1, 80)))
+        return lines.where(F.coalesce(F.when(~ok, err), F.lit(True))).select(*parsed)
+    flagged = lines.withColumn("_ok", F.coalesce(ok, F.lit(False)))
+    good = flagged.where(F.col("_ok")).select(*parsed)
+    rejects = flagged.where(~F.col("_ok")).select(v.alias(value))
+    return good, rejects

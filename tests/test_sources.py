@@ -135,3 +135,10 @@ def test_wide_projection_prunes_the_scan(spark):
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_linenumber), LessThanOrEqual(l_linenumber,4)]" in plan
     assert "l_returnflag" not in plan and "l_shipdate" not in plan
+
+
+def test_strict_checks_survive_column_pruning(spark):
+    with pytest.raises(Exception, match="malformed posting line"):
+        parse_postings(lines_df(spark, ["1,2,,,0,C#", "1,x,,,0"])).select("tags").collect()
+    with pytest.raises(Exception, match="malformed article line"):
+        parse_articles(lines_df(spark, ["no marker"])).select().count()
