@@ -18,7 +18,7 @@ sys.path.insert(0, ROOT)
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from quarry.operators import clustering, postings, sampling, terms, timeuse  # noqa: E402
+from quarry.operators import clustering, postings  # noqa: E402
 from quarry.plans.registry import queries  # noqa: E402
 from quarry.sources import bindings as B  # noqa: E402
 
@@ -38,21 +38,23 @@ def session(cpus: int) -> SparkSession:
     return spark
 
 
-def consume(df: DataFrame, big: bool) -> None:
+def consume(df: DataFrame | None, big: bool) -> None:
+    if df is None:
+        return
     if big:
         df.write.format("noop").mode("overwrite").save()
     else:
         df.collect()
 
 
-def stackoverflow_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stackoverflow_pipeline(spark: SparkSession, sf_dir: str) -> None:
     """Postings -> best scores -> vectors -> seeds -> k-means (eta 20, up to
-    120 rounds) -> cluster report, as the reference's main program."""
+    120 rounds) -> cluster report, as the reference's main program (the
+    report's k lines come back to the driver inside the run)."""
     p = B.POSTING_KMEANS
     v = postings.tag_vectors(postings.question_max_score(B.postings(spark, sf_dir)), B.POSTING_TAGS, p.spread)
-    seeds = sampling.seed_centres(v, p, len(B.POSTING_TAGS))
-    fit = clustering.kmeans(v, seeds, p)
-    return clustering.cluster_report(clustering.cluster_stats(v, fit.centres, B.POSTING_TAGS, p.spread))
+    run = clustering.run_clustering(v, p, B.POSTING_TAGS)
+    assert len(run.report) == len(clustering.REPORT_HEADER) + len(run.stats)
 
 
 def main() -> None:

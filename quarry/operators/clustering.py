@@ -14,12 +14,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.numeric import sq_distance, trunc_div
-from quarry.functions.report import report_line
+from quarry.functions.report import REPORT_HEADER, report_line
 from quarry.params import KMeansParams, Vocabulary
 from quarry.session import keep
 
@@ -115,13 +115,14 @@ class KMeansResult:
 
 
 def kmeans(vectors: DataFrame, initial: Centres, params: KMeansParams, *,
-           checkpoint: bool = True) -> KMeansResult:
+           checkpoint: bool = True, keep_points: bool = True) -> KMeansResult:
     """Rounds of assign -> mean -> keep old centre if empty -> movement, until
     the movement is below eta or max_iter rounds ran; the new centres of the
-    last round are returned either way."""
+    last round are returned either way. `keep_points=False` when the caller
+    already keeps `vectors`."""
     if len(initial) != params.k:
         raise ValueError(f"{len(initial)} initial centres for k={params.k}")
-    points = keep(vectors.select("x", "y"), reliable=checkpoint)
+    points = keep(vectors.select("x", "y"), reliable=checkpoint) if keep_points else vectors
     try:
         result = KMeansResult(centres=list(initial))
         for it in range(1, params.max_iter + 1):
@@ -134,27 +135,30 @@ def kmeans(vectors: DataFrame, initial: Centres, params: KMeansParams, *,
                 break
         return result
     finally:
-        points.unpersist()
+        if keep_points:
+            points.unpersist()
 
 
 def cluster_stats(vectors: DataFrame, centres: Centres, tags: Vocabulary, spread: int) -> DataFrame:
     """`k, tag, pct, size, median_score` per non-empty cluster, by median.
 
     One pass over the points reduces them to counts per (cluster, tag
-    coordinate, score); the dominant tag (most points, lowest coordinate on a
-    tie), its integer percentage, the size and the exact median (mean of the
-    two middle scores when even, truncated toward zero) all come from that
-    small table: the median is a frequency-weighted percentile."""
+    coordinate, score) with a partial + final count. Everything else comes
+    from that small table in one chain: a window sums the counts per (cluster,
+    tag); one aggregate per cluster then takes the dominant tag (most points,
+    lowest coordinate on a tie), its count, the size, and the exact median as
+    a frequency-weighted percentile (mean of the two middle scores when the
+    size is even), truncated toward zero."""
     counts = (assign(vectors, centres).groupBy("k", "x", "y")
               .agg(F.count(F.lit(1)).alias("n")))
-    per_tag = counts.groupBy("k", "x").agg(F.sum("n").alias("n"))
-    dominant = per_tag.groupBy("k").agg(
-        F.max_by("x", F.struct(F.col("n"), -F.col("x"))).alias("x"),
-        F.max("n").alias("top"),
+    per_tag = counts.withColumn("n_tag", F.sum("n").over(Window.partitionBy("k", "x")))
+    per_cluster = per_tag.groupBy("k").agg(
+        F.max_by("x", F.struct(F.col("n_tag"), -F.col("x"))).alias("x"),
+        F.max("n_tag").alias("top"),
         F.sum("n").alias("size"),
+        F.percentile("y", 0.5, F.col("n")).alias("_median"),
     )
-    medians = counts.groupBy("k").agg(F.percentile("y", 0.5, F.col("n")).alias("_median"))
-    return (dominant.join(medians, "k")
+    return (per_cluster
             .select(
                 "k",
                 tags.label(trunc_div("x", F.lit(spread))).alias("tag"),
@@ -165,6 +169,32 @@ def cluster_stats(vectors: DataFrame, centres: Centres, tags: Vocabulary, spread
             .orderBy("median_score", "k"))
 
 
+@dataclass
+class ClusterRun:
+    fit: KMeansResult
+    stats: list          # rows of `cluster_stats`, ordered by median
+    report: list[str]    # header lines, then one line per cluster
+
+
+def run_clustering(vectors: DataFrame, params: KMeansParams, tags: Vocabulary, *,
+                   checkpoint: bool = True) -> ClusterRun:
+    """The whole clustering program: keep the points once, draw the seeds,
+    iterate, then the per-cluster statistics and report lines (k rows each,
+    k is a parameter) from the same kept points."""
+    from quarry.operators.sampling import seed_centres
+
+    points = keep(vectors.select("id", "x", "y"), reliable=checkpoint)
+    try:
+        seeds = seed_centres(points, params, len(tags))
+        fit = kmeans(points, seeds, params, keep_points=False)
+        stats = cluster_stats(points, fit.centres, tags, params.spread)
+        rows = cluster_report(stats).join(stats, "k").orderBy("median_score", "k").collect()
+        return ClusterRun(fit=fit, stats=[r.asDict() for r in rows],
+                          report=list(REPORT_HEADER) + [r["line"] for r in rows])
+    finally:
+        points.unpersist()
+
+
 def cluster_report(stats: DataFrame) -> DataFrame:
     """`k, line`: the fixed-width report line of every cluster."""
     return stats.select("k", report_line().alias("line"))

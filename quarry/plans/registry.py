@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.operators import clustering, postings, sampling, terms, timeuse
+from quarry.session import keep
 from quarry.sources import bindings as B
 from quarry.sources.articles import parse_articles
 from quarry.sources.postings import parse_postings
@@ -75,7 +76,12 @@ def _seeds(vectors: DataFrame) -> list[tuple[int, int]]:
 
 
 def _fitted(vectors: DataFrame) -> list[tuple[int, int]]:
-    return clustering.kmeans(vectors, _seeds(vectors), B.POSTING_KMEANS_FIXED).centres
+    """Seeds and rounds over the same kept points (computed once)."""
+    points = keep(vectors.select("id", "x", "y"))
+    try:
+        return clustering.kmeans(points, _seeds(points), B.POSTING_KMEANS_FIXED, keep_points=False).centres
+    finally:
+        points.unpersist()
 
 
 @query("posting_line_parse")

@@ -176,3 +176,17 @@ def test_end_to_end_on_binding_matches_brute_force(spark):
     assert got == py_stats(pts, res.centres, B.POSTING_TAGS.terms, 50000)
     assert sum(s[2] for s in got.values()) == len(pts)
     assert statistics.mean(s[1] for s in got.values()) > 0
+
+
+def test_run_clustering_report(spark):
+    scored = P.question_max_score(B.postings(spark, SF_SMALL))
+    v = P.tag_vectors(scored, B.POSTING_TAGS, 50000)
+    params = KMeansParams(spread=50000, k=8, eta=20.0, max_iter=40, seed=42)
+    run = C.run_clustering(v, params, B.POSTING_TAGS)
+    pts = [(r["x"], r["y"]) for r in v.collect()]
+    assert run.fit.centres == py_kmeans(pts, S.seed_centres(v, params, 4), 20.0, 40)
+    assert run.report[:3] == list(C.REPORT_HEADER)
+    meds = [r["median_score"] for r in run.stats]
+    assert meds == sorted(meds) and len(run.report) == 3 + len(run.stats)
+    assert run.report[3] == "%7d  %-17s (%-5.1f%%)      %7d" % (
+        run.stats[0]["median_score"], run.stats[0]["tag"], run.stats[0]["pct"], run.stats[0]["size"])
