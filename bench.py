@@ -47,7 +47,7 @@ def consume(df: DataFrame | None, big: bool) -> None:
         df.collect()
 
 
-def stackoverflow_pipeline(spark: SparkSession, sf_dir: str) -> None:
+def clustering_program(spark: SparkSession, sf_dir: str) -> None:
     """Postings -> best scores -> vectors -> seeds -> k-means (eta 20, up to
     120 rounds) -> cluster report, as the reference's main program (the
     report's k lines come back to the driver inside the run)."""
@@ -76,7 +76,7 @@ def main() -> None:
         ("question_max_score", q["question_max_score"], True),
         ("tag_score_vectors", q["tag_score_vectors"], True),
         ("kmeans_fit_5_rounds", q["kmeans_fit"], False),
-        ("stackoverflow_pipeline", stackoverflow_pipeline, False),
+        ("clustering_program", clustering_program, False),
         ("wide_read", q["wide_read"], True),
         ("summary_grouped", q["summary_grouped"], False),
         ("summary_grouped_sql", q["summary_grouped_sql"], False),
