@@ -76,14 +76,16 @@ def step_frame(vectors: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFr
     or its old centre when it got no point."""
     old = centres_frame(vectors.sparkSession, centres)
     new = centre_means(assign(vectors, centres)).select("k", F.col("cx").alias("_nx"), F.col("cy").alias("_ny"))
-    return (old.join(new, "k", "left")
+    # `new` has at most one row per centre index: k rows, k is a parameter.
+    return (old.join(F.broadcast(new), "k", "left")
             .select("k", F.coalesce("_nx", "cx").alias("cx"), F.coalesce("_ny", "cy").alias("cy")))
 
 
 def movement_frame(old: DataFrame, new: DataFrame) -> DataFrame:
-    """`movement`: summed squared distance between matching centres."""
+    """`movement`: summed squared distance between matching centres (both
+    frames hold one row per centre index, k rows)."""
     n = new.select("k", F.col("cx").alias("_nx"), F.col("cy").alias("_ny"))
-    return (old.join(n, "k", "inner")
+    return (old.join(F.broadcast(n), "k", "inner")
             .agg(F.sum(sq_distance("cx", "cy", "_nx", "_ny")).cast("bigint").alias("movement")))
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.numeric import trunc_div
 from quarry.functions.text import mentions, tokens, vocabulary_hits
 from quarry.params import LITERAL_VOCAB_MAX, Vocabulary
 
@@ -77,7 +78,10 @@ def index_blocks(index: DataFrame, *, key: str = "doc_id", title: str = "title",
     `block_ids` distinct ids, however common the term."""
     if block_ids <= 0:
         raise ValueError("block_ids must be positive")
-    return (index.groupBy("term", F.floor(F.col(key) / F.lit(block_ids)).alias("block"))
+    # exact floor division, also for negative or very large ids
+    k, b = F.col(key), F.lit(block_ids)
+    block = trunc_div(k - F.pmod(k, b), b)
+    return (index.groupBy("term", block.alias("block"))
             .agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias(key), F.col(title).alias(title))))
                  .alias("articles")))
 

@@ -30,10 +30,7 @@ def keep(df: DataFrame, *, reliable: bool = True) -> DataFrame:
     """
     spark = df.sparkSession
     if reliable and checkpoint_dir(spark):
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        written = cached.checkpoint(eager=True)
-        kept = written.persist(StorageLevel.MEMORY_AND_DISK)
-        kept.count()
-        cached.unpersist()
-        return kept
+        # One job computes the frame and writes it to the shared folder; the
+        # first reader then fills the cache from the checkpoint files.
+        return df.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
