@@ -1,12 +1,17 @@
 """k-means over integer 2-d points with truncating integer means, and the
 per-cluster statistics.
 
-Plan per round: the points are kept (persisted, and checkpointed when the
-session names a checkpoint folder); the k centres travel as one literal array
-inside the expression, so assigning a point is a projection with no join;
-the means are a partial + final `sum/count` per cluster, so every task
-shuffles at most k rows whatever the cluster sizes; only k rows come back to
-the driver. The plan shape is the same every round, only the literal changes.
+Before the rounds, equal points are collapsed to `x, y, w` (w = how many)
+with a partial + final count: points are (tag coordinate, score) pairs, so
+there are far fewer distinct points than points, and weighted sums give the
+very same integer means, counts and medians. The weighted points are kept
+(persisted, and checkpointed when the session names a checkpoint folder).
+
+Plan per round: the k centres travel as one literal array inside the
+expression, so assigning a point is a projection with no join; the means are
+a partial + final weighted `sum` per cluster, so every task shuffles at most k
+rows whatever the cluster sizes; only k rows come back to the driver. The plan
+shape is the same every round, only the literal changes.
 """
 
 from __future__ import annotations
@@ -32,24 +37,26 @@ CENTRE_SCHEMA = T.StructType([
 ])
 
 
-def centres_literal(centres: Sequence[tuple[int, int]]) -> Column:
-    """array<struct<k int, cx bigint, cy bigint>>; folded to one literal."""
+def _centres_sql(centres: Sequence[tuple[int, int]]) -> str:
     if not centres:
         raise ValueError("no centres")
-    return F.array(*[
-        F.struct(F.lit(i).cast("int").alias("k"), F.lit(cx).cast("bigint").alias("cx"),
-                 F.lit(cy).cast("bigint").alias("cy"))
-        for i, (cx, cy) in enumerate(centres)
-    ])
+    return "array(" + ", ".join(
+        f"named_struct('k', {i}, 'cx', {int(cx)}L, 'cy', {int(cy)}L)"
+        for i, (cx, cy) in enumerate(centres)) + ")"
+
+
+def centres_literal(centres: Sequence[tuple[int, int]]) -> Column:
+    """array<struct<k int, cx bigint, cy bigint>>; folded to one literal."""
+    return F.expr(_centres_sql(centres))
 
 
 def nearest(centres: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> Column:
     """Index of the centre with the least squared distance; the lowest index
-    wins a tie (struct order: distance, then index)."""
-    cs = centres_literal(centres)
-    best = F.array_min(F.transform(cs, lambda c: F.struct(
-        sq_distance(F.col(x), F.col(y), c["cx"], c["cy"]).alias("d"), c["k"].alias("k"))))
-    return best.getField("k")
+    wins a tie (struct order: distance, then index). Built as one expression
+    string: one call to the JVM per round instead of one per literal."""
+    dx, dy = f"(`{x}` - c.cx)", f"(`{y}` - c.cy)"
+    return F.expr(f"array_min(transform({_centres_sql(centres)}, "
+                  f"c -> named_struct('d', {dx} * {dx} + {dy} * {dy}, 'k', c.k))).k")
 
 
 def assign(vectors: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
@@ -57,11 +64,23 @@ def assign(vectors: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
     return vectors.withColumn("k", nearest(centres))
 
 
-def centre_means(assigned: DataFrame) -> DataFrame:
+def _weight(weight: str | None) -> Column:
+    return F.col(weight) if weight else F.lit(1).cast("bigint")
+
+
+def weighted_points(vectors: DataFrame) -> DataFrame:
+    """`x, y, w`: the distinct points and how many times each occurs."""
+    return vectors.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
+
+
+def centre_means(assigned: DataFrame, weight: str | None = None) -> DataFrame:
     """`k, cx, cy, n` for clusters with points: bigint sums, divided with
-    truncation toward zero. Empty clusters are absent."""
+    truncation toward zero. Empty clusters are absent. With `weight`, each
+    row stands for that many equal points."""
+    w = _weight(weight)
     return (assigned.groupBy("k")
-            .agg(F.sum("x").alias("_sx"), F.sum("y").alias("_sy"), F.count(F.lit(1)).alias("n"))
+            .agg(F.sum(F.col("x") * w).alias("_sx"), F.sum(F.col("y") * w).alias("_sy"),
+                 F.sum(w).alias("n"))
             .select("k", trunc_div("_sx", "n").alias("cx"), trunc_div("_sy", "n").alias("cy"), "n"))
 
 
@@ -96,9 +115,10 @@ def movement(old: Sequence[tuple[int, int]], new: Sequence[tuple[int, int]]) ->
     return sum((a[0] - b[0]) ** 2 + (a[1] - b[1]) ** 2 for a, b in zip(old, new))
 
 
-def step(points: DataFrame, centres: Centres) -> Centres:
+def step(points: DataFrame, centres: Centres, weight: str | None = None) -> Centres:
     """One round on the driver's k centres; k rows come back."""
-    rows = centre_means(assign(points, centres)).select("k", "cx", "cy").collect()
+    cols = ["x", "y"] + ([weight] if weight else [])
+    rows = centre_means(points.select(*cols, nearest(centres).alias("k")), weight).collect()
     found = {r["k"]: (r["cx"], r["cy"]) for r in rows}
     return [found.get(i, c) for i, c in enumerate(centres)]
 
@@ -116,32 +136,43 @@ class KMeansResult:
         return spark.createDataFrame(self.history, "iter int, movement bigint")
 
 
+def kept_points(vectors: DataFrame, *, checkpoint: bool = True) -> DataFrame:
+    """The weighted points every round reads (`x, y, w`), kept once."""
+    return keep(weighted_points(vectors), reliable=checkpoint)
+
+
 def kmeans(vectors: DataFrame, initial: Centres, params: KMeansParams, *,
-           checkpoint: bool = True, keep_points: bool = True) -> KMeansResult:
+           checkpoint: bool = True) -> KMeansResult:
     """Rounds of assign -> mean -> keep old centre if empty -> movement, until
     the movement is below eta or max_iter rounds ran; the new centres of the
-    last round are returned either way. `keep_points=False` when the caller
-    already keeps `vectors`."""
+    last round are returned either way."""
     if len(initial) != params.k:
         raise ValueError(f"{len(initial)} initial centres for k={params.k}")
-    points = keep(vectors.select("x", "y"), reliable=checkpoint) if keep_points else vectors
+    points = kept_points(vectors, checkpoint=checkpoint)
     try:
-        result = KMeansResult(centres=list(initial))
-        for it in range(1, params.max_iter + 1):
-            new = step(points, result.centres)
-            moved = movement(result.centres, new)
-            result.history.append((it, moved))
-            result.centres = new
-            if moved < params.eta:
-                result.converged = True
-                break
-        return result
+        return _iterate(points, initial, params)
     finally:
-        if keep_points:
-            points.unpersist()
+        points.unpersist()
 
 
-def cluster_stats(vectors: DataFrame, centres: Centres, tags: Vocabulary, spread: int) -> DataFrame:
+def _iterate(points: DataFrame, initial: Centres, params: KMeansParams) -> KMeansResult:
+    """The rounds over kept weighted points `x, y, w`."""
+    if len(initial) != params.k:
+        raise ValueError(f"{len(initial)} initial centres for k={params.k}")
+    result = KMeansResult(centres=list(initial))
+    for it in range(1, params.max_iter + 1):
+        new = step(points, result.centres, "w")
+        moved = movement(result.centres, new)
+        result.history.append((it, moved))
+        result.centres = new
+        if moved < params.eta:
+            result.converged = True
+            break
+    return result
+
+
+def cluster_stats(vectors: DataFrame, centres: Centres, tags: Vocabulary, spread: int,
+                  weight: str | None = None) -> DataFrame:
     """`k, tag, pct, size, median_score` per non-empty cluster, by median.
 
     One pass over the points reduces them to counts per (cluster, tag
@@ -152,7 +183,7 @@ def cluster_stats(vectors: DataFrame, centres: Centres, tags: Vocabulary, spread
     a frequency-weighted percentile (mean of the two middle scores when the
     size is even), truncated toward zero."""
     counts = (assign(vectors, centres).groupBy("k", "x", "y")
-              .agg(F.count(F.lit(1)).alias("n")))
+              .agg(F.sum(_weight(weight)).alias("n")))
     per_tag = counts.withColumn("n_tag", F.sum("n").over(Window.partitionBy("k", "x")))
     per_cluster = per_tag.groupBy("k").agg(
         F.max_by("x", F.struct(F.col("n_tag"), -F.col("x"))).alias("x"),
@@ -180,16 +211,21 @@ class ClusterRun:
 
 def run_clustering(vectors: DataFrame, params: KMeansParams, tags: Vocabulary, *,
                    checkpoint: bool = True) -> ClusterRun:
-    """The whole clustering program: keep the points once, draw the seeds,
-    iterate, then the per-cluster statistics and report lines (k rows each,
-    k is a parameter) from the same kept points."""
+    """The whole clustering program: keep the vectors while the seeds are
+    drawn and the points are collapsed, then iterate on the kept weighted
+    points and take the per-cluster statistics and report lines from them (k
+    rows each, k is a parameter)."""
     from quarry.operators.sampling import seed_centres
 
-    points = keep(vectors.select("id", "x", "y"), reliable=checkpoint)
+    kept = keep(vectors.select("id", "x", "y"), reliable=False)
+    try:
+        seeds = seed_centres(kept, params, len(tags))
+        points = kept_points(kept, checkpoint=checkpoint)
+    finally:
+        kept.unpersist()
     try:
-        seeds = seed_centres(points, params, len(tags))
-        fit = kmeans(points, seeds, params, keep_points=False)
-        stats = cluster_stats(points, fit.centres, tags, params.spread)
+        fit = _iterate(points, seeds, params)
+        stats = cluster_stats(points, fit.centres, tags, params.spread, weight="w")
         rows = cluster_report(stats).join(stats, "k").orderBy("median_score", "k").collect()
         return ClusterRun(fit=fit, stats=[r.asDict() for r in rows],
                           report=list(REPORT_HEADER) + [r["line"] for r in rows])

@@ -76,12 +76,12 @@ def _seeds(vectors: DataFrame) -> list[tuple[int, int]]:
 
 
 def _fitted(vectors: DataFrame) -> list[tuple[int, int]]:
-    """Seeds and rounds over the same kept points (computed once)."""
-    points = keep(vectors.select("id", "x", "y"))
+    """Seeds and rounds from the same kept vectors (computed once)."""
+    kept = keep(vectors.select("id", "x", "y"), reliable=False)
     try:
-        return clustering.kmeans(points, _seeds(points), B.POSTING_KMEANS_FIXED, keep_points=False).centres
+        return clustering.kmeans(kept, _seeds(kept), B.POSTING_KMEANS_FIXED).centres
     finally:
-        points.unpersist()
+        kept.unpersist()
 
 
 @query("posting_line_parse")

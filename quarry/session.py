@@ -33,4 +33,6 @@ def keep(df: DataFrame, *, reliable: bool = True) -> DataFrame:
         # One job computes the frame and writes it to the shared folder; the
         # first reader then fills the cache from the checkpoint files.
         return df.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.count()   # materialized now, so the frames it came from may be released
+    return kept

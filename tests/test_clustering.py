@@ -190,3 +190,16 @@ def test_run_clustering_report(spark):
     assert meds == sorted(meds) and len(run.report) == 3 + len(run.stats)
     assert run.report[3] == "%7d  %-17s (%-5.1f%%)      %7d" % (
         run.stats[0]["median_score"], run.stats[0]["tag"], run.stats[0]["pct"], run.stats[0]["size"])
+
+
+def test_weighted_points_give_the_same_statistics(spark):
+    rnd = random.Random(5)
+    pts = [(rnd.randrange(3) * 100, rnd.randrange(-4, 4)) for _ in range(400)]
+    df = points(spark, pts)
+    w = C.weighted_points(df)
+    assert w.count() < len(pts) and w.agg(F.sum("w")).collect()[0][0] == len(pts)
+    centres = [(0, 0), (100, 3), (200, -3)]
+    a = sorted(map(tuple, C.cluster_stats(df, centres, Vocabulary(("a", "b", "c")), 100).collect()))
+    b = sorted(map(tuple, C.cluster_stats(w, centres, Vocabulary(("a", "b", "c")), 100, weight="w").collect()))
+    assert a == b
+    assert C.step(df, centres) == C.step(w, centres, "w")
