@@ -51,13 +51,28 @@ def rank_one_pass(articles: DataFrame, vocab: Vocabulary, *, text: str = "text")
             .orderBy(F.desc("n"), F.asc("term")))
 
 
+def term_counts(articles: DataFrame, vocab: Vocabulary, *, text: str = "text") -> DataFrame:
+    """`term, pos, n` for every vocabulary term, 0 when unmentioned.
+
+    Small vocabulary: one global aggregate with a conditional count per term
+    over the in-row hits, so each task sends a single row to the final
+    aggregate and the zeros need no join; `stack` turns the row into one row
+    per term. Large vocabulary: counts per term joined to the vocabulary."""
+    if len(vocab) <= LITERAL_VOCAB_MAX:
+        hits = articles.select(vocabulary_hits(text, vocab).alias("_h"))
+        row = hits.agg(*[F.count_if(F.array_contains("_h", F.lit(t))).alias(f"_n{i}")
+                         for i, t in enumerate(vocab.terms)])
+        triples = [c for i, t in enumerate(vocab.terms) for c in (F.lit(t), F.lit(i), F.col(f"_n{i}"))]
+        return row.select(F.stack(F.lit(len(vocab)), *triples).alias("term", "pos", "n"))
+    counts = term_hits(articles, vocab, text=text).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return (vocab.frame(articles.sparkSession).join(counts, "term", "left")
+            .select("term", "pos", F.coalesce(F.col("n"), F.lit(0)).alias("n")))
+
+
 def rank_zero_filled(articles: DataFrame, vocab: Vocabulary, *, text: str = "text") -> DataFrame:
     """`term, n` for every vocabulary term (0 when unmentioned), by n
     descending, ties in vocabulary order."""
-    counts = term_hits(articles, vocab, text=text).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    terms = vocab.frame(articles.sparkSession)
-    return (terms.join(counts, "term", "left")
-            .select("term", "pos", F.coalesce(F.col("n"), F.lit(0)).alias("n"))
+    return (term_counts(articles, vocab, text=text)
             .orderBy(F.desc("n"), F.asc("pos"))
             .select("term", "n"))
 
