@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.numeric import sq_distance, trunc_div
 from quarry.functions.report import REPORT_HEADER, report_line
+from quarry.operators.sampling import seed_centres
 from quarry.params import KMeansParams, Vocabulary
 from quarry.session import keep
 
@@ -38,6 +39,7 @@ CENTRE_SCHEMA = T.StructType([
 
 
 def _centres_sql(centres: Sequence[tuple[int, int]]) -> str:
+    """The centres as one array literal: array<struct<k int, cx bigint, cy bigint>>."""
     if not centres:
         raise ValueError("no centres")
     return "array(" + ", ".join(
@@ -45,11 +47,6 @@ def _centres_sql(centres: Sequence[tuple[int, int]]) -> str:
         for i, (cx, cy) in enumerate(centres)) + ")"
 
 
-def centres_literal(centres: Sequence[tuple[int, int]]) -> Column:
-    """array<struct<k int, cx bigint, cy bigint>>; folded to one literal."""
-    return F.expr(_centres_sql(centres))
-
-
 def nearest(centres: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> Column:
     """Index of the centre with the least squared distance; the lowest index
     wins a tie (struct order: distance, then index). Built as one expression
@@ -146,8 +143,6 @@ def kmeans(vectors: DataFrame, initial: Centres, params: KMeansParams, *,
     """Rounds of assign -> mean -> keep old centre if empty -> movement, until
     the movement is below eta or max_iter rounds ran; the new centres of the
     last round are returned either way."""
-    if len(initial) != params.k:
-        raise ValueError(f"{len(initial)} initial centres for k={params.k}")
     points = kept_points(vectors, checkpoint=checkpoint)
     try:
         return _iterate(points, initial, params)
@@ -215,8 +210,6 @@ def run_clustering(vectors: DataFrame, params: KMeansParams, tags: Vocabulary, *
     drawn and the points are collapsed, then iterate on the kept weighted
     points and take the per-cluster statistics and report lines from them (k
     rows each, k is a parameter)."""
-    from quarry.operators.sampling import seed_centres
-
     kept = keep(vectors.select("id", "x", "y"), reliable=False)
     try:
         seeds = seed_centres(kept, params, len(tags))
@@ -226,7 +219,7 @@ def run_clustering(vectors: DataFrame, params: KMeansParams, tags: Vocabulary, *
     try:
         fit = _iterate(points, seeds, params)
         stats = cluster_stats(points, fit.centres, tags, params.spread, weight="w")
-        rows = cluster_report(stats).join(stats, "k").orderBy("median_score", "k").collect()
+        rows = stats.withColumn("line", report_line()).collect()   # k rows, by median
         return ClusterRun(fit=fit, stats=[r.asDict() for r in rows],
                           report=list(REPORT_HEADER) + [r["line"] for r in rows])
     finally:
