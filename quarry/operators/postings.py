@@ -2,12 +2,14 @@
 score per question and the (tag coordinate, score) vectors.
 
 Scale notes. Question ids and answer parents are both large key spaces, so
-joins are shuffle joins on the question id (never broadcast). A question with
-a huge share of all answers is handled two ways: the best-score path first
-reduces the answers to one row per question with a partial + final `max`
-(map-side combine, so a hot question costs one row per task), and only then
-joins, 1:1; the flat pair join relies on adaptive execution to split a skewed
-shuffle partition across tasks (`spark.sql.adaptive.skewJoin.enabled`).
+joins are shuffle joins on the question id (Spark broadcasts a side only when
+its estimated size is under the broadcast threshold). A question with a huge
+share of all answers is handled two ways: the best-score path and the group
+summaries first reduce the answers to one row per question with a partial +
+final aggregate (map-side combine, so a hot question costs one row per task),
+and only then join, 1:1; the flat pair join and the grouped view rely on
+adaptive execution to split a skewed shuffle partition across tasks
+(`spark.sql.adaptive.skewJoin.enabled`, see tests/test_skew.py).
 """
 
 from __future__ import annotations
@@ -50,14 +52,19 @@ def qa_pairs(postings: DataFrame) -> DataFrame:
     return q.join(a, "qid", "inner")
 
 
-def qa_groups(pairs: DataFrame) -> DataFrame:
-    """Per question: `qid, n_answers, min_answer_id, max_answer_id`
-    (aggregated partially per task, so group size does not matter)."""
-    return pairs.groupBy("qid").agg(
+def qa_groups(postings: DataFrame) -> DataFrame:
+    """Per answered question: `qid, n_answers, min_answer_id, max_answer_id`,
+    the summary of its group of pairs. The answers are aggregated per
+    question first (partial per task, so group size does not matter), then
+    kept when their question exists (left semi join, unique keys on both
+    sides); question ids are unique, so each answer is one pair."""
+    v = valid_postings(postings)
+    per_question = answers(v).groupBy("qid").agg(
         F.count(F.lit(1)).alias("n_answers"),
-        F.min("answer_id").alias("min_answer_id"),
-        F.max("answer_id").alias("max_answer_id"),
+        F.min("id").alias("min_answer_id"),
+        F.max("id").alias("max_answer_id"),
     )
+    return per_question.join(questions(v).select("qid"), "qid", "left_semi")
 
 
 def grouped_pairs(pairs: DataFrame, *, part_rows: int = PAIRS_PER_PART) -> DataFrame:

@@ -101,7 +101,7 @@ def qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("qa_groups")
 def qa_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return postings.qa_groups(postings.qa_pairs(B.postings(spark, sf_dir)))
+    return postings.qa_groups(B.postings(spark, sf_dir))
 
 
 @query("question_max_score")

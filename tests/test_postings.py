@@ -59,7 +59,7 @@ def test_vectors_first_position_whole_tag(spark):
 
 def test_groups_summary(spark):
     got = {r["qid"]: (r["n_answers"], r["min_answer_id"], r["max_answer_id"])
-           for r in P.qa_groups(P.qa_pairs(posts(spark, ROWS))).collect()}
+           for r in P.qa_groups(posts(spark, ROWS)).collect()}
     assert got[10] == (2, 11, 12) and got[20] == (2, 21, 22) and len(got) == 4
 
 

@@ -64,6 +64,14 @@ def test_hot_question_best_score_is_reduced_before_the_join(spark, skewed):
     assert plan.rfind("partial_max") > plan.find("Exchange hashpartitioning(qid")
 
 
+def test_hot_question_groups_are_reduced_before_the_join(spark, skewed):
+    pairs = P.qa_pairs(skewed).groupBy("qid").agg(F.count(F.lit(1)).alias("n")).collect()
+    got = {r["qid"]: r["n_answers"] for r in P.qa_groups(skewed).collect()}
+    assert got == {r["qid"]: r["n"] for r in pairs}
+    plan = P.qa_groups(skewed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.rfind("partial_count") > plan.find("Exchange hashpartitioning(qid")
+
+
 def test_hot_question_grouped_view_is_bounded(spark, skewed):
     pairs = P.qa_pairs(skewed)
     n_hot = pairs.where(F.col("qid") == HOT_QID).count()
