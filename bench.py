@@ -24,7 +24,11 @@ from quarry.sources import bindings as B  # noqa: E402
 
 
 def session(cpus: int) -> SparkSession:
-    spark = (SparkSession.builder.master(f"local[{cpus}]")
+    builder = SparkSession.builder
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if log_dir:   # stage and task times for scripts/eventlog_summary.py
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
+    spark = (builder.master(f"local[{cpus}]")
              .appName("quarry-bench")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
@@ -87,6 +91,7 @@ def main() -> None:
         B.table(spark, sf_dir, t).count()
     times: dict[str, float] = {}
     for name, fn, big in plan:
+        spark.sparkContext.setJobDescription(name)
         t0 = time.perf_counter()
         consume(fn(spark, sf_dir), big)
         times[name] = round(time.perf_counter() - t0, 3)

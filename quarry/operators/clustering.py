@@ -21,23 +21,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.functions.numeric import sq_distance, trunc_div
 from quarry.functions.report import REPORT_HEADER, report_line
 from quarry.operators.sampling import seed_centres
 from quarry.params import KMeansParams, Vocabulary
-from quarry.session import keep
+from quarry.session import keep, local_table
 
 Centres = list[tuple[int, int]]
 
-CENTRE_SCHEMA = T.StructType([
-    T.StructField("k", T.IntegerType(), False),
-    T.StructField("cx", T.LongType(), False),
-    T.StructField("cy", T.LongType(), False),
-])
-
-
 def _centres_sql(centres: Sequence[tuple[int, int]]) -> str:
     """The centres as one array literal: array<struct<k int, cx bigint, cy bigint>>."""
     if not centres:
@@ -82,9 +74,10 @@ def centre_means(assigned: DataFrame, weight: str | None = None) -> DataFrame:
 
 
 def centres_frame(spark: SparkSession, centres: Sequence[tuple[int, int]]) -> DataFrame:
-    """`k, cx, cy` from a driver list (k rows, k is a parameter)."""
-    return spark.createDataFrame([(i, int(cx), int(cy)) for i, (cx, cy) in enumerate(centres)],
-                                 CENTRE_SCHEMA)
+    """`k int, cx bigint, cy bigint` from a driver list (k rows, k is a
+    parameter), as a local table."""
+    return local_table(spark, {"k": "int", "cx": "bigint", "cy": "bigint"},
+                       [(i, int(cx), int(cy)) for i, (cx, cy) in enumerate(centres)])
 
 
 def step_frame(vectors: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
@@ -130,7 +123,7 @@ class KMeansResult:
         return centres_frame(spark, self.centres)
 
     def history_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.history, "iter int, movement bigint")
+        return local_table(spark, {"iter": "int", "movement": "bigint"}, list(self.history))
 
 
 def kept_points(vectors: DataFrame, *, checkpoint: bool = True) -> DataFrame:

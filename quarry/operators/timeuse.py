@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.recode import age_group, hours_sum, sex_label, working_status
+from quarry.session import local_table
 
 # --- Fixed values: activity column prefixes per class -----------------------
 PRIMARY_PREFIXES = ("t01", "t03", "t11", "t1801", "t1803")
@@ -66,7 +67,7 @@ def classify_columns(names: Sequence[str]) -> tuple[list[str], list[str], list[s
 def classify_frame(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """The same classification as data: `pos, name, class` (null = unmatched),
     one `when` chain of `startswith` tests per name."""
-    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "pos int, name string")
+    rows = local_table(spark, {"pos": "int", "name": "string"}, [(i, n) for i, n in enumerate(names)])
     label = F.lit(None).cast("string")
     for cls, prefixes in reversed(CLASSES):
         test = F.lit(False)

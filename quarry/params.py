@@ -10,7 +10,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # --- Fixed values (must equal the reference's for equal results) -----------
 # Languages, in order; position is the language index.
@@ -56,12 +55,11 @@ class Vocabulary:
         return F.array(*[F.lit(t) for t in self.terms])
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        """`term string, pos int`; as many rows as terms (a parameter)."""
-        schema = T.StructType([
-            T.StructField("term", T.StringType(), False),
-            T.StructField("pos", T.IntegerType(), False),
-        ])
-        return spark.createDataFrame([(t, i) for i, t in enumerate(self.terms)], schema)
+        """`term string, pos int`; as many rows as terms (a parameter), as a
+        local table."""
+        from quarry.session import local_table
+        return local_table(spark, {"term": "string", "pos": "int"},
+                           [(t, i) for i, t in enumerate(self.terms)])
 
     def position(self, value: Column) -> Column:
         """0-based position of the first equal term, null when absent."""

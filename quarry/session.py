@@ -36,3 +36,20 @@ def keep(df: DataFrame, *, reliable: bool = True) -> DataFrame:
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     kept.count()   # materialized now, so the frames it came from may be released
     return kept
+
+
+def local_table(spark: SparkSession, columns: dict[str, str], rows: list[tuple]) -> DataFrame:
+    """A small table from driver values (parameters such as a vocabulary or k
+    centres, never data): SQL `VALUES` with named parameters, so it plans as a
+    local relation that is read without a job. Columns map name -> SQL type."""
+    names = list(columns)
+    if any(len(r) != len(names) for r in rows):
+        raise ValueError("every row needs one value per column")
+    body = rows or [tuple(None for _ in names)]
+    values = ", ".join("(" + ", ".join(f":v{i}_{j}" for j in range(len(names))) + ")"
+                       for i in range(len(body)))
+    args = {f"v{i}_{j}": v for i, r in enumerate(body) for j, v in enumerate(r)}
+    cols = ", ".join(f"CAST(`{n}` AS {t}) AS `{n}`" for n, t in columns.items())
+    where = "" if rows else " WHERE false"
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({', '.join(f'`{n}`' for n in names)}){where}",
+                     args=args)

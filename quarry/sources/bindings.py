@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.params import KMeansParams, Vocabulary
+from quarry.session import local_table
 from quarry.sources.articles import article_line
 from quarry.sources.postings import posting_line
 
@@ -120,7 +120,6 @@ def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def respondent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`value`: the header line, then one CSV line per respondent row."""
     r = respondents(spark, sf_dir)
-    header = spark.createDataFrame([(",".join(RESPONDENT_COLUMNS),)],
-                                   T.StructType([T.StructField("value", T.StringType())]))
+    header = local_table(spark, {"value": "string"}, [(",".join(RESPONDENT_COLUMNS),)])
     body = r.select(F.concat_ws(",", *[F.col(c).cast("string") for c in RESPONDENT_COLUMNS]).alias("value"))
     return header.unionByName(body)

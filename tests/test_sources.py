@@ -142,3 +142,16 @@ def test_strict_checks_survive_column_pruning(spark):
         parse_postings(lines_df(spark, ["1,2,,,0,C#", "1,x,,,0"])).select("tags").collect()
     with pytest.raises(Exception, match="malformed article line"):
         parse_articles(lines_df(spark, ["no marker"])).select().count()
+
+
+def test_local_table_binds_by_name_and_runs_no_job(spark):
+    from quarry.session import local_table
+    st = spark.sparkContext.statusTracker()
+    df = local_table(spark, {"k": "int", "cx": "bigint", "t": "string"},
+                     [(0, 5, "it's C#"), (1, 2 ** 40, None), (2, -3, "a\\b")])
+    before = len(st.getJobIdsForGroup(None))
+    rows = [tuple(r) for r in df.collect()]
+    assert rows == [(0, 5, "it's C#"), (1, 2 ** 40, None), (2, -3, "a\\b")]
+    assert len(st.getJobIdsForGroup(None)) == before
+    assert df.schema.simpleString() == "struct<k:int,cx:bigint,t:string>"
+    assert local_table(spark, {"a": "int"}, []).count() == 0
