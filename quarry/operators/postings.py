@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from quarry.params import Vocabulary
 
 QUESTION, ANSWER = 1, 2
-# Rows per part of the grouped pair view (see `grouped_pairs`).
+# Rows per part of the grouped pair view, and the most hot questions (over
+# that many answers) sent to every task as a broadcast (see `grouped_pairs`).
 PAIRS_PER_PART = 4096
+HOT_BROADCAST_MAX = 100_000
 
 
 def valid_postings(postings: DataFrame) -> DataFrame:
@@ -67,22 +69,38 @@ def qa_groups(postings: DataFrame) -> DataFrame:
     return per_question.join(questions(v).select("qid"), "qid", "left_semi")
 
 
-def grouped_pairs(pairs: DataFrame, *, part_rows: int = PAIRS_PER_PART) -> DataFrame:
+def grouped_pairs(postings: DataFrame, *, part_rows: int = PAIRS_PER_PART,
+                  hot_broadcast_max: int = HOT_BROADCAST_MAX) -> DataFrame:
     """The pairs grouped per question as arrays: `qid, part, n_answers, pairs`.
 
     A question with more than `part_rows` answers is split into
-    ceil(n / part_rows) parts by a hash of the answer, so no single array (or
-    task) has to hold an unbounded group; concatenating a question's parts
-    gives all its pairs."""
+    ceil(n / part_rows) parts by a hash of the answer, so no array has to
+    hold an unbounded group; a question's parts together hold all its pairs.
+
+    Plan: answers are counted per question before the join (partial + final
+    count); only the "hot" questions, those over `part_rows`, are joined back
+    to the pairs, as a broadcast when their number is at most
+    `hot_broadcast_max` (checked), else as a shuffle join. The grouping then
+    shuffles on (qid, part), so a hot question's parts land in different
+    tasks, and the pair join upstream may be split by adaptive execution."""
     if part_rows <= 0:
         raise ValueError("part_rows must be positive")
-    sizes = pairs.groupBy("qid").agg(F.count(F.lit(1)).alias("n_answers"))
-    n_parts = F.ceil(F.col("n_answers") / F.lit(part_rows))
+    v = valid_postings(postings)
+    counts = answers(v).groupBy("qid").agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > F.lit(part_rows))
+    n_hot = hot.count()
+    hot_side = F.broadcast(hot) if n_hot <= hot_broadcast_max else hot
+    pairs = qa_pairs(postings).join(hot_side, "qid", "left")
+    n_parts = F.coalesce(F.ceil(F.col("_n") / F.lit(part_rows)), F.lit(1))
     part = F.pmod(F.xxhash64("answer_id", "answer_score"), n_parts)
-    return (pairs.join(sizes, "qid")
-            .withColumn("part", part)
-            .groupBy("qid", "part", "n_answers")
-            .agg(F.array_sort(F.collect_list(F.struct("answer_id", "answer_score", "tags"))).alias("pairs")))
+    grouped = (pairs.withColumn("part", part)
+               .repartition("qid", "part")
+               .groupBy("qid", "part")
+               .agg(F.max("_n").alias("_n"),
+                    F.array_sort(F.collect_list(F.struct("answer_id", "answer_score", "tags"))).alias("pairs")))
+    # a cold question is one part, so its size is its array's size
+    return grouped.select("qid", "part", F.coalesce(F.col("_n"), F.size("pairs").cast("bigint")).alias("n_answers"),
+                          "pairs")
 
 
 def question_max_score(postings: DataFrame) -> DataFrame:

@@ -66,14 +66,19 @@ def test_groups_summary(spark):
 def test_grouped_pairs_split_a_hot_question(spark):
     hot = [(1, 1, None, None, 0, "Java")] + [(2, 100 + i, None, 1, i % 7, None) for i in range(3000)]
     cold = [(1, 2, None, None, 0, "Scala"), (2, 5000, None, 2, 3, None)]
-    pairs = P.qa_pairs(posts(spark, hot + cold))
-    g = P.grouped_pairs(pairs, part_rows=500).collect()
+    g = P.grouped_pairs(posts(spark, hot + cold), part_rows=500).collect()
     hot_parts = [r for r in g if r["qid"] == 1]
     assert len(hot_parts) == 6                       # ceil(3000 / 500) parts
     assert max(len(r["pairs"]) for r in hot_parts) < 800
     ids = sorted(p["answer_id"] for r in hot_parts for p in r["pairs"])
     assert ids == list(range(100, 3100))
     assert [len(r["pairs"]) for r in g if r["qid"] == 2] == [1]
+    assert {r["n_answers"] for r in g if r["qid"] == 1} == {3000}
+    assert [r["n_answers"] for r in g if r["qid"] == 2] == [1]
+    # the same result when the hot questions are joined without a broadcast
+    g2 = P.grouped_pairs(posts(spark, hot + cold), part_rows=500, hot_broadcast_max=0).collect()
+    assert sorted((r["qid"], r["part"], r["n_answers"], len(r["pairs"])) for r in g2) == \
+        sorted((r["qid"], r["part"], r["n_answers"], len(r["pairs"])) for r in g)
 
 
 def test_duplicate_question_ids_reported(spark):

@@ -75,10 +75,21 @@ def test_hot_question_groups_are_reduced_before_the_join(spark, skewed):
 def test_hot_question_grouped_view_is_bounded(spark, skewed):
     pairs = P.qa_pairs(skewed)
     n_hot = pairs.where(F.col("qid") == HOT_QID).count()
-    parts = P.grouped_pairs(pairs, part_rows=1000).where(F.col("qid") == HOT_QID).collect()
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+                        "spark.sql.shuffle.partitions": "16"}):
+        grouped = P.grouped_pairs(skewed, part_rows=1000)
+        rows = grouped.collect()
+        plan = grouped._jdf.queryExecution().executedPlan().toString()
+    parts = [r for r in rows if r["qid"] == HOT_QID]
     assert len(parts) == -(-n_hot // 1000)
     assert sum(len(r["pairs"]) for r in parts) == n_hot
     assert max(len(r["pairs"]) for r in parts) < 1500
+    assert sum(len(r["pairs"]) for r in rows) == pairs.count()
+    assert "SortMergeJoin(skew=true)" in plan           # the pair join's hot partition is split
+    assert "hashpartitioning(qid" in plan and ", part" in plan
 
 
 def test_term_in_every_document(spark):
