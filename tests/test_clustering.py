@@ -203,3 +203,13 @@ def test_weighted_points_give_the_same_statistics(spark):
     b = sorted(map(tuple, C.cluster_stats(w, centres, Vocabulary(("a", "b", "c")), 100, weight="w").collect()))
     assert a == b
     assert C.step(df, centres) == C.step(w, centres, "w")
+
+
+def test_clustering_does_not_depend_on_partitioning(spark):
+    scored = P.question_max_score(B.postings(spark, SF_SMALL))
+    v = P.tag_vectors(scored, B.POSTING_TAGS, 50000)
+    params = KMeansParams(spread=50000, k=8, eta=20.0, max_iter=40, seed=42)
+    a = C.run_clustering(v, params, B.POSTING_TAGS)
+    b = C.run_clustering(v.repartition(7), params, B.POSTING_TAGS, checkpoint=False)
+    assert a.fit.centres == b.fit.centres and a.fit.history == b.fit.history
+    assert a.stats == b.stats and a.report == b.report
