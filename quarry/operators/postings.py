@@ -58,15 +58,17 @@ def qa_groups(postings: DataFrame) -> DataFrame:
     """Per answered question: `qid, n_answers, min_answer_id, max_answer_id`,
     the summary of its group of pairs. The answers are aggregated per
     question first (partial per task, so group size does not matter), then
-    kept when their question exists (left semi join, unique keys on both
-    sides); question ids are unique, so each answer is one pair."""
+    kept when their question exists: an inner join on unique keys (question
+    ids are unique, so each answer is one pair). A left semi join would say
+    the same, but Catalyst pushes a semi join on the grouping key below the
+    aggregate, which would shuffle every answer before reducing."""
     v = valid_postings(postings)
     per_question = answers(v).groupBy("qid").agg(
         F.count(F.lit(1)).alias("n_answers"),
         F.min("id").alias("min_answer_id"),
         F.max("id").alias("max_answer_id"),
     )
-    return per_question.join(questions(v).select("qid"), "qid", "left_semi")
+    return per_question.join(questions(v).select("qid"), "qid", "inner")
 
 
 def grouped_pairs(postings: DataFrame, *, part_rows: int = PAIRS_PER_PART,
