@@ -42,10 +42,15 @@ def _centres_sql(centres: Sequence[tuple[int, int]]) -> str:
 def nearest(centres: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> Column:
     """Index of the centre with the least squared distance; the lowest index
     wins a tie (struct order: distance, then index). Built as one expression
-    string: one call to the JVM per round instead of one per literal."""
+    string: one call to the JVM per round instead of one per literal.
+
+    The array is never empty, so the index is never null; `coalesce` with an
+    index that cannot occur says so to the optimizer, which otherwise infers
+    `isnotnull(k)` from a later join on `k` and pushes it down as a filter that
+    evaluates this expression a second time for every point."""
     dx, dy = f"(`{x}` - c.cx)", f"(`{y}` - c.cy)"
-    return F.expr(f"array_min(transform({_centres_sql(centres)}, "
-                  f"c -> named_struct('d', {dx} * {dx} + {dy} * {dy}, 'k', c.k))).k")
+    return F.expr(f"coalesce(array_min(transform({_centres_sql(centres)}, "
+                  f"c -> named_struct('d', {dx} * {dx} + {dy} * {dy}, 'k', c.k))).k, -1)")
 
 
 def assign(vectors: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
