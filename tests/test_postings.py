@@ -115,3 +115,11 @@ def test_vectors_have_no_join(spark):
     v = P.tag_vectors(scored, B.POSTING_TAGS, 50000)
     assert v.where(F.col("x") % 50000 != 0).count() == 0
     assert {r["x"] // 50000 for r in v.select("x").distinct().collect()} == {0, 1, 2, 3}
+
+
+def test_vectors_read_only_the_columns_they_use(spark):
+    scored = P.question_max_score(B.postings(spark, SF_SMALL))
+    plan = P.tag_vectors(scored, B.POSTING_TAGS, 50000)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_orderpriority:string>" in plan
+    for unused in ("o_totalprice", "o_orderdate", "l_extendedprice", "l_discount", "l_shipdate", "l_partkey"):
+        assert unused not in plan
