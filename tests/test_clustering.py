@@ -213,3 +213,10 @@ def test_clustering_does_not_depend_on_partitioning(spark):
     b = C.run_clustering(v.repartition(7), params, B.POSTING_TAGS, checkpoint=False)
     assert a.fit.centres == b.fit.centres and a.fit.history == b.fit.history
     assert a.stats == b.stats and a.report == b.report
+
+
+def test_kmeans_without_points_keeps_its_centres(spark):
+    empty = points(spark, [])
+    res = C.kmeans(empty, [(0, 0), (5, 5)], KMeansParams(spread=10, k=2, eta=1.0, max_iter=3))
+    assert res.centres == [(0, 0), (5, 5)] and res.converged and res.history == [(1, 0)]
+    assert C.cluster_stats(empty, res.centres, Vocabulary(("a",)), 10).count() == 0
