@@ -16,7 +16,8 @@ shape is the same every round, only the literal changes.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,6 +31,10 @@ from quarry.session import keep, local_table
 
 Centres = list[tuple[int, int]]
 
+# Distinct weighted points up to which a round runs as one task without a
+# shuffle (a million rows of three longs: a fraction of a second per round).
+SINGLE_TASK_POINTS = 1_000_000
+
 def _centres_sql(centres: Sequence[tuple[int, int]]) -> str:
     """The centres as one array literal: array<struct<k int, cx bigint, cy bigint>>."""
     if not centres:
@@ -131,9 +136,18 @@ class KMeansResult:
         return local_table(spark, {"iter": "int", "movement": "bigint"}, list(self.history))
 
 
-def kept_points(vectors: DataFrame, *, checkpoint: bool = True) -> DataFrame:
-    """The weighted points every round reads (`x, y, w`), kept once."""
-    return keep(weighted_points(vectors), reliable=checkpoint)
+@contextmanager
+def kept_points(vectors: DataFrame, *, checkpoint: bool = True) -> Iterator[DataFrame]:
+    """The weighted points every round reads (`x, y, w`), kept once and
+    released on exit. When there are at most `SINGLE_TASK_POINTS` distinct
+    points (counted on the kept frame), rounds read them as one partition: the
+    per-cluster sums then need no shuffle, one stage per round. Beyond that
+    they stay partitioned and each round is a partial + final aggregate."""
+    kept = keep(weighted_points(vectors), reliable=checkpoint)
+    try:
+        yield kept.coalesce(1) if kept.count() <= SINGLE_TASK_POINTS else kept
+    finally:
+        kept.unpersist()
 
 
 def kmeans(vectors: DataFrame, initial: Centres, params: KMeansParams, *,
@@ -141,11 +155,8 @@ def kmeans(vectors: DataFrame, initial: Centres, params: KMeansParams, *,
     """Rounds of assign -> mean -> keep old centre if empty -> movement, until
     the movement is below eta or max_iter rounds ran; the new centres of the
     last round are returned either way."""
-    points = kept_points(vectors, checkpoint=checkpoint)
-    try:
+    with kept_points(vectors, checkpoint=checkpoint) as points:
         return _iterate(points, initial, params)
-    finally:
-        points.unpersist()
 
 
 def _iterate(points: DataFrame, initial: Centres, params: KMeansParams) -> KMeansResult:
@@ -209,19 +220,16 @@ def run_clustering(vectors: DataFrame, params: KMeansParams, tags: Vocabulary, *
     points and take the per-cluster statistics and report lines from them (k
     rows each, k is a parameter)."""
     kept = keep(vectors.select("id", "x", "y"), reliable=False)
-    try:
-        seeds = seed_centres(kept, params, len(tags))
-        points = kept_points(kept, checkpoint=checkpoint)
-    finally:
-        kept.unpersist()
-    try:
+    with kept_points(kept, checkpoint=checkpoint) as points:
+        try:
+            seeds = seed_centres(kept, params, len(tags))
+        finally:
+            kept.unpersist()        # the weighted points are materialized already
         fit = _iterate(points, seeds, params)
         stats = cluster_stats(points, fit.centres, tags, params.spread, weight="w")
         rows = stats.withColumn("line", report_line()).collect()   # k rows, by median
         return ClusterRun(fit=fit, stats=[r.asDict() for r in rows],
                           report=list(REPORT_HEADER) + [r["line"] for r in rows])
-    finally:
-        points.unpersist()
 
 
 def cluster_report(stats: DataFrame) -> DataFrame:

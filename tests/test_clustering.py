@@ -220,3 +220,18 @@ def test_kmeans_without_points_keeps_its_centres(spark):
     res = C.kmeans(empty, [(0, 0), (5, 5)], KMeansParams(spread=10, k=2, eta=1.0, max_iter=3))
     assert res.centres == [(0, 0), (5, 5)] and res.converged and res.history == [(1, 0)]
     assert C.cluster_stats(empty, res.centres, Vocabulary(("a",)), 10).count() == 0
+
+
+def test_partitioned_points_give_the_same_fit(spark, monkeypatch):
+    rnd = random.Random(3)
+    pts = [(rnd.randrange(4) * 1000, rnd.randrange(-50, 50)) for _ in range(300)]
+    init = [pts[i] for i in range(6)]
+    params = KMeansParams(spread=1000, k=6, eta=5.0, max_iter=20)
+    single = C.kmeans(points(spark, pts), init, params)
+    monkeypatch.setattr(C, "SINGLE_TASK_POINTS", 0)
+    with C.kept_points(points(spark, pts).repartition(5)) as kept:
+        plan = C.centre_means(kept.select("x", "y", "w", C.nearest(init).alias("k")), "w")._jdf \
+            .queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(k" in plan
+    partitioned = C.kmeans(points(spark, pts).repartition(5), init, params)
+    assert single.centres == partitioned.centres == py_kmeans(pts, init, 5.0, 20)
