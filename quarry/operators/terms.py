@@ -4,9 +4,11 @@ zero-filled ranking, an inverted index and a ranking from that index.
 Plan shape: one scan of the text, tokens intersected with the vocabulary in
 the row (small vocabulary) or matched by a broadcast hash join on distinct
 tokens (large vocabulary; the vocabulary is a parameter, so its size is known
-on the driver), then `explode` and a partial + final `count` per term. Only
-(term, partial count) pairs cross the shuffle, so a term present in every
-document costs no more than any other.
+on the driver). The one-pass ranking and the index then `explode`, and the
+ranking counts with a partial + final `count` per term: only (term, partial
+count) pairs cross the shuffle, so a term present in every document costs no
+more than any other. The zero-filled counts are a single global aggregate of
+one conditional count per term (one row per task crosses the shuffle).
 """
 
 from __future__ import annotations
