@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Spark Connect) session: the server applies the setting
+        return conf_dir
     found = sc.getCheckpointDir()
     if found:
         return found
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
