@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import local_table, sql_literal
+
 # --- Fixed values (must equal the reference's for equal results) -----------
 # Languages, in order; position is the language index.
 LANGUAGES = (
@@ -51,13 +53,13 @@ class Vocabulary:
         return len(self.terms)
 
     def literal(self) -> Column:
-        """The terms as one literal array column (position = index)."""
-        return F.array(*[F.lit(t) for t in self.terms])
+        """The terms as one literal array column (position = index), built
+        as one expression (one call to the JVM, whatever the length)."""
+        return F.expr("array(" + ", ".join(sql_literal(t) for t in self.terms) + ")")
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """`term string, pos int`; as many rows as terms (a parameter), as a
         local table."""
-        from quarry.session import local_table
         return local_table(spark, {"term": "string", "pos": "int"},
                            [(t, i) for i, t in enumerate(self.terms)])
 

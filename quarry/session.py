@@ -41,18 +41,32 @@ def keep(df: DataFrame, *, reliable: bool = True) -> DataFrame:
     return kept
 
 
+def sql_literal(value) -> str:
+    """A SQL literal for a driver value. Text goes in as UTF-8 bytes in hex,
+    so no quoting or escaping rule (or parser setting) can change it."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, int):
+        return f"{value}L"
+    if isinstance(value, float):
+        return f"CAST('{value!r}' AS DOUBLE)"
+    if isinstance(value, str):
+        return f"CAST(X'{value.encode('utf-8').hex()}' AS STRING)"
+    raise TypeError(f"unsupported value {value!r}")
+
+
 def local_table(spark: SparkSession, columns: dict[str, str], rows: list[tuple]) -> DataFrame:
     """A small table from driver values (parameters such as a vocabulary or k
-    centres, never data): SQL `VALUES` with named parameters, so it plans as a
-    local relation that is read without a job. Columns map name -> SQL type."""
+    centres, never data): SQL `VALUES` of literals, so it plans as a local
+    relation (collected without a job) and builds in time linear in its rows.
+    Columns map name -> SQL type."""
     names = list(columns)
     if any(len(r) != len(names) for r in rows):
         raise ValueError("every row needs one value per column")
     body = rows or [tuple(None for _ in names)]
-    values = ", ".join("(" + ", ".join(f":v{i}_{j}" for j in range(len(names))) + ")"
-                       for i in range(len(body)))
-    args = {f"v{i}_{j}": v for i, r in enumerate(body) for j, v in enumerate(r)}
+    values = ", ".join("(" + ", ".join(sql_literal(v) for v in r) + ")" for r in body)
     cols = ", ".join(f"CAST(`{n}` AS {t}) AS `{n}`" for n, t in columns.items())
     where = "" if rows else " WHERE false"
-    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({', '.join(f'`{n}`' for n in names)}){where}",
-                     args=args)
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({', '.join(f'`{n}`' for n in names)}){where}")

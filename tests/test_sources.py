@@ -144,14 +144,15 @@ def test_strict_checks_survive_column_pruning(spark):
         parse_articles(lines_df(spark, ["no marker"])).select().count()
 
 
-def test_local_table_binds_by_name_and_runs_no_job(spark):
+def test_local_table_values_and_no_job(spark):
     from quarry.session import local_table
     st = spark.sparkContext.statusTracker()
+    tricky = ["it's C#", None, "a\\b", "", "x\ny\t'\"", "ünï€😀", "--;DROP"]
     df = local_table(spark, {"k": "int", "cx": "bigint", "t": "string"},
-                     [(0, 5, "it's C#"), (1, 2 ** 40, None), (2, -3, "a\\b")])
+                     [(i, (-3) ** i * 2 ** 40, t) for i, t in enumerate(tricky)])
     before = len(st.getJobIdsForGroup(None))
     rows = [tuple(r) for r in df.collect()]
-    assert rows == [(0, 5, "it's C#"), (1, 2 ** 40, None), (2, -3, "a\\b")]
+    assert rows == [(i, (-3) ** i * 2 ** 40, t) for i, t in enumerate(tricky)]
     assert len(st.getJobIdsForGroup(None)) == before
     assert df.schema.simpleString() == "struct<k:int,cx:bigint,t:string>"
     assert local_table(spark, {"a": "int"}, []).count() == 0
