@@ -62,3 +62,31 @@ def test_one_round_matches_brute_force(spark, pts, centres):
               if i in groups else c for i, c in enumerate(centres)]
     assert C.step(df, centres) == expect
     assert C.step(C.weighted_points(df), centres, "w") == expect
+
+
+RESPONDENT = st.tuples(st.sampled_from([1.0, 2.0, 2.5, 3.0, 4.0, 5.0, 6.0]), st.sampled_from([1.0, 2.0]),
+                       st.sampled_from([15.0, 22.0, 23.0, 55.0, 56.0, 80.0]),
+                       *[st.integers(0, 600).map(float) for _ in range(5)])
+
+
+@SETTINGS
+@given(rows=st.lists(RESPONDENT, min_size=1, max_size=25))
+def test_time_use_summary_matches_python(spark, rows):
+    from quarry.operators import timeuse as TU
+    names = ["telfs", "tesex", "teage", "t0101", "t1801x", "t0501", "t1805", "t1201"]
+    df = spark.createDataFrame([(f"r{i}",) + r for i, r in enumerate(rows)],
+                               ", ".join(["id string"] + [f"{n} double" for n in names]))
+    p, w, o = TU.classify_columns(["id"] + names)
+    assert (p, w, o) == (["t0101", "t1801x"], ["t0501", "t1805"], ["t1201"])
+    groups = {}
+    for telfs, tesex, teage, a, b, c, d, e in rows:
+        if telfs > 4:
+            continue
+        key = ("working" if 1 <= telfs < 3 else "not working", "male" if tesex == 1 else "female",
+               "young" if teage <= 22 else "active" if teage <= 55 else "elder")
+        groups.setdefault(key, []).append((a / 60 + b / 60, c / 60 + d / 60, e / 60))
+    got = {tuple(r[:3]): tuple(r[3:]) for r in TU.summary_grouped(TU.respondent_summary(df, p, w, o)).collect()}
+    assert set(got) == set(groups)
+    for key, vals in groups.items():
+        for i in range(3):
+            assert abs(got[key][i] - sum(v[i] for v in vals) / len(vals)) <= 0.05 + 1e-9
