@@ -10,14 +10,10 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- Fixed values (labels and cut points of the recodes) -------------------
-WORKING, NOT_WORKING = "working", "not working"
-MALE, FEMALE = "male", "female"
-YOUNG, ACTIVE, ELDER = "young", "active", "elder"
-YOUNG_MAX_AGE = 22
-ACTIVE_MAX_AGE = 55
-MINUTES_PER_HOUR = 60
-# ---------------------------------------------------------------------------
+from quarry.fixed import (
+    ACTIVE, ACTIVE_MAX_AGE, ELDER, FEMALE, MALE, MALE_CODE, MINUTES_PER_HOUR, NOT_WORKING, WORKING,
+    WORKING_MAX_STATUS, WORKING_MIN_STATUS, YOUNG, YOUNG_MAX_AGE,
+)
 
 
 def _col(c: Column | str) -> Column:
@@ -27,12 +23,13 @@ def _col(c: Column | str) -> Column:
 def working_status(telfs: Column | str = "telfs") -> Column:
     """"working" when 1 <= telfs < 3, else "not working"."""
     t = _col(telfs)
-    return F.when((t >= 1) & (t < 3), F.lit(WORKING)).otherwise(F.lit(NOT_WORKING))
+    return (F.when((t >= WORKING_MIN_STATUS) & (t < WORKING_MAX_STATUS), F.lit(WORKING))
+            .otherwise(F.lit(NOT_WORKING)))
 
 
 def sex_label(tesex: Column | str = "tesex") -> Column:
     """"male" when tesex = 1, else "female"."""
-    return F.when(_col(tesex) == 1, F.lit(MALE)).otherwise(F.lit(FEMALE))
+    return F.when(_col(tesex) == MALE_CODE, F.lit(MALE)).otherwise(F.lit(FEMALE))
 
 
 def age_group(teage: Column | str = "teage") -> Column:

@@ -5,15 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- Fixed value: report line layout (median score 7 wide, tag 17 wide left
-# aligned, percent with one decimal 5 wide left aligned, size 7 wide) --------
-REPORT_LINE = "%7d  %-17s (%-5.1f%%)      %7d"
-REPORT_HEADER = (
-    "Resulting clusters:",
-    "  Score  Dominant language (%percent)  Questions",
-    "================================================",
-)
-# ---------------------------------------------------------------------------
+from quarry.fixed import REPORT_HEADER, REPORT_LINE  # noqa: F401  (re-exported)
 
 
 def report_line(median_score: str = "median_score", tag: str = "tag",

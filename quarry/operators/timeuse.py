@@ -18,18 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.fixed import MAX_EMPLOYABLE_STATUS, OTHER_PREFIXES, PRIMARY_PREFIXES, WORK_PREFIXES
 from quarry.functions.recode import age_group, hours_sum, sex_label, working_status
 from quarry.session import local_table
 
-# --- Fixed values: activity column prefixes per class -----------------------
-PRIMARY_PREFIXES = ("t01", "t03", "t11", "t1801", "t1803")
-WORK_PREFIXES = ("t05", "t1805")
-OTHER_PREFIXES = ("t02", "t04", "t06", "t07", "t08", "t09", "t10", "t12", "t13", "t14",
-                  "t15", "t16", "t18")
-# Respondents with a labour-force status above this are not employable.
-MAX_EMPLOYABLE_STATUS = 4
-# ---------------------------------------------------------------------------
-
 GROUP_KEYS = ("working", "sex", "age")
 MEASURES = ("primaryNeeds", "work", "other")
 # Names and types are enforced; fields stay nullable because parquet and CSV

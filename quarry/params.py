@@ -11,23 +11,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import local_table, sql_literal
-
-# --- Fixed values (must equal the reference's for equal results) -----------
-# Languages, in order; position is the language index.
-LANGUAGES = (
-    "JavaScript", "Java", "PHP", "Python", "C#", "C++", "Ruby", "CSS",
-    "Objective-C", "Perl", "Scala", "Haskell", "MATLAB", "Clojure", "Groovy",
+from quarry.fixed import (  # noqa: F401  (re-exported)
+    DEFAULT_ETA, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED, DEFAULT_SPREAD, GLOBAL_SAMPLE_SPREAD,
+    LANGUAGES,
 )
-# k-means defaults: spread between languages, centres, convergence bound on
-# the summed squared movement, round limit.
-DEFAULT_SPREAD = 50000
-DEFAULT_K = 45
-DEFAULT_ETA = 20.0
-DEFAULT_MAX_ITER = 120
-# Below this spread the seeds are drawn from all vectors, not per language.
-GLOBAL_SAMPLE_SPREAD = 500
-# ---------------------------------------------------------------------------
+from quarry.session import local_table, sql_literal
 
 # Above this many terms a vocabulary is matched with a broadcast hash join on
 # distinct tokens instead of an in-row set intersection with a literal array.
@@ -77,7 +65,7 @@ class KMeansParams:
     k: int = DEFAULT_K
     eta: float = DEFAULT_ETA
     max_iter: int = DEFAULT_MAX_ITER
-    seed: int = 42
+    seed: int = DEFAULT_SEED
 
     def __post_init__(self) -> None:
         if self.spread <= 0:

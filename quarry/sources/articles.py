@@ -10,14 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# --- Fixed values: article line layout -------------------------------------
-MARKER = "</title><text>"
-PREFIX_LEN = 14   # characters before the title, content not checked
-SUFFIX_LEN = 16   # characters after the text, content not checked
-# The wrappers written by `article_line` (14 and 16 characters).
+from quarry.fixed import ARTICLE_MARKER as MARKER
+from quarry.fixed import ARTICLE_PREFIX_LEN as PREFIX_LEN
+from quarry.fixed import ARTICLE_SUFFIX_LEN as SUFFIX_LEN
+
+# The wrappers `article_line` writes (14 and 16 characters; any text of those
+# lengths parses the same).
 OPEN_WRAPPER = "<page> <title>"
 CLOSE_WRAPPER = "</text> </page> "
-# ---------------------------------------------------------------------------
 
 
 def article_line(title: Column, text: Column) -> Column:
