@@ -54,6 +54,40 @@ def qa_pairs(postings: DataFrame) -> DataFrame:
     return q.join(a, "qid", "inner")
 
 
+def _hot_questions(answers_by_qid: DataFrame, rows_per_bucket: int, broadcast_max: int) -> DataFrame:
+    """`qid, _n`: questions with more than `rows_per_bucket` answers, counted
+    with a partial + final aggregate. Broadcast when there are at most
+    `broadcast_max` of them (checked with a count), joined by shuffle beyond."""
+    counts = answers_by_qid.groupBy("qid").agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > F.lit(rows_per_bucket))
+    return F.broadcast(hot) if hot.count() <= broadcast_max else hot
+
+
+def qa_pairs_salted(postings: DataFrame, *, rows_per_bucket: int = PAIRS_PER_PART,
+                    hot_broadcast_max: int = HOT_BROADCAST_MAX) -> DataFrame:
+    """`qa_pairs` with hot questions salted, for sessions where adaptive
+    execution is off or cannot split the join. A question with n answers over
+    `rows_per_bucket` spreads its answers over ceil(n / rows_per_bucket) salt
+    buckets by a hash of the answer, and only that question's row is repeated
+    once per bucket; every other question has one bucket. The join on
+    (qid, salt) then sends each bucket to its own task. Same rows as
+    `qa_pairs`."""
+    if rows_per_bucket <= 0:
+        raise ValueError("rows_per_bucket must be positive")
+    v = valid_postings(postings)
+    a = answers(v).select("qid", F.col("id").alias("answer_id"), F.col("score").alias("answer_score"))
+    hot = _hot_questions(a, rows_per_bucket, hot_broadcast_max)
+    buckets = F.coalesce(F.ceil(F.col("_n") / F.lit(rows_per_bucket)), F.lit(1))
+    salted_answers = (a.join(hot, "qid", "left")
+                      .select("qid", "answer_id", "answer_score",
+                              F.pmod(F.xxhash64("answer_id", "answer_score"), buckets).alias("_salt")))
+    salted_questions = (questions(v).select("qid", "tags").join(hot, "qid", "left")
+                        .select("qid", "tags", F.explode(F.sequence(F.lit(0).cast("bigint"), buckets - 1))
+                                .alias("_salt")))
+    return (salted_questions.join(salted_answers, ["qid", "_salt"], "inner")
+            .select("qid", "tags", "answer_id", "answer_score"))
+
+
 def qa_groups(postings: DataFrame) -> DataFrame:
     """Per answered question: `qid, n_answers, min_answer_id, max_answer_id`,
     the summary of its group of pairs. The answers are aggregated per
@@ -87,12 +121,8 @@ def grouped_pairs(postings: DataFrame, *, part_rows: int = PAIRS_PER_PART,
     tasks, and the pair join upstream may be split by adaptive execution."""
     if part_rows <= 0:
         raise ValueError("part_rows must be positive")
-    v = valid_postings(postings)
-    counts = answers(v).groupBy("qid").agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > F.lit(part_rows))
-    n_hot = hot.count()
-    hot_side = F.broadcast(hot) if n_hot <= hot_broadcast_max else hot
-    pairs = qa_pairs(postings).join(hot_side, "qid", "left")
+    hot = _hot_questions(answers(valid_postings(postings)), part_rows, hot_broadcast_max)
+    pairs = qa_pairs(postings).join(hot, "qid", "left")
     n_parts = F.coalesce(F.ceil(F.col("_n") / F.lit(part_rows)), F.lit(1))
     part = F.pmod(F.xxhash64("answer_id", "answer_score"), n_parts)
     grouped = (pairs.withColumn("part", part)

@@ -103,3 +103,17 @@ def test_term_in_every_document(spark):
     assert got["everywhere"] == a.count()
     plan = terms.rank_one_pass(a, Vocabulary(("everywhere",)))._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_salted_pairs_split_the_hot_question_without_adaptive_execution(spark, skewed):
+    plain = Counter(tuple(r) for r in P.qa_pairs(skewed).collect())
+    with conf(spark, **{"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.shuffle.partitions": "16"}):
+        salted = P.qa_pairs_salted(skewed, rows_per_bucket=1000)
+        rows = salted.collect()
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        per_task = salted.where(F.col("qid") == HOT_QID).rdd.glom().map(len).collect()
+    assert Counter(tuple(r) for r in rows) == plain
+    assert "SortMergeJoin [qid" in plan and "_salt" in plan
+    n_hot = sum(per_task)
+    assert max(per_task) < n_hot / 2          # the hot question is spread over several tasks
