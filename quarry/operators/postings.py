@@ -63,6 +63,27 @@ def _hot_questions(answers_by_qid: DataFrame, rows_per_bucket: int, broadcast_ma
     return F.broadcast(hot) if hot.count() <= broadcast_max else hot
 
 
+def _salted_pairs(postings: DataFrame, rows_per_bucket: int, hot_broadcast_max: int) -> DataFrame:
+    """Pairs with a salt bucket: `qid, tags, answer_id, answer_score, _salt,
+    _n` (`_n` = answer count of a hot question, null otherwise)."""
+    if rows_per_bucket <= 0:
+        raise ValueError("rows_per_bucket must be positive")
+    v = valid_postings(postings)
+    a = answers(v).select("qid", F.col("id").alias("answer_id"), F.col("score").alias("answer_score"))
+    hot = _hot_questions(a, rows_per_bucket, hot_broadcast_max)
+    buckets = F.coalesce(F.ceil(F.col("_n") / F.lit(rows_per_bucket)), F.lit(1))
+    salted_answers = (a.join(hot, "qid", "left")
+                      .select("qid", "answer_id", "answer_score", "_n",
+                              F.pmod(F.xxhash64("answer_id", "answer_score"), buckets).alias("_salt")))
+    salted_questions = (questions(v).select("qid", "tags").join(hot.select("qid", F.col("_n").alias("_qn")),
+                                                                 "qid", "left")
+                        .select("qid", "tags", F.explode(F.sequence(
+                            F.lit(0).cast("bigint"),
+                            F.coalesce(F.ceil(F.col("_qn") / F.lit(rows_per_bucket)), F.lit(1)) - 1))
+                            .alias("_salt")))
+    return salted_questions.join(salted_answers, ["qid", "_salt"], "inner")
+
+
 def qa_pairs_salted(postings: DataFrame, *, rows_per_bucket: int = PAIRS_PER_PART,
                     hot_broadcast_max: int = HOT_BROADCAST_MAX) -> DataFrame:
     """`qa_pairs` with hot questions salted, for sessions where adaptive
@@ -72,22 +93,29 @@ def qa_pairs_salted(postings: DataFrame, *, rows_per_bucket: int = PAIRS_PER_PAR
     once per bucket; every other question has one bucket. The join on
     (qid, salt) then sends each bucket to its own task. Same rows as
     `qa_pairs`."""
-    if rows_per_bucket <= 0:
-        raise ValueError("rows_per_bucket must be positive")
-    v = valid_postings(postings)
-    a = answers(v).select("qid", F.col("id").alias("answer_id"), F.col("score").alias("answer_score"))
-    hot = _hot_questions(a, rows_per_bucket, hot_broadcast_max)
-    buckets = F.coalesce(F.ceil(F.col("_n") / F.lit(rows_per_bucket)), F.lit(1))
-    salted_answers = (a.join(hot, "qid", "left")
-                      .select("qid", "answer_id", "answer_score",
-                              F.pmod(F.xxhash64("answer_id", "answer_score"), buckets).alias("_salt")))
-    salted_questions = (questions(v).select("qid", "tags").join(hot, "qid", "left")
-                        .select("qid", "tags", F.explode(F.sequence(F.lit(0).cast("bigint"), buckets - 1))
-                                .alias("_salt")))
-    return (salted_questions.join(salted_answers, ["qid", "_salt"], "inner")
+    return (_salted_pairs(postings, rows_per_bucket, hot_broadcast_max)
             .select("qid", "tags", "answer_id", "answer_score"))
 
 
+def grouped_pairs(postings: DataFrame, *, part_rows: int = PAIRS_PER_PART,
+                  hot_broadcast_max: int = HOT_BROADCAST_MAX) -> DataFrame:
+    """The pairs grouped per question as arrays: `qid, part, n_answers, pairs`.
+
+    A question with more than `part_rows` answers is split into
+    ceil(n / part_rows) parts by a hash of the answer, so no array has to
+    hold an unbounded group; a question's parts together hold all its pairs.
+    The parts are the salt buckets of `qa_pairs_salted`: its join on
+    (qid, part) already places every part in one partition, so the grouping
+    adds no shuffle, and a hot question's parts are in different tasks."""
+    pairs = _salted_pairs(postings, part_rows, hot_broadcast_max)
+    grouped = (pairs.groupBy("qid", "_salt")
+               .agg(F.max("_n").alias("_n"),
+                    F.array_sort(F.collect_list(F.struct("answer_id", "answer_score", "tags"))).alias("pairs")))
+    # a cold question is one part, so its size is its array's size
+    return grouped.select("qid", F.col("_salt").alias("part"),
+                          F.coalesce(F.col("_n"), F.size("pairs").cast("bigint")).alias("n_answers"), "pairs")
+
+
 def qa_groups(postings: DataFrame) -> DataFrame:
     """Per answered question: `qid, n_answers, min_answer_id, max_answer_id`,
     the summary of its group of pairs. The answers are aggregated per
@@ -105,36 +133,6 @@ def qa_groups(postings: DataFrame) -> DataFrame:
     return per_question.join(questions(v).select("qid"), "qid", "inner")
 
 
-def grouped_pairs(postings: DataFrame, *, part_rows: int = PAIRS_PER_PART,
-                  hot_broadcast_max: int = HOT_BROADCAST_MAX) -> DataFrame:
-    """The pairs grouped per question as arrays: `qid, part, n_answers, pairs`.
-
-    A question with more than `part_rows` answers is split into
-    ceil(n / part_rows) parts by a hash of the answer, so no array has to
-    hold an unbounded group; a question's parts together hold all its pairs.
-
-    Plan: answers are counted per question before the join (partial + final
-    count); only the "hot" questions, those over `part_rows`, are joined back
-    to the pairs, as a broadcast when their number is at most
-    `hot_broadcast_max` (checked), else as a shuffle join. The grouping then
-    shuffles on (qid, part), so a hot question's parts land in different
-    tasks, and the pair join upstream may be split by adaptive execution."""
-    if part_rows <= 0:
-        raise ValueError("part_rows must be positive")
-    hot = _hot_questions(answers(valid_postings(postings)), part_rows, hot_broadcast_max)
-    pairs = qa_pairs(postings).join(hot, "qid", "left")
-    n_parts = F.coalesce(F.ceil(F.col("_n") / F.lit(part_rows)), F.lit(1))
-    part = F.pmod(F.xxhash64("answer_id", "answer_score"), n_parts)
-    grouped = (pairs.withColumn("part", part)
-               .repartition("qid", "part")
-               .groupBy("qid", "part")
-               .agg(F.max("_n").alias("_n"),
-                    F.array_sort(F.collect_list(F.struct("answer_id", "answer_score", "tags"))).alias("pairs")))
-    # a cold question is one part, so its size is its array's size
-    return grouped.select("qid", "part", F.coalesce(F.col("_n"), F.size("pairs").cast("bigint")).alias("n_answers"),
-                          "pairs")
-
-
 def question_max_score(postings: DataFrame) -> DataFrame:
     """`qid, tags, max_score`: best answer score of every answered question
     (negative scores included)."""
