@@ -206,6 +206,23 @@ def cluster_stats(vectors: DataFrame, centres: Centres, tags: Vocabulary, spread
             .orderBy("median_score", "k"))
 
 
+def fitted_stats(vectors: DataFrame, params: KMeansParams, tags: Vocabulary, *,
+                 checkpoint: bool = True) -> DataFrame:
+    """Seeds and rounds as in `run_clustering`, returning the statistics
+    frame over the weighted points the rounds read. With a checkpoint folder
+    the frame reads those points from their checkpoint when consumed, so the
+    input (and its join) is not computed a second time; without one it is
+    recomputed from lineage."""
+    kept = keep(vectors.select("id", "x", "y"), reliable=False)
+    with kept_points(kept, checkpoint=checkpoint) as points:
+        try:
+            seeds = seed_centres(kept, params, len(tags))
+        finally:
+            kept.unpersist()
+        fit = _iterate(points, seeds, params)
+        return cluster_stats(points, fit.centres, tags, params.spread, weight="w")
+
+
 @dataclass
 class ClusterRun:
     fit: KMeansResult

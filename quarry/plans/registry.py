@@ -156,9 +156,9 @@ def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _vectors(spark, sf_dir)
-    p = B.POSTING_KMEANS_FIXED
-    return clustering.cluster_stats(v, _fitted(v), B.POSTING_TAGS, p.spread)
+    """Statistics over the weighted points of the fit (no second pass over
+    the postings join when the session names a checkpoint folder)."""
+    return clustering.fitted_stats(_vectors(spark, sf_dir), B.POSTING_KMEANS_FIXED, B.POSTING_TAGS)
 
 
 @query("cluster_dominant_tag")

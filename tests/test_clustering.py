@@ -235,3 +235,17 @@ def test_partitioned_points_give_the_same_fit(spark, monkeypatch):
     assert "Exchange hashpartitioning(k" in plan
     partitioned = C.kmeans(points(spark, pts).repartition(5), init, params)
     assert single.centres == partitioned.centres == py_kmeans(pts, init, 5.0, 20)
+
+
+def test_fitted_stats_read_the_checkpointed_points_not_the_tables(spark):
+    # the session has a checkpoint folder (conftest): the statistics frame
+    # reads the weighted points of the fit, not the postings join again
+    p = B.POSTING_KMEANS_FIXED
+    v = P.tag_vectors(P.question_max_score(B.postings(spark, SF_SMALL)), B.POSTING_TAGS, p.spread)
+    stats = C.fitted_stats(v, p, B.POSTING_TAGS)
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Join" not in plan
+    assert "ExistingRDD" in plan
+    seeds = S.seed_centres(v, p, len(B.POSTING_TAGS))
+    expected = C.cluster_stats(v, C.kmeans(v, seeds, p).centres, B.POSTING_TAGS, p.spread)
+    assert stats.collect() == expected.collect()
