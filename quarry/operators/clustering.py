@@ -27,7 +27,7 @@ from quarry.functions.numeric import sq_distance, trunc_div
 from quarry.functions.report import REPORT_HEADER, report_line
 from quarry.operators.sampling import seed_centres
 from quarry.params import KMeansParams, Vocabulary
-from quarry.session import keep, local_table
+from quarry.session import checkpoint_dir, keep, local_table
 
 Centres = list[tuple[int, int]]
 
@@ -90,11 +90,13 @@ def centres_frame(spark: SparkSession, centres: Sequence[tuple[int, int]]) -> Da
                        [(i, int(cx), int(cy)) for i, (cx, cy) in enumerate(centres)])
 
 
-def step_frame(vectors: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
+def step_frame(vectors: DataFrame, centres: Sequence[tuple[int, int]],
+               weight: str | None = None) -> DataFrame:
     """One round as a DataFrame: `k, cx, cy`, the new mean of every cluster,
     or its old centre when it got no point."""
     old = centres_frame(vectors.sparkSession, centres)
-    new = centre_means(assign(vectors, centres)).select("k", F.col("cx").alias("_nx"), F.col("cy").alias("_ny"))
+    new = (centre_means(assign(vectors, centres), weight)
+           .select("k", F.col("cx").alias("_nx"), F.col("cy").alias("_ny")))
     # `new` has at most one row per centre index: k rows, k is a parameter.
     return (old.join(F.broadcast(new), "k", "left")
             .select("k", F.coalesce("_nx", "cx").alias("cx"), F.coalesce("_ny", "cy").alias("cy")))
@@ -206,6 +208,22 @@ def cluster_stats(vectors: DataFrame, centres: Centres, tags: Vocabulary, spread
             .orderBy("median_score", "k"))
 
 
+def seeded_points(vectors: DataFrame, params: KMeansParams, n_tags: int) -> tuple[DataFrame, Centres]:
+    """The seed centres and the weighted points `x, y, w`, both from one kept
+    copy of the vectors. With a checkpoint folder the points are checkpointed
+    there, so a frame built on them reads the checkpoint instead of computing
+    the vectors again; without one they are recomputed from lineage."""
+    kept = keep(vectors.select("id", "x", "y"), reliable=False)
+    try:
+        seeds = seed_centres(kept, params, n_tags)
+        points = weighted_points(kept)
+        if checkpoint_dir(kept.sparkSession):
+            points = points.checkpoint(eager=True)
+        return points, seeds
+    finally:
+        kept.unpersist()
+
+
 def fitted_stats(vectors: DataFrame, params: KMeansParams, tags: Vocabulary, *,
                  checkpoint: bool = True) -> DataFrame:
     """Seeds and rounds as in `run_clustering`, returning the statistics

@@ -131,23 +131,29 @@ def nearest_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.assign(v, _seeds(v)).select("id", "x", "y", "k")
 
 
+def _seeded_points(spark: SparkSession, sf_dir: str):
+    """Weighted points and seeds from one pass over the vectors (see
+    `clustering.seeded_points`)."""
+    return clustering.seeded_points(_vectors(spark, sf_dir), B.POSTING_KMEANS_FIXED, len(B.POSTING_TAGS))
+
+
 @query("centre_means")
 def centre_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _vectors(spark, sf_dir)
-    return clustering.centre_means(clustering.assign(v, _seeds(v)))
+    points, seeds = _seeded_points(spark, sf_dir)
+    return clustering.centre_means(clustering.assign(points, seeds), "w")
 
 
 @query("kmeans_step")
 def kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _vectors(spark, sf_dir)
-    return clustering.step_frame(v, _seeds(v))
+    points, seeds = _seeded_points(spark, sf_dir)
+    return clustering.step_frame(points, seeds, "w")
 
 
 @query("centre_movement")
 def centre_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _vectors(spark, sf_dir)
-    seeds = _seeds(v)
-    return clustering.movement_frame(clustering.centres_frame(spark, seeds), clustering.step_frame(v, seeds))
+    points, seeds = _seeded_points(spark, sf_dir)
+    return clustering.movement_frame(clustering.centres_frame(spark, seeds),
+                                     clustering.step_frame(points, seeds, "w"))
 
 
 @query("kmeans_fit")

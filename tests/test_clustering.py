@@ -249,3 +249,16 @@ def test_fitted_stats_read_the_checkpointed_points_not_the_tables(spark):
     seeds = S.seed_centres(v, p, len(B.POSTING_TAGS))
     expected = C.cluster_stats(v, C.kmeans(v, seeds, p).centres, B.POSTING_TAGS, p.spread)
     assert stats.collect() == expected.collect()
+
+
+def test_seeded_points_read_the_checkpoint_and_agree_with_the_points(spark):
+    p = B.POSTING_KMEANS_FIXED
+    v = P.tag_vectors(P.question_max_score(B.postings(spark, SF_SMALL)), B.POSTING_TAGS, p.spread)
+    points, seeds = C.seeded_points(v, p, len(B.POSTING_TAGS))
+    assert seeds == S.seed_centres(v, p, len(B.POSTING_TAGS))
+    step = C.step_frame(points, seeds, "w")
+    plan = step._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "ExistingRDD" in plan
+    assert sorted(step.collect()) == sorted(C.step_frame(v, seeds).collect())
+    means = C.centre_means(C.assign(points, seeds), "w")
+    assert sorted(means.collect()) == sorted(C.centre_means(C.assign(v, seeds)).collect())
