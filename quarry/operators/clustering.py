@@ -27,7 +27,7 @@ from quarry.functions.numeric import sq_distance, trunc_div
 from quarry.functions.report import REPORT_HEADER, report_line
 from quarry.operators.sampling import seed_centres
 from quarry.params import KMeansParams, Vocabulary
-from quarry.session import checkpoint_dir, keep, local_table
+from quarry.session import keep, local_table, reread
 
 Centres = list[tuple[int, int]]
 
@@ -216,10 +216,7 @@ def seeded_points(vectors: DataFrame, params: KMeansParams, n_tags: int) -> tupl
     kept = keep(vectors.select("id", "x", "y"), reliable=False)
     try:
         seeds = seed_centres(kept, params, n_tags)
-        points = weighted_points(kept)
-        if checkpoint_dir(kept.sparkSession):
-            points = points.checkpoint(eager=True)
-        return points, seeds
+        return reread(weighted_points(kept)), seeds
     finally:
         kept.unpersist()
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.operators import clustering, postings, sampling, terms, timeuse
-from quarry.session import keep
+from quarry.session import keep, reread
 from quarry.sources import bindings as B
 from quarry.sources.articles import parse_articles
 from quarry.sources.postings import parse_postings
@@ -127,7 +127,9 @@ def seed_sample_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("nearest_centre")
 def nearest_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _vectors(spark, sf_dir)
+    # seeds and the per-point rows read the same checkpointed vectors
+    # when the session names a checkpoint folder
+    v = reread(_vectors(spark, sf_dir))
     return clustering.assign(v, _seeds(v)).select("id", "x", "y", "k")
 
 

@@ -41,6 +41,15 @@ def keep(df: DataFrame, *, reliable: bool = True) -> DataFrame:
     return kept
 
 
+def reread(df: DataFrame) -> DataFrame:
+    """The frame written once to the session's shared checkpoint folder and
+    read back from there, so that the jobs that read it later do not compute
+    its lineage again (and a lost executor re-reads shared storage). The frame
+    itself, unchanged, when the session names no folder. Nothing is cached, so
+    nothing needs releasing."""
+    return df.checkpoint(eager=True) if checkpoint_dir(df.sparkSession) else df
+
+
 def sql_literal(value) -> str:
     """A SQL literal for a driver value. Text goes in as UTF-8 bytes in hex,
     so no quoting or escaping rule (or parser setting) can change it."""

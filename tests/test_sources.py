@@ -156,3 +156,12 @@ def test_local_table_values_and_no_job(spark):
     assert len(st.getJobIdsForGroup(None)) == before
     assert df.schema.simpleString() == "struct<k:int,cx:bigint,t:string>"
     assert local_table(spark, {"a": "int"}, []).count() == 0
+
+
+def test_reread_reads_the_checkpoint_not_the_tables(spark):
+    from quarry.session import reread
+    orders = B.table(spark, SF_SMALL, "orders").select("o_orderkey", "o_orderpriority")
+    again = reread(orders.where(F.col("o_orderpriority") == "1-URGENT"))
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "ExistingRDD" in plan
+    assert sorted(again.collect()) == sorted(orders.where(F.col("o_orderpriority") == "1-URGENT").collect())
