@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.params import Vocabulary
+from quarry.session import reread
 
 QUESTION, ANSWER = 1, 2
 # Rows per part of the grouped pair view, and the most hot questions (over
@@ -57,9 +58,11 @@ def qa_pairs(postings: DataFrame) -> DataFrame:
 def _hot_questions(answers_by_qid: DataFrame, rows_per_bucket: int, broadcast_max: int) -> DataFrame:
     """`qid, _n`: questions with more than `rows_per_bucket` answers, counted
     with a partial + final aggregate. Broadcast when there are at most
-    `broadcast_max` of them (checked with a count), joined by shuffle beyond."""
+    `broadcast_max` of them (checked with a count), joined by shuffle beyond.
+    With a checkpoint folder the hot list is written once, so the count and
+    the join do not aggregate all answers twice."""
     counts = answers_by_qid.groupBy("qid").agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > F.lit(rows_per_bucket))
+    hot = reread(counts.where(F.col("_n") > F.lit(rows_per_bucket)))
     return F.broadcast(hot) if hot.count() <= broadcast_max else hot
 
 

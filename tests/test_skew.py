@@ -118,5 +118,7 @@ def test_salted_pairs_split_the_hot_question_without_adaptive_execution(spark, s
         per_task = salted.where(F.col("qid") == HOT_QID).rdd.glom().map(len).collect()
     assert Counter(tuple(r) for r in rows) == plain
     assert "SortMergeJoin [qid" in plan and "_salt" in plan
+    # the hot list is read back from the checkpoint: answers are counted once
+    assert "ExistingRDD" in plan and "partial_count" not in plan
     n_hot = sum(per_task)
     assert max(per_task) < n_hot / 2          # the hot question is spread over several tasks
