@@ -262,3 +262,11 @@ def test_seeded_points_read_the_checkpoint_and_agree_with_the_points(spark):
     assert sorted(step.collect()) == sorted(C.step_frame(v, seeds).collect())
     means = C.centre_means(C.assign(points, seeds), "w")
     assert sorted(means.collect()) == sorted(C.centre_means(C.assign(v, seeds)).collect())
+
+
+def test_kmeans_parameters_defaults_and_checks():
+    p = KMeansParams()
+    assert (p.spread, p.k, p.eta, p.max_iter) == (50000, 45, 20.0, 120)
+    for bad in ({"spread": 0}, {"k": 0}, {"max_iter": 0}):
+        with pytest.raises(ValueError):
+            KMeansParams(**bad)
