@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numeric import trunc_div
 from quarry.functions.text import mentions, tokens, vocabulary_hits
+from quarry import params
 from quarry.params import LITERAL_VOCAB_MAX, Vocabulary
 
 # Documents per posting-list block of the grouped index view. A block holds
@@ -40,9 +41,13 @@ def term_hits(articles: DataFrame, vocab: Vocabulary, *, text: str = "text",
     if len(vocab) <= LITERAL_VOCAB_MAX:
         return articles.select(F.explode(vocabulary_hits(text, vocab)).alias("term"), *keep_cols)
     # Large vocabulary: distinct tokens of each article, equi-joined with the
-    # vocabulary table. Its row count is the vocabulary length, known here.
+    # vocabulary table. Its row count is the vocabulary length, known here:
+    # broadcast up to `BROADCAST_VOCAB_MAX` terms, a shuffle join beyond.
     toks = articles.select(F.explode(F.array_distinct(tokens(text))).alias("term"), *keep_cols)
-    return toks.join(F.broadcast(vocab.frame(articles.sparkSession).select("term")), "term")
+    table = vocab.frame(articles.sparkSession).select("term")
+    if len(vocab) <= params.BROADCAST_VOCAB_MAX:
+        table = F.broadcast(table)
+    return toks.join(table, "term")
 
 
 def rank_one_pass(articles: DataFrame, vocab: Vocabulary, *, text: str = "text") -> DataFrame:

@@ -20,6 +20,10 @@ from quarry.session import local_table, sql_literal
 # Above this many terms a vocabulary is matched with a broadcast hash join on
 # distinct tokens instead of an in-row set intersection with a literal array.
 LITERAL_VOCAB_MAX = 64
+# Up to this many terms the vocabulary table is broadcast to that join (its
+# row count is the vocabulary length, known on the driver); a larger one is
+# joined by shuffle, or broadcast only by Spark's own size check.
+BROADCAST_VOCAB_MAX = 100_000
 
 
 @dataclass(frozen=True)
