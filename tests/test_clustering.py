@@ -267,6 +267,6 @@ def test_seeded_points_read_the_checkpoint_and_agree_with_the_points(spark):
 def test_kmeans_parameters_defaults_and_checks():
     p = KMeansParams()
     assert (p.spread, p.k, p.eta, p.max_iter) == (50000, 45, 20.0, 120)
-    for bad in ({"spread": 0}, {"k": 0}, {"max_iter": 0}):
+    for bad in ({"spread": 0}, {"k": 0}, {"k": 10_001}, {"max_iter": 0}):
         with pytest.raises(ValueError):
             KMeansParams(**bad)
