@@ -28,7 +28,7 @@ from quarry.llm.common import cut
 
 SHARDS = 24
 SEED = 20
-ROWS_PER_BUCKET = 16_384
+ROWS_PER_BUCKET = 4_096
 LAW = "rows"
 
 
