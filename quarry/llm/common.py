@@ -4,6 +4,7 @@ a table, and where lineage is cut."""
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,3 +44,13 @@ def cut(df: DataFrame) -> DataFrame:
     folder: later jobs, and retries after a lost executor, read the files."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Like `cut`, in Parquet: for wide results of which later jobs read some
+    columns. The files lie in the shared checkpoint folder and stay there."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{checkpoint_dir(spark)}/quarry-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

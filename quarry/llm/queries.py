@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import fingerprints, mixing, quality_rules, sharding
+from quarry.llm import fingerprints, line_dedup, mixing, quality_rules, sharding
 from quarry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,7 @@ def queries() -> dict[str, Query]:
         "op2_fingerprints": _on_documents(fingerprints.query),
         "op3_sharding": _on_documents(sharding.query),
         "op5_mixing": _on_documents(mixing.query),
+        "op7_line_dedup": _on_documents(line_dedup.query),
     }
 
 
