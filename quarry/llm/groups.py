@@ -163,14 +163,28 @@ def _print(e: DataFrame) -> tuple:
 # Blocks ----------------------------------------------------------------------------
 
 def blocks(members: DataFrame, block_rows: int) -> DataFrame:
-    """`id, comp, block` from `id, comp`: the blocks in which every two members
-    of a component meet at least once. A component of up to `block_rows` is
-    one block; a larger one is split in parts of half that size on average."""
+    """`id, comp, block, part, parts` from `id, comp`: the blocks in which
+    every two members of a component meet at least once. A component of up to
+    `block_rows` is one block; a larger one is split in parts of half that size
+    on average. Two members of one part meet in several blocks; `home` says
+    which of these is theirs."""
     sizes = members.groupBy("comp").agg(F.count(F.lit(1)).alias("_n"))
     parts = F.when(F.col("_n") <= block_rows, 1).otherwise(F.ceil(F.col("_n") * 2 / block_rows)).cast("bigint")
     part = F.pmod(F.xxhash64("id"), F.col("_parts"))
     return (members.join(sizes.withColumn("_parts", parts), "comp")
-            .select("id", "comp", F.explode(pairs_of_parts(part, F.col("_parts"))).alias("block")))
+            .withColumn("part", part)
+            .select("id", "comp", F.explode(pairs_of_parts(F.col("part"), F.col("_parts"))).alias("block"),
+                    "part", F.col("_parts").alias("parts")))
+
+
+def home(part: np.ndarray, parts: int, block: int) -> np.ndarray:
+    """For members of a block: whether pairs inside their own part are counted
+    here, which is so in exactly one block: the one with the part after."""
+    if parts <= 1:
+        return np.ones(len(part), dtype=bool)
+    low, high = divmod(block, parts)
+    other = np.where(part == low, high, low)
+    return other == (part + 1) % parts
 
 
 def compare_blocks(rows: DataFrame, compare: Callable[[pa.Table], tuple], schema: str) -> DataFrame:
