@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, fingerprints, line_dedup, mixing, ngram_join, quality_rules, sharding
+from quarry.llm import bpe, fingerprints, line_dedup, mixing, ngram_join, quality_rules, sharding, toxicity
 from quarry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,7 @@ def queries() -> dict[str, Query]:
         "op1_quality_rules": _on_documents(quality_rules.query),
         "op2_fingerprints": _on_documents(fingerprints.query),
         "op3_sharding": _on_documents(sharding.query),
+        "op4_toxicity": _with_labels(toxicity.query),
         "op5_mixing": _on_documents(mixing.query),
         "op7_line_dedup": _on_documents(line_dedup.query),
         "op9_bpe": _on_documents(bpe.query),
