@@ -12,10 +12,9 @@ removed since; so the automaton has one state per token and the construction
 is linear in the merges. `arc` answers whether a state has an arc, and keeps
 the answers as the transition table.
 
-Every string has exactly one path. Encoding a pre-split word finds, for each
-prefix, the one token that ends it on an arc from the state its beginning
-leads to; the path is read back from the end. Decoding emits the labels of the
-arcs.
+Every string has exactly one path. Encoding a pre-split word follows the
+arcs whose labels its characters spell, longer ones first, and steps back
+where the rest cannot be spelt. Decoding emits the labels of the arcs.
 
 The tokenizer file also names the rest: NFC, lower case, the split pattern,
 bytes written as printable characters, and the end-of-word mark on a word's
@@ -45,6 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CACHE = 200_000
+ARCS = 1_000_000        # answers of the transition table kept at once
 _BASE = -1              # "merge number" of base symbols
 
 
@@ -73,7 +73,6 @@ class Automaton:
         self._table: dict[tuple[int, int], bool] = {}
         for i, (u, v) in enumerate(merges):
             self._gadget(i, u, v)
-        self.longest = max(map(len, self.tokens), default=0)
 
     def _gadget(self, i: int, u: str, v: str) -> None:
         a, b, w = self.number[u], self.number[v], u + v
@@ -90,6 +89,8 @@ class Automaton:
         key = (x, t)
         found = self._table.get(key)
         if found is None:
+            if len(self._table) >= ARCS:
+                self._table.clear()
             found = self._table[key] = self._has(x, t, len(self.born) + len(self.cut))
         return found
 
@@ -107,26 +108,58 @@ class Automaton:
             else:
                 return True
 
-    def path(self, word: str, end: str) -> list[int]:
-        """The tokens of a word whose last symbol carries the mark `end`."""
-        n, longest, number, arc = len(word), self.longest, self.number, self.arc
-        last = [-1] * (n + 1)        # the token that ends the prefix
-        for i in range(1, n + 1):
-            mark = end if i == n else ""
-            for j in range(max(0, i - longest), i):
-                t = number.get(word[j:i] + mark)
-                if t is not None and (j == 0 or (last[j] >= 0 and arc(last[j], t))):
-                    last[i] = t
-                    break
+    def trie(self, end: str) -> dict:
+        """Arc labels as nested dicts of characters; under 0 the token that
+        ends there, under 1 the one that has the mark `end` as well."""
+        root: dict = {}
+        for t, label in enumerate(self.tokens):
+            marked = bool(end) and label.endswith(end)
+            node = root
+            for c in label[:-len(end)] if marked else label:
+                node = node.setdefault(c, {})
+            node[1 if marked else 0] = t
+        return root
+
+    def path(self, word: str, trie: dict, mark: int = 1) -> list[int]:
+        """The tokens of a word whose last symbol carries the mark (under 1 in
+        the trie): the only path from the start that spells the word. Longer
+        arcs are tried first; states from which the rest cannot be spelt are
+        not entered twice, so the work stays linear in the word's length."""
+        n, known, slow = len(word), self._table, self.arc
         out: list[int] = []
-        i = n
-        while i:
-            t = last[i]
-            if t < 0:
-                raise ValueError(f"no path for {word!r}")
-            out.append(t)
-            i -= len(self.tokens[t]) - (len(end) if i == n else 0)
-        return out[::-1]
+        todo: list[tuple[int, list[tuple[int, int]]]] = []
+        barren: set[tuple[int, int]] = set()
+        at, state = 0, -1
+        while at < n:
+            arcs: list[tuple[int, int]] = []
+            if (at, state) not in barren:
+                node = trie
+                for k in range(at, n):
+                    node = node.get(word[k])
+                    if node is None:
+                        break
+                    t = node.get(0 if k < n - 1 else mark)
+                    if t is not None:
+                        arcs.append((t, k + 1))
+            while True:
+                found = -1
+                while arcs:
+                    t, to = arcs.pop()
+                    if state < 0 or (known[state, t] if (state, t) in known else slow(state, t)):
+                        found = t
+                        break
+                if found >= 0:
+                    todo.append((at, arcs))
+                    out.append(found)
+                    at, state = to, found
+                    break
+                if not todo:
+                    raise ValueError(f"no path for {word!r}")
+                barren.add((at, state))
+                at, arcs = todo.pop()
+                out.pop()
+                state = out[-1] if out else -1
+        return out
 
 
 class Tokenizer:
@@ -156,10 +189,11 @@ class Tokenizer:
         # the longest special token first, where several begin at one place
         names = sorted(self.special, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
+        self._trie = self.automaton.trie(self.end)
         self._chunks: dict[str, tuple[bytes, str, int]] = {}
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("_split", "_special", "_chunks")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_split", "_special", "_trie", "_chunks")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -167,6 +201,8 @@ class Tokenizer:
 
     def _normal(self, text: str) -> str:
         # character by character: a capital sigma does not depend on its place
+        if text.isascii():
+            return text.lower()
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
     def _chunk_ids(self, chunk: str) -> list[int]:
@@ -176,9 +212,12 @@ class Tokenizer:
             if k % 2:
                 out.append(self.special[part])
                 continue
-            for piece in self._split.findall(self._normal(part)):
-                word = "".join([self.symbols[b] for b in piece.encode("utf-8")])
-                out += [self.ids[t] for t in self.automaton.path(word, self.end)]
+            text = self._normal(part)
+            for piece in [text] if text.isalpha() else self._split.findall(text):
+                # printable ASCII characters stand for themselves
+                plain = piece.isascii() and piece.isprintable()
+                word = piece if plain else "".join([self.symbols[b] for b in piece.encode("utf-8")])
+                out += [self.ids[t] for t in self.automaton.path(word, self._trie)]
         return out
 
     def _chunk(self, chunk: str) -> tuple[bytes, str, int]:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, fingerprints, line_dedup, mixing, ngram_join, quality_rules, sharding, toxicity
+from quarry.llm import bpe, fingerprints, line_crf, line_dedup, mixing, ngram_join, pii, quality_rules, sharding, toxicity
 from quarry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +29,9 @@ def queries() -> dict[str, Query]:
         "op3_sharding": _on_documents(sharding.query),
         "op4_toxicity": _with_labels(toxicity.query),
         "op5_mixing": _on_documents(mixing.query),
+        "op6_quality_crf": _with_labels(line_crf.query),
         "op7_line_dedup": _on_documents(line_dedup.query),
+        "op8_pii": _on_documents(pii.query),
         "op9_bpe": _on_documents(bpe.query),
         "op10_ngram_join": _on_documents(ngram_join.query),
     }
