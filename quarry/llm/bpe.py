@@ -108,23 +108,24 @@ class Automaton:
             else:
                 return True
 
-    def trie(self, end: str) -> dict:
-        """Arc labels as nested dicts of characters; under 0 the token that
-        ends there, under 1 the one that has the mark `end` as well."""
-        root: dict = {}
+    def trie(self, end: str) -> list:
+        """Arc labels by their characters: nodes are (children by character,
+        the token that ends here, the one that has the mark `end` as well),
+        -1 for no token."""
+        root: list = [{}, -1, -1]
         for t, label in enumerate(self.tokens):
             marked = bool(end) and label.endswith(end)
             node = root
             for c in label[:-len(end)] if marked else label:
-                node = node.setdefault(c, {})
-            node[1 if marked else 0] = t
+                node = node[0].setdefault(c, [{}, -1, -1])
+            node[2 if marked else 1] = t
         return root
 
-    def path(self, word: str, trie: dict, mark: int = 1) -> list[int]:
-        """The tokens of a word whose last symbol carries the mark (under 1 in
-        the trie): the only path from the start that spells the word. Longer
-        arcs are tried first; states from which the rest cannot be spelt are
-        not entered twice, so the work stays linear in the word's length."""
+    def path(self, word: str, trie: list, mark: int = 2) -> list[int]:
+        """The tokens of a word whose last symbol carries the mark (entry 2 of
+        the trie's nodes): the only path from the start that spells the word.
+        Longer arcs are tried first; states from which the rest cannot be spelt
+        are not entered twice, so the work stays linear in the word's length."""
         n, known, slow = len(word), self._table, self.arc
         out: list[int] = []
         todo: list[tuple[int, list[tuple[int, int]]]] = []
@@ -133,14 +134,15 @@ class Automaton:
         while at < n:
             arcs: list[tuple[int, int]] = []
             if (at, state) not in barren:
-                node = trie
-                for k in range(at, n):
-                    node = node.get(word[k])
+                node, k = trie, at
+                for c in word[at:]:
+                    node = node[0].get(c)
                     if node is None:
                         break
-                    t = node.get(0 if k < n - 1 else mark)
-                    if t is not None:
-                        arcs.append((t, k + 1))
+                    k += 1
+                    t = node[1] if k < n else node[mark]
+                    if t >= 0:
+                        arcs.append((t, k))
             while True:
                 found = -1
                 while arcs:
@@ -191,9 +193,10 @@ class Tokenizer:
         self._special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self._trie = self.automaton.trie(self.end)
         self._chunks: dict[str, tuple[bytes, str, int]] = {}
+        self._words: dict[str, list[int]] = {}
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("_split", "_special", "_trie", "_chunks")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_split", "_special", "_trie", "_chunks", "_words")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -205,7 +208,25 @@ class Tokenizer:
             return text.lower()
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
+    def _word(self, piece: str) -> list[int]:
+        """Ids of one piece of the split pattern."""
+        found = self._words.get(piece)
+        if found is None:
+            # printable ASCII characters stand for themselves
+            plain = piece.isascii() and piece.isprintable()
+            word = piece if plain else "".join([self.symbols[b] for b in piece.encode("utf-8")])
+            ids = self.ids
+            found = [ids[t] for t in self.automaton.path(word, self._trie)]
+            if len(self._words) >= CACHE:
+                self._words.clear()
+            self._words[piece] = found
+        return found
+
     def _chunk_ids(self, chunk: str) -> list[int]:
+        if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():      # a word and its mark: two pieces
+            text = self._normal(chunk[:-1])
+            if text.isalpha():
+                return self._word(text) + self._word(chunk[-1])
         parts = self._special.split(chunk) if self._special and "<" in chunk else [chunk]
         out: list[int] = []
         for k, part in enumerate(parts):
@@ -214,10 +235,7 @@ class Tokenizer:
                 continue
             text = self._normal(part)
             for piece in [text] if text.isalpha() else self._split.findall(text):
-                # printable ASCII characters stand for themselves
-                plain = piece.isascii() and piece.isprintable()
-                word = piece if plain else "".join([self.symbols[b] for b in piece.encode("utf-8")])
-                out += [self.ids[t] for t in self.automaton.path(word, self._trie)]
+                out += self._word(piece)
         return out
 
     def _chunk(self, chunk: str) -> tuple[bytes, str, int]:
