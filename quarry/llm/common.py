@@ -39,11 +39,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-ckpt-"))
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """The frame computed once and read back from the shared checkpoint
-    folder: later jobs, and retries after a lost executor, read the files."""
+    folder: later jobs, and retries after a lost executor, read the files.
+    `partitions`, for frames whose size is known or bounded: at most so many
+    tasks write it, so that small frames are not spread over many files."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (df.coalesce(partitions) if partitions else df).checkpoint(eager=True)
 
 
 def store(df: DataFrame) -> DataFrame:

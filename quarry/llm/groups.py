@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import cut
 
 COARSE = 1 << 18         # buckets are counted in so many classes of keys
+EDGES_PER_TASK = 100_000
 BUCKET_ROWS = 4096       # a bucket of more rows is compared part by part
 
 
@@ -145,7 +146,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        e = cut(small)
+        # a round never adds edges beyond twice those it had
+        e = cut(small, 1 + seen[0] // EDGES_PER_TASK)
         now = _print(e)
         if now == seen:
             break

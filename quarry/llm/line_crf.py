@@ -205,7 +205,7 @@ def fit_crf(acts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, ri
 def fit(docs: DataFrame, labels: DataFrame) -> Crf:
     """Line features of the sample are made by Spark tasks; the fit sees at
     most 1.25 x MAX_TRAIN documents of small numbers."""
-    sample = cut(training.training_texts(docs, labels, "quality", MAX_TRAIN, MAX_TRAIN_CHARS))
+    sample = cut(training.training_texts(docs, labels, "quality", MAX_TRAIN, MAX_TRAIN_CHARS), training.TASKS)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

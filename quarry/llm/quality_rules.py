@@ -151,7 +151,7 @@ def posterior(votes: list[Column], r: Rates) -> Column:
 def patterns(voted: DataFrame, names: list[str]) -> DataFrame:
     """Vote patterns with their number of documents: at most 3**len(names)
     rows, cut from the lineage."""
-    return cut(voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n_docs")))
+    return cut(voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n_docs")), 1)
 
 
 def fit(pats: DataFrame, names: list[str], rounds: int = 25, tolerance: float = 1e-6) -> Rates:

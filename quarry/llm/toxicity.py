@@ -241,7 +241,7 @@ def _lexicon(sample: DataFrame) -> dict[str, float]:
                 .groupBy(F.col("_p.w").alias("w"), F.col("_p.c").alias("c"))
                 .agg(F.min("_label").alias("tox")))    # a context of both counts as clean
     words = cut(contexts.groupBy("w").agg(
-        F.sum("tox").alias("tox"), F.sum(1 - F.col("tox")).alias("clean")))
+        F.sum("tox").alias("tox"), F.sum(1 - F.col("tox")).alias("clean")), training.TASKS)
     starts = F.transform(F.sequence(F.lit(LEAST_LETTERS), F.length("w")), lambda n: F.substring("w", F.lit(1), n))
     begins = (words.select("w", "tox", "clean", F.explode(starts).alias("p")).groupBy("p")
               .agg(F.sum("tox").alias("tox"), F.sum("clean").alias("clean"),
@@ -268,7 +268,7 @@ def _lexicon(sample: DataFrame) -> dict[str, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    sample = cut(training.training_texts(docs, labels, "toxic", MAX_TRAIN, MAX_TRAIN_CHARS))
+    sample = cut(training.training_texts(docs, labels, "toxic", MAX_TRAIN, MAX_TRAIN_CHARS), training.TASKS)
     strength = _lexicon(sample)
     plain = Matcher(strength)
 

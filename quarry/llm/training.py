@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FOLDS, HELD = 3, 1
+TASKS = 16        # that keep and read a sample: its size is bounded
 
 
 def fold(doc_id: Column) -> Column:
