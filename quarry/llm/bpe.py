@@ -75,14 +75,15 @@ class Automaton:
             self._gadget(i, u, v)
 
     def _gadget(self, i: int, u: str, v: str) -> None:
-        a, b, w = self.number[u], self.number[v], u + v
-        self.cut.setdefault((a, b), i)
-        if w not in self.number:
-            self.number[w] = len(self.tokens)
-            self.tokens.append(w)
-            self.born.append(i)
-            self.head.append(a)
-            self.tail.append(b)
+        a, b, w = self.number.get(u), self.number.get(v), u + v
+        if a is None or b is None or w in self.number or not self._has(a, b, i):
+            return              # the pair never stands: there is nothing to merge
+        self.cut[a, b] = i
+        self.number[w] = len(self.tokens)
+        self.tokens.append(w)
+        self.born.append(i)
+        self.head.append(a)
+        self.tail.append(b)
 
     def arc(self, x: int, t: int) -> bool:
         """Whether the state reached by token x has an arc t."""

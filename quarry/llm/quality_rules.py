@@ -112,10 +112,9 @@ def rules() -> dict[str, Column]:
     """name -> vote (0 bad, 1 good, -1 abstains) over the columns of `counts`."""
     c = F.col
     n, chars = c("n_words"), c("word_chars")
-    mean_len = chars / n
     return {
         "length": _vote(n < 10),
-        "mean_word": _vote((n > 0) & ((mean_len < 2) | (mean_len > 15))),
+        "mean_word": _vote((chars < 2 * n) | (chars > 15 * n)),
         "symbols": _vote(c("n_symbols") > 0.1 * n, (n >= 20) & (c("n_symbols") <= 0.01 * n)),
         "alnum": _vote((n >= 20) & (c("n_alnum") < 0.89 * chars), (n >= 20) & (c("n_alnum") >= 0.93 * chars)),
         "bangs": _vote((n >= 10) & (c("n_bangs") > 0.2 * n)),

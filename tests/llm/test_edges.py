@@ -1,0 +1,81 @@
+"""Every operator and stage on nulls, empty and very long texts, ties, repeated
+rows, empty tables and clashing column names."""
+
+import pytest
+
+import corpus_pipeline
+from quarry.llm import (bpe, fingerprints, line_crf, line_dedup, mixing, ngram_join, pii, quality_rules, sharding,
+                        toxicity)
+
+from .helpers import EDGE_ROWS, clashing, edge_docs, empty_docs
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+def labels(spark):
+    return spark.createDataFrame([(i, i % 2, i % 2) for i in range(1, 10)] + [(None, 1, 0), (3, None, None)], LABELS)
+
+
+QUERIES = {
+    "op1": quality_rules.query, "op2": fingerprints.query, "op3": sharding.query,
+    "op4": lambda d: toxicity.query(d, labels(d.sparkSession)), "op5": mixing.query,
+    "op6": lambda d: line_crf.query(d, labels(d.sparkSession)), "op7": line_dedup.query, "op8": pii.query,
+    "op9": bpe.query, "op10": ngram_join.query,
+}
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_edge_rows_keep_their_count(spark, name):
+    rows = QUERIES[name](edge_docs(spark)).collect()
+    assert len(rows) == len(EDGE_ROWS)
+    ids = [r["doc_id"] for r in rows]
+    assert sorted(x for x in ids if x is not None) == sorted(r[0] for r in EDGE_ROWS if r[0] is not None)
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_clashing_columns_change_nothing(spark, name):
+    a = QUERIES[name](edge_docs(spark))
+    b = QUERIES[name](clashing(edge_docs(spark)))
+    assert a.columns == b.columns
+    key = lambda r: repr(tuple(r))
+    assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_empty_table(spark, name):
+    assert QUERIES[name](empty_docs(spark)).collect() == []
+
+
+@pytest.mark.parametrize("name", ["op4", "op6", "op8", "op9", "op1"])
+def test_repeated_rows_have_equal_results(spark, name):
+    rows = [tuple(r) for r in QUERIES[name](edge_docs(spark)).collect() if r["doc_id"] == 5]
+    assert len(rows) == 2 and rows[0] == rows[1]
+
+
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+@pytest.mark.parametrize("make", [edge_docs, empty_docs, lambda s: clashing(edge_docs(s))],
+                         ids=["edges", "empty", "clash"])
+def test_stages(spark, scratch, name, make):
+    labels(spark).write.parquet(f"{scratch}/labels.parquet")
+    docs = make(spark)
+    out = STAGES[name](spark, docs, scratch)
+    if name != "bpe":
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+    n = out.count()
+    assert n <= docs.count() and (n > 0) == (docs.count() > 0)
+
+
+def test_pipeline_is_the_stages_one_after_the_other(spark, scratch):
+    docs = edge_docs(spark)
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    labels(spark).write.parquet(f"{scratch}/labels.parquet")
+    got = corpus_pipeline.run(spark, scratch).select("doc_id", "ids_sha256").collect()
+    step = spark.read.parquet(f"{scratch}/documents.parquet")
+    for k, (_, f) in enumerate(corpus_pipeline.STAGES):
+        f(spark, step, scratch).write.parquet(f"{scratch}/{k}")
+        step = spark.read.parquet(f"{scratch}/{k}")
+    want = step.select("doc_id", "ids_sha256").collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
