@@ -43,8 +43,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 200_000
-ARCS = 1_000_000        # answers of the transition table kept at once
+CACHE = 60_000
+ARCS = 300_000        # answers of the transition table kept at once
 _BASE = -1              # "merge number" of base symbols
 
 

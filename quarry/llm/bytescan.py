@@ -20,7 +20,7 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 # Fixed odd multipliers: bytes in a word, words in a sequence, two of each.
 _BYTE_MUL = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _WORD_MUL = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 class _Powers:

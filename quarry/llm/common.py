@@ -48,11 +48,17 @@ def cut(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return (df.coalesce(partitions) if partitions else df).checkpoint(eager=True)
 
 
-def store(df: DataFrame) -> DataFrame:
+def few(spark: SparkSession) -> int:
+    """Partitions for results that are much smaller than the documents: four
+    for each core of the cluster."""
+    return 4 * spark.sparkContext.defaultParallelism
+
+
+def store(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Like `cut`, in Parquet: for wide results of which later jobs read some
     columns. The files lie in the shared checkpoint folder and stay there."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{checkpoint_dir(spark)}/quarry-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.coalesce(partitions) if partitions else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut
+from quarry.llm.common import cut, few
 
 COARSE = 1 << 18         # buckets are counted in so many classes of keys
 EDGES_PER_TASK = 100_000
@@ -134,7 +134,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     component. Alternating large and small stars; every round is two
     aggregations by node (minimum, with partial aggregation) joined back to
     the edges, written to the shared folder, until a round changes nothing."""
-    e = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    e = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
+            few(edges.sparkSession))
     seen = _print(e)
     for _ in range(rounds):
         if not seen[0]:

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import bytescan, groups
-from quarry.llm.common import store
+from quarry.llm.common import few, store
 
 SHINGLE = 5
 NUM, DEN = 4, 5          # the threshold 0.8 as a fraction: checked in integers
@@ -212,7 +212,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     scanned = store(base.mapInArrow(_scan, _SCAN))
     equal = store(scanned.groupBy("k1", "k2").agg(
         F.min(F.struct("doc_id", "tk")).alias("first"), F.count(F.lit(1)).alias("n_docs"),
-        F.first("sig").alias("sig")).withColumn("id", F.monotonically_increasing_id()))
+        F.first("sig").alias("sig")).withColumn("id", F.monotonically_increasing_id()), few(docs.sparkSession))
     bands = equal.where(F.col("sig").isNotNull()).select("id", "sig").mapInArrow(
         _bands, "key bigint, id bigint, b0 bigint, b1 bigint")
     apart = VALUES - least_matches(VALUES, (1 + THRESHOLD) / 2)
@@ -224,7 +224,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = base.join(wanted, base["doc_id"].eqNullSafe(wanted["_rd"]) & (base["tk"] == wanted["_rt"]))
     linked = store(groups.compare_blocks(
         texts.select("id", "comp", "block", "part", "parts", "n_docs", "sig", "text"),
-        _compare, "kind bigint, a bigint, b bigint"))
+        _compare, "kind bigint, a bigint, b bigint"), few(docs.sparkSession))
     together = groups.components(linked.where("kind = 0").select("a", "b"))
     counted = linked.where("kind = 1").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("links"))
     first = equal.select("id", "first")

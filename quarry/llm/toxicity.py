@@ -53,7 +53,7 @@ SHARE = 0.75                   # of an entry's contexts that are toxic, at least
 SURE = 0.98                    # the same, for entries that may be misspelled
 THRESHOLD = 0.7
 WINDOW = 8                     # words on either side
-STATES = 200_000               # of the automaton kept at once
+STATES = 60_000                # of the automaton, and words, kept at once
 
 WORD = re.compile(r"[^\W\d_]+")
 SPARK_WORD = r"\p{L}+"
@@ -308,9 +308,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"),
-                 pa.array([m.score(t) for t in batch.column("text").to_pylist()], pa.float64())], ["doc_id", "score"])
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"),
+                     pa.array([m.score(t) for t in part.column("text").to_pylist()], pa.float64())],
+                    ["doc_id", "score"])
 
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return base.mapInArrow(work, "doc_id bigint, score double").select(
@@ -329,8 +332,10 @@ def stage(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            stays = [m.score(t) < THRESHOLD for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(stays, pa.bool_()))
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                stays = [m.score(t) < THRESHOLD for t in part.column(at).to_pylist()]
+                yield part.filter(pa.array(stays, pa.bool_()))
 
     at = docs.columns.index("text")
     return docs.mapInArrow(work, docs.schema)
