@@ -31,31 +31,24 @@ from quarry.session import keep, local_table, reread
 
 Centres = list[tuple[int, int]]
 
-# Distinct weighted points up to which a round runs as one task without a
-# shuffle (a million rows of three longs: a fraction of a second per round).
-SINGLE_TASK_POINTS = 1_000_000
-
-def _centres_sql(centres: Sequence[tuple[int, int]]) -> str:
-    """The centres as one array literal: array<struct<k int, cx bigint, cy bigint>>."""
-    if not centres:
-        raise ValueError("no centres")
-    return "array(" + ", ".join(
-        f"named_struct('k', {i}, 'cx', {int(cx)}L, 'cy', {int(cy)}L)"
-        for i, (cx, cy) in enumerate(centres)) + ")"
-
-
 def nearest(centres: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> Column:
     """Index of the centre with the least squared distance; the lowest index
-    wins a tie (struct order: distance, then index). Built as one expression
+    wins a tie (the first position of the least entry). An array of the k
+    squared distances, compiled with the projection; built as one expression
     string: one call to the JVM per round instead of one per literal.
 
     The array is never empty, so the index is never null; `coalesce` with an
     index that cannot occur says so to the optimizer, which otherwise infers
     `isnotnull(k)` from a later join on `k` and pushes it down as a filter that
     evaluates this expression a second time for every point."""
-    dx, dy = f"(`{x}` - c.cx)", f"(`{y}` - c.cy)"
-    return F.expr(f"coalesce(array_min(transform({_centres_sql(centres)}, "
-                  f"c -> named_struct('d', {dx} * {dx} + {dy} * {dy}, 'k', c.k))).k, -1)")
+    if not centres:
+        raise ValueError("no centres")
+
+    def sq(v: str, c: int) -> str:
+        return f"(`{v}` - {int(c)}L) * (`{v}` - {int(c)}L)"
+
+    d = "array(" + ", ".join(f"{sq(x, cx)} + {sq(y, cy)}" for cx, cy in centres) + ")"
+    return F.expr(f"coalesce(cast(array_position({d}, array_min({d})) - 1 as int), -1)")
 
 
 def assign(vectors: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
@@ -141,13 +134,11 @@ class KMeansResult:
 @contextmanager
 def kept_points(vectors: DataFrame, *, checkpoint: bool = True) -> Iterator[DataFrame]:
     """The weighted points every round reads (`x, y, w`), kept once and
-    released on exit. When there are at most `SINGLE_TASK_POINTS` distinct
-    points (counted on the kept frame), rounds read them as one partition: the
-    per-cluster sums then need no shuffle, one stage per round. Beyond that
-    they stay partitioned and each round is a partial + final aggregate."""
+    released on exit. They stay partitioned: each round is a partial + final
+    aggregate that shuffles at most k rows per task."""
     kept = keep(weighted_points(vectors), reliable=checkpoint)
     try:
-        yield kept.coalesce(1) if kept.count() <= SINGLE_TASK_POINTS else kept
+        yield kept
     finally:
         kept.unpersist()
 

@@ -138,10 +138,15 @@ def qa_groups(postings: DataFrame) -> DataFrame:
 
 def question_max_score(postings: DataFrame) -> DataFrame:
     """`qid, tags, max_score`: best answer score of every answered question
-    (negative scores included)."""
-    v = valid_postings(postings)
-    best = answers(v).groupBy("qid").agg(F.max("score").alias("max_score"))
-    return questions(v).select("qid", "tags").join(best, "qid", "inner")
+    (negative scores included), one row per question id. One aggregation over
+    both kinds of posting: one scan, one shuffle, no join. Should a question
+    id occur twice, the greater tag is taken (see `duplicate_questions`)."""
+    question, answer = F.col("posting_type") == QUESTION, F.col("posting_type") == ANSWER
+    return (valid_postings(postings).groupBy("qid")
+            .agg(F.max(F.when(question, F.struct("tags"))).alias("_q"),
+                 F.max(F.when(answer, F.col("score"))).alias("max_score"))
+            .where(F.col("_q").isNotNull() & F.col("max_score").isNotNull())
+            .select("qid", F.col("_q.tags").alias("tags"), "max_score"))
 
 
 def duplicate_questions(postings: DataFrame) -> DataFrame:

@@ -24,9 +24,6 @@ LITERAL_VOCAB_MAX = 64
 # row count is the vocabulary length, known on the driver); a larger one is
 # joined by shuffle, or broadcast only by Spark's own size check.
 BROADCAST_VOCAB_MAX = 100_000
-# Most centres: they travel as one literal array in each round's projection,
-# k rows return to the driver per round, and k-row tables are broadcast.
-MAX_K = 10_000
 
 
 @dataclass(frozen=True)
@@ -77,8 +74,8 @@ class KMeansParams:
     def __post_init__(self) -> None:
         if self.spread <= 0:
             raise ValueError("spread must be positive, or tags cannot be recovered from x")
-        if not 0 < self.k <= MAX_K:
-            raise ValueError(f"k must be in 1..{MAX_K}")
+        if self.k < 1:
+            raise ValueError("k must be at least 1")
         if self.max_iter <= 0:
             raise ValueError("max_iter must be positive")
 

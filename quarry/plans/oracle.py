@@ -113,6 +113,8 @@ _SQL["qa_pairs"] = f"{POSTING_CTES} SELECT qid, tags, answer_id, answer_score FR
 _SQL["qa_groups"] = (f"{POSTING_CTES} SELECT qid, count(*) AS n_answers, min(answer_id) AS min_answer_id, "
                      "max(answer_id) AS max_answer_id FROM pairs GROUP BY qid")
 _SQL["question_max_score"] = f"{POSTING_CTES} SELECT qid, tags, max_score FROM scored"
+_SQL["duplicate_questions"] = (f"WITH {POSTINGS}, {VALID} SELECT id AS qid, count(*) AS n FROM valid "
+                               "WHERE posting_type = 1 GROUP BY id HAVING count(*) > 1")
 _SQL["tag_score_vectors"] = f"{POSTING_CTES} SELECT id, x, y FROM vectors"
 _SQL["seed_sample_per_tag"] = f"{SEED_CTES} SELECT k, id, x, y FROM seeds"
 _SQL["seed_sample_global"] = (

@@ -109,6 +109,11 @@ def question_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.question_max_score(B.postings(spark, sf_dir))
 
 
+@query("duplicate_questions")
+def duplicate_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.duplicate_questions(B.postings(spark, sf_dir))
+
+
 @query("tag_score_vectors")
 def tag_score_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _vectors(spark, sf_dir)

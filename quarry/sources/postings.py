@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 
 POSTING_COLUMNS = ("posting_type", "id", "accepted_answer", "parent_id", "score", "tags")
 # --- Fixed value: a valid line. Integer fields 0, 1 and 4 are required, 2
-# and 3 may be empty; anything may follow a fifth comma. Digit counts keep the
-# values inside int (type) and bigint (ids, score).
-LINE_PATTERN = (r"^[+-]?[0-9]{1,9},[+-]?[0-9]{1,18},([+-]?[0-9]{1,18})?,"
-                r"([+-]?[0-9]{1,18})?,[+-]?[0-9]{1,18}(,.*)?$")
+# and 3 may be empty; anything may follow a fifth comma. The casts judge the
+# range of the numbers.
+LINE_PATTERN = r"(?s)^[+-]?[0-9]+,[+-]?[0-9]+,([+-]?[0-9]+)?,([+-]?[0-9]+)?,[+-]?[0-9]+(,.*)?$"
 # ---------------------------------------------------------------------------
 # Integer fields and whether they may be empty.
 _INT_FIELDS = (("posting_type", 0, False, "int"), ("id", 1, False, "bigint"),
@@ -36,7 +35,7 @@ def posting_line(df: DataFrame) -> Column:
 def parse_postings(lines: DataFrame, *, value: str = "value", mode: str = "strict"):
     """Parse posting lines.
 
-    mode="strict": a missing or non-integer required field fails the job.
+    mode="strict": a missing, non-integer or out-of-range field fails the job.
     mode="lenient": returns ``(postings, rejects)``.
 
     The layout is checked once per line by one anchored pattern, in a filter
@@ -47,14 +46,17 @@ def parse_postings(lines: DataFrame, *, value: str = "value", mode: str = "stric
         raise ValueError(f"unknown mode {mode!r}")
     v = F.col(value)
     ok = v.rlike(LINE_PATTERN)
-    fields = F.split(v, ",")
+    # without trailing empty fields, as a JVM split has it
+    fields = F.split(F.regexp_replace(v, ",+$", ""), ",")
     types = {name: typ for name, _, _, typ in _INT_FIELDS}
     parsed = []
     for name, i, optional, typ in _INT_FIELDS:
         raw = F.get(fields, i)
-        parsed.append((F.nullif(raw, F.lit("")) if optional else raw).cast(types[name]).alias(name))
-    # JVM split drops trailing empty fields, so an empty sixth field is "no tag".
-    parsed.append(F.nullif(F.get(fields, 5), F.lit("")).alias("tags"))
+        number = (F.nullif(raw, F.lit("")) if optional else raw).try_cast(types[name])
+        parsed.append(number.alias(name))
+        ok = ok & (number.isNotNull() | (F.nullif(raw, F.lit("")).isNull() if optional else F.lit(False)))
+    # an empty sixth field is "no tag" only when nothing follows it
+    parsed.append(F.get(fields, 5).alias("tags"))
     if mode == "strict":
         err = F.raise_error(F.concat(F.lit("malformed posting line: "), F.substring(v, 1, 80)))
         return lines.where(F.coalesce(F.when(~ok, err), F.lit(True))).select(*parsed)

@@ -38,16 +38,27 @@ def _ddl(schema: T.StructType) -> str:
 def read_wide_csv(spark: SparkSession, path: str | list[str]) -> tuple[list[str], DataFrame]:
     """Read a wide CSV file (or a folder of them, each with its header).
 
-    Returns the header names and the typed DataFrame. Files readers mark every
-    column nullable; nulls cannot occur because a missing number fails the read.
+    Returns the header names and the typed DataFrame. Every file's header is
+    compared with the first one's. A blank, missing or malformed number in any
+    column fails the read, whichever columns are selected afterwards.
     """
     first = spark.read.text(path).limit(1).collect()
     if not first:
         raise ValueError(f"no header line in {path}")
     names = header_names(first[0]["value"])
     schema = wide_schema(names)
-    df = spark.read.csv(path, schema=schema, header=True, **CSV_OPTIONS)
-    return names, df
+    df = spark.read.csv(path, schema=schema, header=True, enforceSchema=False, **CSV_OPTIONS)
+    return names, _complete(df, names)
+
+
+def _complete(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The rows, failing on a null number. The check is a filter over all
+    number columns, which column pruning cannot remove."""
+    numbers = ["`" + n.replace("`", "``") + "`" for n in names[1:]]
+    if not numbers:
+        return df
+    missing = " OR ".join(f"{n} IS NULL" for n in numbers)
+    return df.where(F.expr(f"CASE WHEN {missing} THEN raise_error('a number is missing') ELSE true END"))
 
 
 def parse_wide_lines(lines: DataFrame, *, value: str = "value") -> tuple[list[str], DataFrame]:
@@ -60,7 +71,9 @@ def parse_wide_lines(lines: DataFrame, *, value: str = "value") -> tuple[list[st
     header = first[0][0]
     names = header_names(header)
     schema = wide_schema(names)
+    # the parse must not see the header, whatever order filters are evaluated in
+    row = F.when(F.col(value) != F.lit(header), F.col(value))
     parsed = (lines.where(F.col(value) != F.lit(header))
-              .select(F.from_csv(F.col(value), _ddl(schema), CSV_OPTIONS).alias("_r"))
+              .select(F.from_csv(row, _ddl(schema), CSV_OPTIONS).alias("_r"))
               .select([F.col("_r").getField(n).alias(n) for n in names]))
-    return names, parsed
+    return names, _complete(parsed, names)

@@ -101,13 +101,17 @@ def test_brute_force_on_binding(spark):
     assert got == expect
 
 
-def test_max_score_aggregates_before_the_join(spark):
+def test_max_score_is_one_aggregation_without_a_join(spark):
     plan = P.question_max_score(B.postings(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
-    # the answers are reduced (partial aggregate) before any join
-    assert "partial_max" in plan
-    first_join = min(plan.find("SortMergeJoin") if "SortMergeJoin" in plan else 10**9,
-                     plan.find("BroadcastHashJoin") if "BroadcastHashJoin" in plan else 10**9)
-    assert plan.rfind("partial_max") > first_join
+    assert "partial_max" in plan and "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_max_score_gives_one_row_per_question_id(spark):
+    rows = [(1, 10, None, None, 0, "a"), (1, 10, None, None, 0, "b"), (2, 11, None, 10, 7, None)]
+    df = spark.createDataFrame(rows, "posting_type int, id bigint, accepted_answer bigint, parent_id bigint, "
+                                     "score bigint, tags string")
+    assert [tuple(r) for r in P.question_max_score(df).collect()] == [(10, "b", 7)]
+    assert [tuple(r) for r in P.duplicate_questions(df).collect()] == [(10, 2)]
 
 
 def test_vectors_have_no_join(spark):

@@ -9,10 +9,12 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from quarry.plans.oracle import oracle_sql
+from quarry.plans.registry import queries
 from quarry.sources.bindings import TABLES
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = queries()
+SQL = oracle_sql()
 
 
 def norm(v):

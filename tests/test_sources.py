@@ -165,3 +165,35 @@ def test_reread_reads_the_checkpoint_not_the_tables(spark):
     plan = again._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" not in plan and "ExistingRDD" in plan
     assert sorted(again.collect()) == sorted(orders.where(F.col("o_orderpriority") == "1-URGENT").collect())
+
+
+def test_wide_files_with_other_headers_fail(spark, scratch):
+    from quarry.sources.wide import read_wide_csv
+    for name, text in (("a.csv", "id,telfs,t010101\nx,1,2\n"), ("b.csv", "id,t010101,telfs\ny,500,2\n")):
+        with open(f"{scratch}/{name}", "w") as f:
+            f.write(text)
+    with pytest.raises(Exception):
+        read_wide_csv(spark, scratch)[1].collect()
+
+
+@pytest.mark.parametrize("row", ["x,1,", "x,1", "x,1,bad"])
+def test_wide_missing_or_bad_number_fails_in_an_unread_column(spark, scratch, row):
+    from quarry.sources.wide import parse_wide_lines, read_wide_csv
+    with open(f"{scratch}/a.csv", "w") as f:
+        f.write(f"id,telfs,t010101\nw,1,2\n{row}\n")
+    with pytest.raises(Exception):
+        read_wide_csv(spark, f"{scratch}/a.csv")[1].select("telfs").collect()
+    lines = spark.createDataFrame([("id,telfs,t010101",), ("w,1,2",), (row,)], "value string").coalesce(1)
+    with pytest.raises(Exception):
+        parse_wide_lines(lines)[1].select("telfs").collect()
+
+
+def test_posting_lines_of_any_width(spark):
+    from quarry.sources.postings import parse_postings
+    lines = ["1000000000,5,,,0,a", "1,5,,,0,a b", "1,5,,,0,,x", "1,5,,,0,", "1,5,,,0,,", "0000000000001,5,,,0"]
+    rows = parse_postings(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert [r["posting_type"] for r in rows] == [1000000000, 1, 1, 1, 1, 1]
+    assert [r["tags"] for r in rows] == ["a", "a b", "", None, None, None]
+    bad = spark.createDataFrame([("99999999999,5,,,0",), ("1,5,,,0",)], "value string")
+    good, rejects = parse_postings(bad, mode="lenient")
+    assert good.count() == 1 and rejects.count() == 1

@@ -13,7 +13,7 @@ def test_term_counts_over_arriving_files(spark, scratch):
         with open(os.path.join(folder, name), "w") as f:
             f.write("\n".join(f"<page> <title>t{MARKER}{t}</text> </page> " for t in texts) + "\n")
 
-    drop("a.txt", ["Scala is great", "Java is OK, but Scala is cooler"])
+    drop("a.txt", ["Scala compiles slowly", "Some Java calls Scala code OK,"])
     counts = term_counts_stream(spark, folder, Vocabulary(("Scala", "Java", "Groovy")), max_files_per_trigger=1)
     q = (counts.writeStream.outputMode("complete").format("memory").queryName("term_counts_test")
          .option("checkpointLocation", os.path.join(scratch, "ckpt")).start())
