@@ -199,6 +199,15 @@ def cluster_stats(vectors: DataFrame, centres: Centres, tags: Vocabulary, spread
             .orderBy("median_score", "k"))
 
 
+def fit(vectors: DataFrame, params: KMeansParams, n_tags: int) -> KMeansResult:
+    """Seeds and rounds from one kept copy of the vectors."""
+    kept = keep(vectors.select("id", "x", "y"), reliable=False)
+    try:
+        return kmeans(kept, seed_centres(kept, params, n_tags), params)
+    finally:
+        kept.unpersist()
+
+
 def seeded_points(vectors: DataFrame, params: KMeansParams, n_tags: int) -> tuple[DataFrame, Centres]:
     """The seed centres and the weighted points `x, y, w`, both from one kept
     copy of the vectors. With a checkpoint folder the points are checkpointed

@@ -94,21 +94,23 @@ def inverted_index(articles: DataFrame, vocab: Vocabulary, *, text: str = "text"
 
 def index_blocks(index: DataFrame, *, key: str = "doc_id", title: str = "title",
                  block_ids: int = INDEX_BLOCK_IDS) -> DataFrame:
-    """Grouped view of the index: `term, block, articles` where `articles` is
-    an id-sorted array of `struct(doc_id, title)` for ids in
-    [block * block_ids, (block + 1) * block_ids). Every array is bounded by
-    `block_ids` distinct ids, however common the term."""
+    """Grouped view of the index: `term, block, n, articles` where `articles`
+    is an id-sorted array of `struct(doc_id, title)` for ids in
+    [block * block_ids, (block + 1) * block_ids) and `n` its size. Every array
+    is bounded by `block_ids` distinct ids, however common the term. A reader
+    of `n` alone builds no arrays (column pruning drops them)."""
     if block_ids <= 0:
         raise ValueError("block_ids must be positive")
     # exact floor division, also for negative or very large ids
     k, b = F.col(key), F.lit(block_ids)
     block = trunc_div(k - F.pmod(k, b), b)
     return (index.groupBy("term", block.alias("block"))
-            .agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias(key), F.col(title).alias(title))))
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.array_sort(F.collect_list(F.struct(F.col(key).alias(key), F.col(title).alias(title))))
                  .alias("articles")))
 
 
 def rank_from_index(blocks: DataFrame) -> DataFrame:
     """`term, n` from the grouped index: the summed block sizes per term."""
-    return (blocks.groupBy("term").agg(F.sum(F.size("articles")).cast("bigint").alias("n"))
+    return (blocks.groupBy("term").agg(F.sum("n").alias("n"))
             .orderBy(F.desc("n"), F.asc("term")))

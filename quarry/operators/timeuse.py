@@ -102,16 +102,16 @@ def summary_grouped(summed: DataFrame) -> DataFrame:
             .orderBy(*GROUP_KEYS))
 
 
-def grouped_sql_text(view: str) -> str:
+def grouped_sql_text(relation: str) -> str:
     keys = ", ".join(GROUP_KEYS)
     means = ", ".join(f"round(avg({m}), 1) AS {m}" for m in MEASURES)
-    return f"SELECT {keys}, {means} FROM {view} GROUP BY {keys} ORDER BY {keys}"
+    return f"SELECT {keys}, {means} FROM {relation} GROUP BY {keys} ORDER BY {keys}"
 
 
-def summary_grouped_sql(summed: DataFrame, view: str = "summed") -> DataFrame:
-    """`summary_grouped` as SQL text over a temporary view."""
-    summed.createOrReplaceTempView(view)
-    return summed.sparkSession.sql(grouped_sql_text(view))
+def summary_grouped_sql(summed: DataFrame) -> DataFrame:
+    """`summary_grouped` as SQL text. The frame is bound as a parameter of the
+    text, so no view of the caller's is replaced."""
+    return summed.sparkSession.sql(grouped_sql_text("{summed}"), summed=summed)
 
 
 def summary_typed(summed: DataFrame) -> DataFrame:

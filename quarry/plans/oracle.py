@@ -3,6 +3,7 @@ pre-registered table views). Bindings are inlined as CTEs."""
 
 from __future__ import annotations
 
+from quarry.operators.terms import INDEX_BLOCK_IDS
 from quarry.sources import bindings as B
 
 
@@ -33,6 +34,10 @@ _SQL["term_rank_zero_filled"] = (
 
 _SQL["term_index"] = f"{TERM_CTES} SELECT term, doc_id, title FROM hits"
 
+_SQL["term_index_blocks"] = (
+    f"{TERM_CTES} SELECT term, doc_id // {INDEX_BLOCK_IDS} AS block, count(*) AS n, "
+    "string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS doc_ids FROM hits GROUP BY ALL")
+
 _SQL["term_rank_from_index"] = (
     f"{TERM_CTES} SELECT term, count(*) AS n FROM hits GROUP BY term ORDER BY n DESC, term")
 
@@ -96,6 +101,41 @@ def _rounds(n: int) -> str:
     return ", ".join(parts)
 
 
+def _until_still(p) -> str:
+    """Recursive CTE `rounds(iter, k, cx, cy, moved)` from `vectors` and the
+    centres `c0`: rounds until the movement is below eta."""
+    return (
+        "pts AS MATERIALIZED (SELECT x, y, count(*) AS w FROM vectors GROUP BY x, y), "
+        "start AS MATERIALIZED (SELECT * FROM c0), "
+        "rounds(iter, k, cx, cy, moved) AS ("
+        "SELECT 0, k, cx, cy, CAST(NULL AS BIGINT) FROM start UNION ALL "
+        "SELECT iter, k, nx, ny, CAST(sum((nx - cx) * (nx - cx) + (ny - cy) * (ny - cy)) OVER () AS BIGINT) FROM ("
+        "SELECT o.iter + 1 AS iter, o.k, o.cx, o.cy, coalesce(m.cx, o.cx) AS nx, coalesce(m.cy, o.cy) AS ny "
+        "FROM rounds o LEFT JOIN (SELECT k, CAST(trunc(sum(x * w) / sum(w)) AS BIGINT) AS cx, "
+        "CAST(trunc(sum(y * w) / sum(w)) AS BIGINT) AS cy FROM ("
+        "SELECT p.x, p.y, p.w, c.k, row_number() OVER (PARTITION BY p.x, p.y ORDER BY "
+        "(p.x - c.cx) * (p.x - c.cx) + (p.y - c.cy) * (p.y - c.cy), c.k) AS rn FROM pts p CROSS JOIN rounds c) "
+        "WHERE rn = 1 GROUP BY k) m ON o.k = m.k "
+        f"WHERE o.iter < {p.max_iter} AND (o.moved IS NULL OR o.moved >= {p.eta})))")
+
+
+def _recursive(ctes: str) -> str:
+    return ctes.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+STILL = f"{_recursive(SEED_CTES)}, {_until_still(B.POSTING_KMEANS)}"
+_BP = B.BRAND_KMEANS
+_BM = _BP.k // len(B.BRAND_TAGS)
+BRANDS = (
+    "WITH RECURSIVE scored AS (SELECT p_partkey AS id, p_brand AS tag, "
+    "max(CAST(trunc(l_quantity) AS BIGINT) * l_linenumber) AS y FROM part JOIN lineitem ON l_partkey = p_partkey "
+    f"GROUP BY ALL), tags(tag, pos) AS (SELECT * FROM {_values(B.BRAND_TAGS)} v(tag, pos)), "
+    f"vectors AS (SELECT id, CAST(pos AS BIGINT) * {_BP.spread} AS x, y FROM scored JOIN tags USING (tag)), "
+    f"c0 AS (SELECT CAST((x // {_BP.spread}) * {_BM} + rn - 1 AS INTEGER) AS k, x AS cx, y AS cy FROM "
+    f"(SELECT *, row_number() OVER (PARTITION BY x ORDER BY md5('{_BP.seed}:' || CAST(id AS VARCHAR)), id) AS rn "
+    f"FROM vectors) WHERE rn <= {_BM}), {_until_still(_BP)}")
+_LAST = "SELECT k, cx, cy FROM rounds WHERE iter = (SELECT max(iter) FROM rounds)"
+
 FIT = f"{SEED_CTES}, {_rounds(_P.max_iter)}"
 _CF = f"c{_P.max_iter}"
 STATS = (
@@ -112,6 +152,10 @@ _SQL["posting_valid"] = f"WITH {POSTINGS}, {VALID} SELECT * FROM valid"
 _SQL["qa_pairs"] = f"{POSTING_CTES} SELECT qid, tags, answer_id, answer_score FROM pairs"
 _SQL["qa_groups"] = (f"{POSTING_CTES} SELECT qid, count(*) AS n_answers, min(answer_id) AS min_answer_id, "
                      "max(answer_id) AS max_answer_id FROM pairs GROUP BY qid")
+# no order has more answers than one part holds
+_SQL["qa_grouped_pairs"] = (
+    f"{POSTING_CTES} SELECT qid, CAST(0 AS BIGINT) AS part, count(*) AS n_answers, "
+    "string_agg(answer_id || ':' || answer_score, ',' ORDER BY answer_id, answer_score) AS answers FROM pairs GROUP BY qid")
 _SQL["question_max_score"] = f"{POSTING_CTES} SELECT qid, tags, max_score FROM scored"
 _SQL["duplicate_questions"] = (f"WITH {POSTINGS}, {VALID} SELECT id AS qid, count(*) AS n FROM valid "
                                "WHERE posting_type = 1 GROUP BY id HAVING count(*) > 1")
@@ -127,6 +171,9 @@ _SQL["centre_movement"] = (
     f"{SEED_CTES}, {_rounds(1)} SELECT CAST(sum((o.cx - n.cx) * (o.cx - n.cx) + (o.cy - n.cy) * (o.cy - n.cy)) "
     "AS BIGINT) AS movement FROM c0 o JOIN c1 n USING (k)")
 _SQL["kmeans_fit"] = f"{FIT} SELECT k, cx, cy FROM {_CF}"
+_SQL["kmeans_fit_converged"] = f"{STILL} {_LAST}"
+_SQL["kmeans_history"] = f"{STILL} SELECT DISTINCT iter, moved AS movement FROM rounds WHERE iter > 0"
+_SQL["kmeans_fit_brands"] = f"{BRANDS} {_LAST}"
 _SQL["cluster_dominant_tag"] = f"{STATS} SELECT k, tag FROM stats"
 _SQL["cluster_percent"] = f"{STATS} SELECT k, pct FROM stats"
 _SQL["cluster_median"] = f"{STATS} SELECT k, median_score FROM stats"

@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.operators import clustering, postings, sampling, terms, timeuse
-from quarry.session import keep, reread
+from quarry.session import reread
 from quarry.sources import bindings as B
 from quarry.sources.articles import parse_articles
 from quarry.sources.postings import parse_postings
@@ -53,6 +54,14 @@ def term_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.inverted_index(B.articles(spark, sf_dir), B.DOC_TERMS)
 
 
+@query("term_index_blocks")
+def term_index_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grouped index, a block's ids as one string."""
+    blocks = terms.index_blocks(terms.inverted_index(B.articles(spark, sf_dir), B.DOC_TERMS))
+    ids = F.concat_ws(",", F.transform("articles", lambda a: a["doc_id"].cast("string")))
+    return blocks.select("term", "block", "n", ids.alias("doc_ids"))
+
+
 @query("term_rank_from_index")
 def term_rank_from_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = terms.inverted_index(B.articles(spark, sf_dir), B.DOC_TERMS)
@@ -75,15 +84,6 @@ def _seeds(vectors: DataFrame) -> list[tuple[int, int]]:
     return sampling.seed_centres(vectors, B.POSTING_KMEANS_FIXED, len(B.POSTING_TAGS))
 
 
-def _fitted(vectors: DataFrame) -> list[tuple[int, int]]:
-    """Seeds and rounds from the same kept vectors (computed once)."""
-    kept = keep(vectors.select("id", "x", "y"), reliable=False)
-    try:
-        return clustering.kmeans(kept, _seeds(kept), B.POSTING_KMEANS_FIXED).centres
-    finally:
-        kept.unpersist()
-
-
 @query("posting_line_parse")
 def posting_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_postings(B.posting_lines(spark, sf_dir))
@@ -96,7 +96,16 @@ def posting_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("qa_pairs")
 def qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return postings.qa_pairs(B.postings(spark, sf_dir))
+    # hot questions are salted, whatever the session's skew settings
+    return postings.qa_pairs_salted(B.postings(spark, sf_dir))
+
+
+@query("qa_grouped_pairs")
+def qa_grouped_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs grouped per question, as one string of answer:score."""
+    pair = lambda p: F.concat_ws(":", p["answer_id"].cast("string"), p["answer_score"].cast("string"))
+    return postings.grouped_pairs(B.postings(spark, sf_dir)).select(
+        "qid", "part", "n_answers", F.concat_ws(",", F.transform("pairs", pair)).alias("answers"))
 
 
 @query("qa_groups")
@@ -165,7 +174,29 @@ def centre_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("kmeans_fit")
 def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clustering.centres_frame(spark, _fitted(_vectors(spark, sf_dir)))
+    return clustering.fit(_vectors(spark, sf_dir), B.POSTING_KMEANS_FIXED, len(B.POSTING_TAGS)).centres_df(spark)
+
+
+def _fit_until_still(spark: SparkSession, sf_dir: str) -> clustering.KMeansResult:
+    return clustering.fit(_vectors(spark, sf_dir), B.POSTING_KMEANS, len(B.POSTING_TAGS))
+
+
+@query("kmeans_fit_converged")
+def kmeans_fit_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fit_until_still(spark, sf_dir).centres_df(spark)
+
+
+@query("kmeans_history")
+def kmeans_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fit_until_still(spark, sf_dir).history_df(spark)
+
+
+@query("kmeans_fit_brands")
+def kmeans_fit_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifteen tags, 45 centres, rounds until the movement is below eta."""
+    scored = postings.question_max_score(B.brand_postings(spark, sf_dir))
+    vectors = postings.tag_vectors(scored, B.BRAND_TAGS, B.BRAND_KMEANS.spread)
+    return clustering.fit(vectors, B.BRAND_KMEANS, len(B.BRAND_TAGS)).centres_df(spark)
 
 
 def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:

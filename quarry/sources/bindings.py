@@ -25,6 +25,9 @@ POSTING_TAGS = Vocabulary(("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"))
 POSTING_KMEANS = KMeansParams(spread=50000, k=12, eta=20.0, max_iter=120, seed=42)
 # A fixed number of rounds for the checked fit: eta 0 never converges.
 POSTING_KMEANS_FIXED = KMeansParams(spread=50000, k=12, eta=0.0, max_iter=5, seed=42)
+# Fifteen tags and 45 centres, over the brands of the parts.
+BRAND_TAGS = Vocabulary(tuple(f"Brand#{i}" for i in range(1, 16)))
+BRAND_KMEANS = KMeansParams(spread=50000, k=45, eta=20.0, max_iter=120, seed=42)
 ANSWER_ID_BASE = 1000000000
 SCORE_OFFSET = 25
 # ---------------------------------------------------------------------------
@@ -80,6 +83,22 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.unionByName(answers)
 
 
+def brand_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions from `part` (the tag is the brand), answers from `lineitem`:
+    an answer to its part, scored quantity x line number."""
+    null_long, null_text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    questions = table(spark, sf_dir, "part").select(
+        F.lit(1).alias("posting_type"), F.col("p_partkey").alias("id"), null_long.alias("accepted_answer"),
+        null_long.alias("parent_id"), F.lit(0).cast("bigint").alias("score"), F.col("p_brand").alias("tags"))
+    answers = table(spark, sf_dir, "lineitem").select(
+        F.lit(2).alias("posting_type"),
+        (F.lit(ANSWER_ID_BASE) + F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("id"),
+        null_long.alias("accepted_answer"), F.col("l_partkey").alias("parent_id"),
+        (F.col("l_quantity").cast("bigint") * F.col("l_linenumber")).cast("bigint").alias("score"),
+        null_text.alias("tags"))
+    return questions.unionByName(answers)
+
+
 def posting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`value`: the posting line form of `postings`, built in memory."""
     p = postings(spark, sf_dir)

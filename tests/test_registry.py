@@ -9,8 +9,10 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from test_skew import conf
 from quarry.plans.oracle import oracle_sql
 from quarry.plans.registry import queries
+from quarry.sources import bindings as B
 from quarry.sources.bindings import TABLES
 
 QUERIES = queries()
@@ -65,15 +67,44 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
              "FlatMapGroupsInPandas", "MapInPandas")
 
 
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_plan_shape(spark, name):
-    df = QUERIES[name](spark, SF_SMALL)
-    plan = df._jdf.queryExecution().executedPlan().toString()
+def test_plan_shape(spark, name, broadcast):
+    """Also with Spark's own broadcasts off, as for tables of any size."""
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": broadcast}):
+        df = QUERIES[name](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
         assert op not in plan, f"{name} plans {op}"
-    if "Aggregate" in plan and name not in ("page_line_parse",):
-        # every aggregation is split into a partial (map-side) and a final step
-        assert "partial_" in plan or "Window" in plan or "TakeOrderedAndProject" in plan
+    if "Aggregate" in plan:
+        # a shuffled aggregation is split into a partial (map-side) and a final step
+        assert "partial_" in plan, f"{name} has no partial aggregation"
+
+
+def test_the_ranking_from_the_index_builds_no_arrays(spark):
+    plan = QUERIES["term_rank_from_index"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+
+
+def test_the_fit_stops_before_its_round_limit(spark):
+    rounds = QUERIES["kmeans_history"](spark, SF_SMALL).orderBy("iter").collect()
+    p = B.POSTING_KMEANS
+    assert 1 <= len(rounds) < p.max_iter and rounds[-1]["movement"] < p.eta
+    assert all(r["movement"] >= p.eta for r in rounds[:-1])
+
+
+def test_assignment_is_compiled(spark):
+    from quarry.operators import clustering
+    points = spark.range(1000).selectExpr("id AS x", "id % 7 AS y").repartition(4)
+    plan = clustering.assign(points, [(i, i) for i in range(45)])._jdf.queryExecution()
+    tree = plan.executedPlan().toString()
+    assert "array_min" in tree and "Coalesce 1" not in tree
+    from contextlib import redirect_stdout
+    import io
+    out = io.StringIO()
+    with conf(spark, **{"spark.sql.adaptive.enabled": "false"}), redirect_stdout(out):
+        clustering.assign(points, [(i, i) for i in range(45)]).explain("codegen")
+    assert "array_min" in out.getvalue()
 
 
 def test_per_tag_sample_limits_before_the_shuffle(spark):

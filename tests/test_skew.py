@@ -122,3 +122,16 @@ def test_salted_pairs_split_the_hot_question_without_adaptive_execution(spark, s
     assert "ExistingRDD" in plan and "partial_count" not in plan
     n_hot = sum(per_task)
     assert max(per_task) < n_hot / 2          # the hot question is spread over several tasks
+
+
+def test_the_registered_pairs_split_a_hot_question_without_adaptive_execution(spark, skewed, monkeypatch):
+    from quarry.plans import registry
+    monkeypatch.setattr(registry.B, "postings", lambda spark, sf_dir: skewed)
+    plain = Counter(tuple(r) for r in P.qa_pairs(skewed).collect())
+    with conf(spark, **{"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.shuffle.partitions": "16"}):
+        pairs = registry.queries()["qa_pairs"](spark, "")
+        placed = pairs.withColumn("_p", F.spark_partition_id()).collect()
+    assert Counter(tuple(r)[:-1] for r in placed) == plain
+    hot = Counter(r["_p"] for r in placed if r["qid"] == HOT_QID)
+    assert sum(hot.values()) > P.PAIRS_PER_PART and len(hot) > 1      # in several tasks

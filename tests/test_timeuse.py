@@ -57,7 +57,7 @@ def test_three_grouped_forms_agree(spark):
     p, w, o = TU.classify_columns(r.columns)
     s = TU.respondent_summary(r, p, w, o)
     a = [tuple(x) for x in TU.summary_grouped(s).collect()]
-    b = [tuple(x) for x in TU.summary_grouped_sql(s, "summed_test").collect()]
+    b = [tuple(x) for x in TU.summary_grouped_sql(s).collect()]
     c = [tuple(x) for x in TU.summary_grouped_typed(TU.summary_typed(s)).collect()]
     assert a == b == c
     assert len(a) == 12
