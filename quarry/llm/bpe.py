@@ -22,8 +22,8 @@ last symbol. Special tokens in a text are cut out first. Nothing is truncated
 or padded.
 
 The compiled automaton is broadcast (its size is that of the vocabulary, not
-of the data). Words repeat, so each Python worker keeps the encodings of up to
-CACHE chunks between spaces and starts afresh when that many are held.
+of the data). Words repeat, so each Python worker keeps the encodings of the
+chunks between spaces met last, at most twice CACHE, and as many of words.
 
 Defined results: a null text is the empty text, which has no tokens; rows are
 encoded one by one, repeated rows alike; a null doc_id is kept; an empty table
@@ -32,6 +32,7 @@ gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import struct
@@ -109,62 +110,97 @@ class Automaton:
             else:
                 return True
 
-    def trie(self, end: str) -> list:
-        """Arc labels by their characters: nodes are (children by character,
-        the token that ends here, the one that has the mark `end` as well),
-        -1 for no token."""
-        root: list = [{}, -1, -1]
+    def trie(self, end: str) -> dict:
+        """Arc labels by their characters. A node holds its children by
+        character; under 0 the arcs spelt on the way to it, as (token, length),
+        longest first; under 1 the token that ends here, under 2 the one that
+        has the mark `end` as well, -1 for none."""
+        root: dict = {0: (), 1: -1, 2: -1}
         for t, label in enumerate(self.tokens):
             marked = bool(end) and label.endswith(end)
             node = root
             for c in label[:-len(end)] if marked else label:
-                node = node[0].setdefault(c, [{}, -1, -1])
+                node = node.setdefault(c, {0: (), 1: -1, 2: -1})
             node[2 if marked else 1] = t
+        todo = [(root, 0)]
+        while todo:
+            node, depth = todo.pop()
+            for c, child in node.items():
+                if isinstance(c, str):
+                    own = ((child[1], depth + 1),) if child[1] >= 0 else ()
+                    child[0] = own + node[0]
+                    todo.append((child, depth + 1))
         return root
 
-    def path(self, word: str, trie: list, mark: int = 2) -> list[int]:
+    def path(self, word: str, trie: dict, mark: int = 2) -> list[int]:
         """The tokens of a word whose last symbol carries the mark (entry 2 of
         the trie's nodes): the only path from the start that spells the word.
         Longer arcs are tried first; states from which the rest cannot be spelt
         are not entered twice, so the work stays linear in the word's length."""
-        n, known, slow = len(word), self._table, self.arc
+        n, known, slow = len(word), self._table.get, self.arc
         out: list[int] = []
-        todo: list[tuple[int, list[tuple[int, int]]]] = []
+        todo: list[tuple[int, Iterator[tuple[int, int]]]] = []
         barren: set[tuple[int, int]] = set()
         at, state = 0, -1
         while at < n:
-            arcs: list[tuple[int, int]] = []
-            if (at, state) not in barren:
-                node, k = trie, at
+            arcs: Iterator[tuple[int, int]] = iter(())
+            if not barren or (at, state) not in barren:
+                last = node = trie
                 for c in word[at:]:
-                    node = node[0].get(c)
+                    last, node = node, node.get(c)
                     if node is None:
                         break
-                    k += 1
-                    t = node[1] if k < n else node[mark]
-                    if t >= 0:
-                        arcs.append((t, k))
+                # the word's end is reached by a marked arc only, and no other arc is marked
+                if node is not None and node[mark] >= 0:
+                    arcs = iter(((node[mark], n - at), *last[0]))
+                else:
+                    arcs = iter(last[0])
             while True:
-                found = -1
-                while arcs:
-                    t, to = arcs.pop()
-                    if state < 0 or (known[state, t] if (state, t) in known else slow(state, t)):
-                        found = t
+                for t, length in arcs:
+                    if state < 0:
                         break
-                if found >= 0:
-                    todo.append((at, arcs))
-                    out.append(found)
-                    at, state = to, found
-                    break
-                if not todo:
-                    raise ValueError(f"no path for {word!r}")
-                barren.add((at, state))
-                at, arcs = todo.pop()
-                out.pop()
-                state = out[-1] if out else -1
+                    stands = known((state, t))
+                    if stands or stands is None and slow(state, t):
+                        break
+                else:
+                    if not todo:
+                        raise ValueError(f"no path for {word!r}")
+                    barren.add((at, state))
+                    at, arcs = todo.pop()
+                    out.pop()
+                    state = out[-1] if out else -1
+                    continue
+                todo.append((at, arcs))
+                out.append(t)
+                at += length
+                state = t
+                break
         return out
 
 
+class Recent(dict):
+    """Up to `size` entries in use, and as many held from before: when it is
+    full the held ones go and the present ones are held, so entries asked for
+    again stay. `recall` finds a held entry."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size = size
+        self.held: dict = {}
+
+    def recall(self, key):
+        found = self.held.get(key)
+        if found is not None:
+            self.keep(key, found)
+        return found
+
+    def keep(self, key, value) -> None:
+        if len(self) >= self.size:
+            self.held = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class Tokenizer:
     """A word-level BPE tokenizer file of the `tokenizers` library, run by the
     automaton."""
@@ -193,8 +229,8 @@ class Tokenizer:
         names = sorted(self.special, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self._trie = self.automaton.trie(self.end)
-        self._chunks: dict[str, tuple[bytes, str, int]] = {}
-        self._words: dict[str, list[int]] = {}
+        self._chunks = Recent(CACHE)
+        self._words = Recent(CACHE)
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("_split", "_special", "_trie", "_chunks", "_words")}
@@ -209,21 +245,19 @@ class Tokenizer:
             return text.lower()
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
-    def _word(self, piece: str) -> list[int]:
+    def _word(self, piece: str) -> tuple[int, ...]:
         """Ids of one piece of the split pattern."""
-        found = self._words.get(piece)
+        found = self._words.get(piece) or self._words.recall(piece)
         if found is None:
             # printable ASCII characters stand for themselves
             plain = piece.isascii() and piece.isprintable()
             word = piece if plain else "".join([self.symbols[b] for b in piece.encode("utf-8")])
             ids = self.ids
-            found = [ids[t] for t in self.automaton.path(word, self._trie)]
-            if len(self._words) >= CACHE:
-                self._words.clear()
-            self._words[piece] = found
+            found = tuple([ids[t] for t in self.automaton.path(word, self._trie)])
+            self._words.keep(piece, found)
         return found
 
-    def _chunk_ids(self, chunk: str) -> list[int]:
+    def _chunk_ids(self, chunk: str) -> tuple[int, ...] | list[int]:
         if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():      # a word and its mark: two pieces
             text = self._normal(chunk[:-1])
             if text.isalpha():
@@ -241,11 +275,12 @@ class Tokenizer:
 
     def _chunk(self, chunk: str) -> tuple[bytes, str, int]:
         """Encoded ids, labels and number of tokens of what stands between spaces."""
+        found = self._chunks.recall(chunk)
+        if found is not None:
+            return found
         ids = self._chunk_ids(chunk)
         found = (struct.pack(f"<{len(ids)}I", *ids), " ".join([self.labels[i] for i in ids]), len(ids))
-        if len(self._chunks) >= CACHE:
-            self._chunks.clear()
-        self._chunks[chunk] = found
+        self._chunks.keep(chunk, found)
         return found
 
     def pieces(self, text: str | None) -> list[tuple[bytes, str, int]]:
@@ -277,6 +312,7 @@ def _run(docs: DataFrame, path: str, with_ids: bool) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = shared.value
+        gc.freeze()     # the automaton lives as long as the worker: no collection walks it
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
