@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -213,6 +214,36 @@ def test_mix(spark):
     assert len({place[i][0] for i in ordered}) > 1
 
 
+@pytest.mark.parametrize("weights", [{"a": 1, "b": 2}, {"a": 1.0, "b": 1e-5, "c": 0.3}, {"a": 2**0.5, "b": 3**0.5}])
+def test_blocks_keep_to_the_given_weights_however_long_the_run(weights):
+    total = sum(map(Fraction, weights.values()))
+    share = {s: Fraction(w) / total for s, w in weights.items()}
+    seen = dict.fromkeys(weights, 0)
+    for s, t, release, deadline in mixing.timetable(weights, dict.fromkeys(weights, 10**9)):
+        seen[s] += 1
+        assert release <= t < deadline
+        assert all(abs(seen[x] - (t + 1) * share[x]) < 1 for x in share)
+        if t == 20_000:
+            break
+    assert sum(seen.values()) == 20_001
+
+
+@pytest.mark.parametrize("piece", [mixing.PIECE, 100])
+def test_mix_keeps_to_the_given_weights(spark, piece):
+    docs = spark.range(9000).selectExpr("id AS doc_id", "'x' AS text", "if(id < 3000, 'a', 'b') AS source")
+    rows = mixing.interleave(docs, {"a": 1, "b": 2}, block=1, chunk=64, piece=piece).collect()
+    assert len(rows) == 9000 and {r["_slot"] for r in rows} == set(range(9000))
+    seen = 0
+    for r in sorted(rows, key=lambda r: r["_slot"]):
+        seen += r["_src"] == "+a"
+        assert abs(3 * seen - (r["_slot"] + 1)) < 3
+
+
+def test_weights_must_be_above_zero(spark):
+    with pytest.raises(ValueError, match="above 0"):
+        mixing.interleave(small(spark), {"src1": 0.0})
+
+
 # 6 ------------------------------------------------------------------------------------
 
 def test_marginals_against_all_labellings():
