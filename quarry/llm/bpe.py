@@ -302,12 +302,13 @@ class Tokenizer:
 _DIGEST = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids (array of int) and n_tokens of every document."""
-    return _run(docs, path, True)
+def encode(docs: DataFrame, path: str, carry: str | None = None) -> DataFrame:
+    """doc_id, ids (array of int) and n_tokens of every document, and the
+    bigint column `carry` where one is named."""
+    return _run(docs, path, True, carry)
 
 
-def _run(docs: DataFrame, path: str, with_ids: bool) -> DataFrame:
+def _run(docs: DataFrame, path: str, with_ids: bool, carry: str | None = None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Tokenizer(path))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,10 +333,14 @@ def _run(docs: DataFrame, path: str, with_ids: bool) -> DataFrame:
                     offsets = pa.array([0, *_running(count)], pa.int32())
                     columns.append(pa.ListArray.from_arrays(offsets, flat))
                     names.append("ids")
+                if carry:
+                    columns.append(part.column(carry))
+                    names.append(carry)
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return base.mapInArrow(work, _DIGEST + (", ids array<int>" if with_ids else ""))
+    more = [carry] if carry else []
+    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *more)
+    return base.mapInArrow(work, ", ".join([_DIGEST, *["ids array<int>"] * with_ids, *[f"{c} bigint" for c in more]]))
 
 
 def _running(counts: list[int]) -> Iterator[int]:
@@ -355,5 +360,5 @@ def query(docs: DataFrame, path: str | None = None) -> DataFrame:
     return _run(docs, path or word_tokenizer_path(), False)
 
 
-def stage(docs: DataFrame, path: str | None = None) -> DataFrame:
-    return encode(docs, path or word_tokenizer_path())
+def stage(docs: DataFrame, path: str | None = None, carry: str | None = None) -> DataFrame:
+    return encode(docs, path or word_tokenizer_path(), carry)

@@ -39,6 +39,7 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -215,7 +216,28 @@ def _narrow(docs: DataFrame) -> DataFrame:
 
 def stage(docs: DataFrame) -> DataFrame:
     """The documents in the order of the mix: contiguous runs of it per
-    partition, in partition order."""
+    partition, in partition order. `placed` reads the order back from the files."""
     mixed = interleave(docs)
     ordered = mixed.repartitionByRange("_slot", "_rank").sortWithinPartitions("_slot", "_rank")
     return ordered.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """`doc_id`, `text` and `place`, the row's position (0 up) in the order in
+    which `docs` is stored: by part file and row in it, however Spark deals the
+    files to tasks. A frame that is not read from files has the order of its
+    partitions."""
+    try:
+        meta = docs.metadataColumn("_metadata")
+        keyed = docs.select("doc_id", "text", meta["file_path"].alias("_file"), meta["row_index"].alias("_at"))
+        name = F.regexp_extract(F.element_at(F.split("_file", "/"), -1), r"^part-(\d+)", 1)
+        order = [F.length(name), name, F.col("_file")]     # part numbers of any length
+    except AnalysisException:
+        at = F.monotonically_increasing_id()
+        keyed = docs.select("doc_id", "text", F.spark_partition_id().alias("_file"),
+                            at.bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
+        order = [F.col("_file")]
+    earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = (keyed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))      # one row per file
+              .select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first")))
+    return keyed.join(F.broadcast(firsts), "_file").select("doc_id", "text", (F.col("_first") + F.col("_at")).alias("place"))

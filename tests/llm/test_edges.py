@@ -79,3 +79,31 @@ def test_pipeline_is_the_stages_one_after_the_other(spark, scratch):
         step = spark.read.parquet(f"{scratch}/{k}")
     want = step.select("doc_id", "ids_sha256").collect()
     assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def _places(spark, sf_dir):
+    return {(r["doc_id"], r["ids_sha256"], r["place"]) for r in corpus_pipeline.run(spark, sf_dir).collect()}
+
+
+def test_the_mix_is_in_the_result(spark, scratch, monkeypatch):
+    docs = spark.range(600).selectExpr("id AS doc_id", "concat('doc ', sha2(string(id), 256), ' ', sha2(string(-id), 256)) AS text",
+                                       "'en' AS lang", "if(id < 100, 'a', 'b') AS source", "0L AS n_chars")
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    labels(spark).write.parquet(f"{scratch}/labels.parquet")
+    many = "spark.sql.adaptive.coalescePartitions.enabled"      # several files
+    monkeypatch.setattr(toxicity, "stage", lambda docs, labels: docs)
+    spark.conf.set(many, "false")
+    try:
+        got = _places(spark, scratch)
+        assert sorted(p for *_, p in got) == list(range(600))
+        want = [r["_row"]["doc_id"] for r in mixing.interleave(docs).orderBy("_slot", "_rank").collect()]
+        assert [d for d, _, _ in sorted(got, key=lambda r: r[2])] == want
+        stages = corpus_pipeline.STAGES
+        monkeypatch.setattr(corpus_pipeline, "STAGES", [x for x in stages if x[0] != "mixing"])
+        assert _places(spark, scratch) != got
+        monkeypatch.setattr(corpus_pipeline, "STAGES", [
+            (n, (lambda s, d, _: mixing.interleave(d, {"a": 9.0, "b": 1.0}).repartitionByRange("_slot", "_rank")
+                 .sortWithinPartitions("_slot", "_rank").select("_row.*")) if n == "mixing" else f) for n, f in stages])
+        assert _places(spark, scratch) != got
+    finally:
+        spark.conf.unset(many)
