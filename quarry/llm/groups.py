@@ -66,14 +66,17 @@ def distances(bits: np.ndarray, i: int) -> np.ndarray:
     return np.bitwise_count(bits ^ bits[i]).sum(axis=1, dtype=np.int64)
 
 
-def forest(bits: np.ndarray, most: int) -> tuple[list[int], list[int]]:
-    """A spanning forest of the pairs of rows at most `most` bits apart. Every
-    row's distances are computed at most once."""
+def forest(bits: np.ndarray, most: int | Callable) -> tuple[list[int], list[int]]:
+    """A spanning forest of the pairs of rows at most `most` bits apart, or of
+    those that most(rows, rows), by broadcasting, says are near. Every row is
+    compared with all at most once."""
+    alike = most if callable(most) else (
+        lambda x, y: np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64) <= most)
     n = len(bits)
     a: list[int] = []
     b: list[int] = []
     if n <= 128:      # all at once: most buckets hold no near pair
-        near = np.bitwise_count(bits[:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64) <= most
+        near = alike(bits[:, None, :], bits[None, :, :])
         if np.count_nonzero(near) == n:
             return a, b
     left = np.ones(n, dtype=bool)
@@ -84,7 +87,7 @@ def forest(bits: np.ndarray, most: int) -> tuple[list[int], list[int]]:
         todo = [start]
         while todo:
             i = todo.pop()
-            hit = np.flatnonzero(left & (near[i] if n <= 128 else distances(bits, i) <= most))
+            hit = np.flatnonzero(left & (near[i] if n <= 128 else alike(bits, bits[i])))
             left[hit] = False
             a += [i] * len(hit)
             b += hit.tolist()
@@ -92,9 +95,10 @@ def forest(bits: np.ndarray, most: int) -> tuple[list[int], list[int]]:
     return a, b
 
 
-def bucket_edges(rows: DataFrame, bits: list[str], most: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def bucket_edges(rows: DataFrame, bits: list[str], most: int | Callable,
+                 bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Edges `a, b` between ids: for every `key`, a spanning forest of its
-    rows at most `most` bits apart. `rows`: key, id, bits (all bigint)."""
+    rows that are near (see `forest`). `rows`: key, id, bits (all bigint)."""
     coarse = F.pmod(F.col("key"), F.lit(COARSE))
     # at most COARSE rows, so it may be broadcast: classes whose buckets may be large
     large = (rows.groupBy(coarse.alias("_c")).agg(F.count(F.lit(1)).alias("_n"))

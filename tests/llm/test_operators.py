@@ -307,6 +307,55 @@ def test_equal_lines_against_brute_force(spark):
         assert any(x != lines[p] and line_dedup.similar(x, lines[p]) for x in big)
 
 
+def test_segments_leave_no_short_pair_out():
+    rng = random.Random(2)
+    for _ in range(20_000):
+        a = "".join(rng.choice("abc ") for _ in range(rng.randrange(1, 31)))
+        b = list(a)
+        for _ in range(rng.randrange(1, 7)):
+            k = rng.randrange(len(b) + 1)
+            b[k:k + rng.randrange(2)] = rng.choice(["", "a", "b", "c"])
+        x, y = sorted((a, "".join(b)), key=len)
+        if x != y and 0 < len(x) <= line_dedup.SHORT and line_dedup.similar(x, y):
+            assert not line_dedup.other_keys(x).isdisjoint(line_dedup.own_keys(y))
+
+
+def test_short_lines_are_compared(spark):
+    docs = spark.createDataFrame([(1, "All rights reserved.\nhello", "", "", 1), (2, "all right reserved.\nhullo", "", "", 1),
+                                  (3, "hippo", "", "", 1)], SCHEMA)
+    got = {r["doc_id"]: r["dropped_lines"] for r in line_dedup.query(docs).collect()}
+    assert got == {1: "", 2: "0,1", 3: ""}
+
+
+def test_recall_of_near_lines_against_all_pairs(spark):
+    """Of the lines that only similarity removes, by brute force over all
+    pairs, nearly all go; none else does."""
+    docs = table(spark, SF_CHECK, "documents").where("doc_id < 400")
+    first = {}
+    for r in sorted(docs.collect(), key=lambda r: r["doc_id"]):
+        for k, x in enumerate((r["text"] or "").split("\n")):
+            if x.split():
+                first.setdefault(" ".join(x.lower().split()), (r["doc_id"], k))
+    lines = sorted(first, key=len)
+    sizes, grams, root = np.array([len(x) for x in lines]), line_dedup._bigrams(lines).astype(np.int16), {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+    for i, x in enumerate(lines):
+        near = np.arange(i + 1, np.searchsorted(sizes, sizes[i] / line_dedup.SIMILARITY + 1e-9, side="right"))
+        apart = np.abs(grams[near] - grams[i]).sum(axis=1, dtype=np.int64)
+        for j in near[apart <= 4 * (1 - line_dedup.SIMILARITY) * sizes[near] + 1e-6].tolist():
+            if line_dedup.similar(x, lines[j]):
+                p, q = find(first[x]), find(first[lines[j]])
+                root[max(p, q)] = min(p, q)
+    want = {p for p in first.values() if find(p) != p}
+    got = {(r["doc_id"], int(k)) for r in line_dedup.query(docs).collect() if r["dropped_lines"]
+           for k in r["dropped_lines"].split(",")} & set(first.values())
+    assert got <= want and len(got) >= 0.95 * len(want), (len(got), len(want))
+
+
 def test_components_and_blocks(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)]
