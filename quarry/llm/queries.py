@@ -8,8 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import (bpe, fill_middle, fingerprints, line_crf, line_dedup, mixing, ngram_join, pii, quality_rules,
-                        sharding, toxicity, word_runs)
+from quarry.llm import (bpe, context_tree, fill_middle, fingerprints, line_crf, line_dedup, mixing, ngram_join, pii,
+                        quality_rules, sharding, toxicity, word_runs)
 from quarry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op9_bpe": _on_documents(bpe.query),
         "op10_ngram_join": _on_documents(ngram_join.query),
         "op11_fill_middle": _on_documents(fill_middle.query),
+        "op12_context_tree": _on_documents(context_tree.query),
         "op13_word_runs": _on_documents(word_runs.query),
     }
 
