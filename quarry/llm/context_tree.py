@@ -185,7 +185,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     for k in range(8):
         shifted = shifted * (x + k)
     z = x + 8
-    series = 1 / (12 * z) - 1 / (360 * z ** 3) + 1 / (1260 * z ** 5) - 1 / (1680 * z ** 7)
+    series = 1 / (12 * z) - 1 / (360 * z ** 3) + 1 / (1260 * z ** 5) - 1 / (1680 * z ** 7) + 1 / (1188 * z ** 9)
     with np.errstate(over="ignore"):
         whole = (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + series
     # the product overflows only where its logarithm can be taken term by term
