@@ -7,7 +7,7 @@ counts documents, not occurrences.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.params import Vocabulary
@@ -34,3 +34,12 @@ def mentions(text: Column | str, term: str) -> Column:
 def vocabulary_hits(text: Column | str, vocab: Vocabulary) -> Column:
     """Distinct vocabulary terms the text mentions, in first-token order."""
     return F.array_intersect(tokens(text), vocab.literal())
+
+
+def pinned(df: DataFrame, **columns: Column) -> DataFrame:
+    """`df` with columns that are computed once per row, however often they are
+    used. A projection's expression is copied into every filter above it that
+    names the column; a generator's output is not, so the columns are made as the
+    one row of an inlined array. It is compiled with its neighbours."""
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))

@@ -23,6 +23,9 @@ _SQL: dict[str, str] = {}
 
 _SQL["page_line_parse"] = "SELECT doc_id, CAST(doc_id AS VARCHAR) AS title, text FROM documents"
 
+_SQL["page_file_parse"] = ("SELECT CAST(doc_id AS VARCHAR) AS title, translate(coalesce(text, ''), chr(13) || chr(10), '  ') "
+                           "AS text FROM documents")
+
 _SQL["term_doc_count"] = (
     f"SELECT '{B.DOC_TERMS.terms[0]}' AS term, count(*) AS n FROM documents "
     f"WHERE list_contains(string_split(text, ' '), '{B.DOC_TERMS.terms[0]}')")
@@ -148,8 +151,15 @@ STATS = (
     f"FROM dom d JOIN med m USING (k) JOIN tags t ON t.pos = d.x // {_SPREAD})")
 
 _SQL["posting_line_parse"] = f"WITH {POSTINGS} SELECT * FROM postings"
+_SQL["posting_file_read"] = _SQL["posting_line_parse"]
 _SQL["posting_valid"] = f"WITH {POSTINGS}, {VALID} SELECT * FROM valid"
-_SQL["qa_pairs"] = f"{POSTING_CTES} SELECT qid, tags, answer_id, answer_score FROM pairs"
+# written out over the two tables: the plain join needs nothing of the rest
+_SQL["qa_pairs"] = (
+    "SELECT CAST(o_orderkey AS BIGINT) AS qid, "
+    "CAST(CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS VARCHAR) AS tags, "
+    f"CAST({B.ANSWER_ID_BASE} + l_orderkey * 10 + l_linenumber AS BIGINT) AS answer_id, "
+    f"CAST(CAST(trunc(l_quantity) AS BIGINT) - {B.SCORE_OFFSET} AS BIGINT) AS answer_score "
+    "FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber <> 7 AND l_returnflag <> 'R'")
 _SQL["qa_groups"] = (f"{POSTING_CTES} SELECT qid, count(*) AS n_answers, min(answer_id) AS min_answer_id, "
                      "max(answer_id) AS max_answer_id FROM pairs GROUP BY qid")
 # no order has more answers than one part holds
@@ -206,6 +216,26 @@ GROUPED = (f"{SUMMARY} SELECT working, sex, age, round(avg(primaryNeeds), 1) AS
            "round(avg(work), 1) AS work, round(avg(other), 1) AS other FROM summed "
            "GROUP BY working, sex, age ORDER BY working, sex, age")
 
+KIND = f"CAST(tucaseid AS BIGINT) % {B.DAMAGE_CYCLE}"
+_TEXT = {c: f"CAST({c} AS VARCHAR)" for c in B.RESPONDENT_COLUMNS}
+_TEXT["t500101"] = f"CASE WHEN {KIND} <> 1 THEN {_TEXT['t500101']} END"
+_TEXT["teage"] = f"CASE WHEN {KIND} = 3 THEN '' ELSE {_TEXT['teage']} END"
+_TEXT["t110101"] = f"CASE WHEN {KIND} = 4 THEN 'n/a' ELSE {_TEXT['t110101']} END"
+DAMAGED = (
+    f"WITH {RESPONDENTS}, damaged AS (SELECT concat_ws(',', {', '.join(_TEXT.values())}, "
+    f"CASE WHEN {KIND} = 2 THEN '9' END) AS line, "
+    f"CASE {KIND} WHEN 1 THEN 'too few fields' WHEN 2 THEN 'too many fields' WHEN 3 THEN 'missing number' "
+    "WHEN 4 THEN 'malformed number' ELSE 'accepted' END AS reason, "
+    f"CASE {KIND} WHEN 3 THEN 'teage' WHEN 4 THEN 't110101' END AS \"column\" FROM respondents)")
+_SQL["wide_lenient_rows"] = f"WITH {RESPONDENTS} SELECT * FROM respondents WHERE {KIND} NOT IN (1, 2, 3, 4)"
+_SQL["wide_lenient_rejects"] = f"{DAMAGED} SELECT line, reason, \"column\" FROM damaged WHERE reason <> 'accepted'"
+_SQL["wide_lenient_counts"] = f"{DAMAGED} SELECT reason, \"column\", count(*) AS n FROM damaged GROUP BY ALL"
+_UNREAD = {"t500101": 1, "teage": 3, "t110101": 4}
+_SQL["wide_permissive_counts"] = (
+    f"WITH {RESPONDENTS} SELECT count(*) AS n_lines, count(*) FILTER ({KIND} IN (1, 2, 3, 4)) AS n_corrupt, "
+    + ", ".join(f"count({c}) FILTER ({KIND} <> {_UNREAD.get(c, -1)}) AS n_{c}" for c in B.RESPONDENT_COLUMNS[1:])
+    + " FROM respondents")
+_SQL["wide_file_read"] = f"WITH {RESPONDENTS} SELECT * FROM respondents"
 _SQL["wide_read"] = f"WITH {RESPONDENTS} SELECT * FROM respondents"
 _SQL["respondent_recode"] = f"WITH {RESPONDENTS} SELECT tucaseid, {RECODES} FROM respondents"
 _SQL["activity_hours"] = f"WITH {RESPONDENTS} SELECT tucaseid, {HOURS} FROM respondents"

@@ -13,7 +13,8 @@ from quarry.session import reread
 from quarry.sources import bindings as B
 from quarry.sources.articles import parse_articles
 from quarry.sources.postings import parse_postings
-from quarry.sources.wide import parse_wide_lines
+from quarry.sources.text import read_lines
+from quarry.sources.wide import parse_wide_lines, read_wide_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -39,6 +40,11 @@ def page_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_articles(B.article_lines(spark, sf_dir)).select("doc_id", "title", "text")
 
 
+@query("page_file_parse")
+def page_file_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_articles(read_lines(spark, B.article_files(spark, sf_dir))).select("title", "text")
+
+
 @query("term_doc_count")
 def term_doc_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.doc_count(B.articles(spark, sf_dir), B.DOC_TERMS.terms[0])
@@ -89,6 +95,11 @@ def posting_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_postings(B.posting_lines(spark, sf_dir))
 
 
+@query("posting_file_read")
+def posting_file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_postings(read_lines(spark, B.posting_files(spark, sf_dir)))
+
+
 @query("posting_valid")
 def posting_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.valid_postings(B.postings(spark, sf_dir))
@@ -243,6 +254,43 @@ def wide_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df
 
 
+@query("wide_file_read")
+def wide_file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_wide_csv(spark, B.respondent_files(spark, sf_dir))[1]
+
+
+def _lenient(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    _, rows, rejects = read_wide_csv(spark, B.damaged_respondent_files(spark, sf_dir), mode="lenient")
+    return rows, rejects
+
+
+@query("wide_lenient_rows")
+def wide_lenient_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lenient(spark, sf_dir)[0]
+
+
+@query("wide_lenient_rejects")
+def wide_lenient_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lenient(spark, sf_dir)[1]
+
+
+@query("wide_lenient_counts")
+def wide_lenient_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, and rejects by reason and column."""
+    rows, rejects = _lenient(spark, sf_dir)
+    accepted = rows.select(F.lit("accepted").alias("reason"), F.lit(None).cast("string").alias("column"))
+    return (accepted.unionByName(rejects.select("reason", "column"))
+            .groupBy("reason", "column").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("wide_permissive_counts")
+def wide_permissive_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line a row: how many are kept whole, and how many numbers are read."""
+    _, df = read_wide_csv(spark, B.damaged_respondent_files(spark, sf_dir), mode="permissive")
+    return df.agg(F.count(F.lit(1)).alias("n_lines"), F.count("_corrupt_record").alias("n_corrupt"),
+                  *[F.count(c).alias(f"n_{c}") for c in B.RESPONDENT_COLUMNS[1:]])
+
+
 @query("respondent_recode")
 def respondent_recode(spark: SparkSession, sf_dir: str) -> DataFrame:
     r, _ = _respondents(spark, sf_dir)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +52,37 @@ def reread(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True) if checkpoint_dir(df.sparkSession) else df
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder for files that later jobs read: the session's checkpoint
+    folder. A local session that names none has everything on one machine and
+    uses that machine's temporary folder; a cluster session is refused."""
+    folder = checkpoint_dir(spark)
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return spark.sparkContext._jvm.java.lang.System.getProperty("java.io.tmpdir")
+
+
+_SCRATCH = "quarry-scratch"
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new name in the shared folder, for files that a query writes and reads
+    back. They stay there until `clear_scratch`: frames made from them are read
+    later, so only the caller knows when they are done with."""
+    return f"{shared_root(spark)}/{_SCRATCH}-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Deletes what `scratch_folder` gave to this application. Frames that read
+    those files fail afterwards. True if there was anything."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/{_SCRATCH}-{spark.sparkContext.applicationId}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def sql_literal(value) -> str:
     """A SQL literal for a driver value. Text goes in as UTF-8 bytes in hex,
     so no quoting or escaping rule (or parser setting) can change it."""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.params import KMeansParams, Vocabulary
-from quarry.session import local_table
+from quarry.session import local_table, scratch_folder
 from quarry.sources.articles import article_line
 from quarry.sources.postings import posting_line
 
@@ -142,3 +142,59 @@ def respondent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = local_table(spark, {"value": "string"}, [(",".join(RESPONDENT_COLUMNS),)])
     body = r.select(F.concat_ws(",", *[F.col(c).cast("string") for c in RESPONDENT_COLUMNS]).alias("value"))
     return header.unionByName(body)
+
+
+# -- files ---------------------------------------------------------------------
+# Table rows written as line files into the shared folder, for the readers.
+FILES = 8                 # at least so many files, and as many as cores
+DAMAGE_CYCLE = 101        # of so many respondents, four have a bad line
+
+
+def _files(spark: SparkSession) -> int:
+    return max(FILES, spark.sparkContext.defaultParallelism)
+
+
+def _write_csv(lines: DataFrame, header: str) -> str:
+    """Lines as CSV files, each with the header. Written as one column that is
+    named by the whole header, so nothing is quoted or escaped."""
+    path = scratch_folder(lines.sparkSession)
+    (lines.repartition(_files(lines.sparkSession), "value").toDF(header)
+     .write.csv(path, header=True, sep="\x01", quote="", escapeQuotes=False))
+    return path
+
+
+def _write_text(lines: DataFrame) -> str:
+    path = scratch_folder(lines.sparkSession)
+    lines.repartition(_files(lines.sparkSession), "value").write.text(path)
+    return path
+
+
+def respondent_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of CSV files of `respondents`, each with the header."""
+    r = respondents(spark, sf_dir)
+    line = F.concat_ws(",", *[F.col(c).cast("string") for c in RESPONDENT_COLUMNS])
+    return _write_csv(r.select(line.alias("value")), ",".join(RESPONDENT_COLUMNS))
+
+
+def damaged_respondent_files(spark: SparkSession, sf_dir: str) -> str:
+    """The same with bad lines, by the case number modulo `DAMAGE_CYCLE`: 1 a
+    field short, 2 a field too many, 3 a blank age, 4 minutes that are no number."""
+    r = respondents(spark, sf_dir)
+    kind = F.col("tucaseid").cast("bigint") % DAMAGE_CYCLE
+    text = {c: F.col(c).cast("string") for c in RESPONDENT_COLUMNS}
+    text["t500101"] = F.when(kind != 1, text["t500101"])           # concat_ws leaves nulls out
+    text["teage"] = F.when(kind == 3, F.lit("")).otherwise(text["teage"])
+    text["t110101"] = F.when(kind == 4, F.lit("n/a")).otherwise(text["t110101"])
+    line = F.concat_ws(",", *text.values(), F.when(kind == 2, F.lit("9")))
+    return _write_csv(r.select(line.alias("value")), ",".join(RESPONDENT_COLUMNS))
+
+
+def posting_files(spark: SparkSession, sf_dir: str) -> str:
+    return _write_text(posting_lines(spark, sf_dir))
+
+
+def article_files(spark: SparkSession, sf_dir: str) -> str:
+    """Article lines; line breaks of the texts are spaces."""
+    a = articles(spark, sf_dir)
+    text = F.translate(F.coalesce("text", F.lit("")), "\r\n", "  ")
+    return _write_text(a.select(article_line(F.col("title"), text).alias("value")))

@@ -12,16 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.text import pinned
+
 POSTING_COLUMNS = ("posting_type", "id", "accepted_answer", "parent_id", "score", "tags")
 # --- Fixed value: a valid line. Integer fields 0, 1 and 4 are required, 2
 # and 3 may be empty; anything may follow a fifth comma. The casts judge the
 # range of the numbers.
 LINE_PATTERN = r"(?s)^[+-]?[0-9]+,[+-]?[0-9]+,([+-]?[0-9]+)?,([+-]?[0-9]+)?,[+-]?[0-9]+(,.*)?$"
 # ---------------------------------------------------------------------------
-# Integer fields and whether they may be empty.
-_INT_FIELDS = (("posting_type", 0, False, "int"), ("id", 1, False, "bigint"),
-               ("accepted_answer", 2, True, "bigint"), ("parent_id", 3, True, "bigint"),
-               ("score", 4, False, "bigint"))
+_INT_FIELDS = (("posting_type", "int"), ("id", "bigint"), ("accepted_answer", "bigint"), ("parent_id", "bigint"),
+               ("score", "bigint"))
 
 
 def posting_line(df: DataFrame) -> Column:
@@ -38,29 +38,28 @@ def parse_postings(lines: DataFrame, *, value: str = "value", mode: str = "stric
     mode="strict": a missing, non-integer or out-of-range field fails the job.
     mode="lenient": returns ``(postings, rejects)``.
 
-    The layout is checked once per line by one anchored pattern, in a filter
-    (a filter survives column pruning; a check inside an output column would
-    be dropped with the column). The fields are then split and cast once.
+    A line is split once and its numbers are cast once, pinned to the row; the
+    check and the columns read them there. The check is a filter
+    (which survives column pruning; a check inside an output column would be
+    dropped with the column): the layout by one anchored pattern, the range of the
+    numbers by the cast.
     """
     if mode not in ("strict", "lenient"):
         raise ValueError(f"unknown mode {mode!r}")
-    v = F.col(value)
-    ok = v.rlike(LINE_PATTERN)
-    # without trailing empty fields, as a JVM split has it
-    fields = F.split(F.regexp_replace(v, ",+$", ""), ",")
-    types = {name: typ for name, _, _, typ in _INT_FIELDS}
-    parsed = []
-    for name, i, optional, typ in _INT_FIELDS:
-        raw = F.get(fields, i)
-        number = (F.nullif(raw, F.lit("")) if optional else raw).try_cast(types[name])
-        parsed.append(number.alias(name))
-        ok = ok & (number.isNotNull() | (F.nullif(raw, F.lit("")).isNull() if optional else F.lit(False)))
-    # an empty sixth field is "no tag" only when nothing follows it
-    parsed.append(F.get(fields, 5).alias("tags"))
+    read = pinned(lines.select(F.col(value).alias("_v")), _line=F.col("_v"))
+    read = pinned(read, _f=F.split("_line", ",", 7))
+    field = lambda i: F.get("_f", F.lit(i))
+    # empty fields are not cast: a cast that fails is dear
+    read = pinned(read, **{name: F.nullif(field(i), F.lit("")).try_cast(typ) for i, (name, typ) in enumerate(_INT_FIELDS)})
+    ok = F.col("_line").rlike(LINE_PATTERN)
+    for i, (name, _) in enumerate(_INT_FIELDS):
+        # the layout has seen to it that only optional fields are empty
+        ok = ok & (F.col(name).isNotNull() | (field(i) == ""))
+    ok = F.coalesce(ok, F.lit(False))
+    # an empty sixth field is "no tag" only when nothing but commas follows it
+    none = (field(5) == "") & (F.rtrim(F.coalesce(field(6), F.lit("")), F.lit(",")) == "")
+    columns = [*[F.col(name) for name, _ in _INT_FIELDS], F.when(~none, field(5)).alias("tags")]
     if mode == "strict":
-        err = F.raise_error(F.concat(F.lit("malformed posting line: "), F.substring(v, 1, 80)))
-        return lines.where(F.coalesce(F.when(~ok, err), F.lit(True))).select(*parsed)
-    flagged = lines.withColumn("_ok", F.coalesce(ok, F.lit(False)))
-    good = flagged.where(F.col("_ok")).select(*parsed)
-    rejects = flagged.where(~F.col("_ok")).select(v.alias(value))
-    return good, rejects
+        err = F.raise_error(F.concat(F.lit("malformed posting line: "), F.coalesce(F.substring("_line", 1, 80), F.lit("null"))))
+        return read.where(F.when(ok, F.lit(True)).otherwise(err)).select(*columns)
+    return read.where(ok).select(*columns), read.where(~ok).select(F.col("_line").alias(value))

@@ -197,3 +197,72 @@ def test_posting_lines_of_any_width(spark):
     bad = spark.createDataFrame([("99999999999,5,,,0",), ("1,5,,,0",)], "value string")
     good, rejects = parse_postings(bad, mode="lenient")
     assert good.count() == 1 and rejects.count() == 1
+
+
+WIDE_LINES = ["id,a,b", "x,1,2", "y,1", "z,1,2,3", "u,,2", "v,1,q", "w, 1 ,-2e3", "", ",1,2", "k,1, ", "n,NaN,1"]
+WIDE_ROWS = [("", 1.0, 2.0), ("w", 1.0, -2000.0), ("x", 1.0, 2.0)]
+WIDE_REJECTS = [("k,1, ", "missing number", "b"), ("u,,2", "missing number", "a"), ("v,1,q", "malformed number", "b"),
+                ("y,1", "too few fields", None), ("z,1,2,3", "too many fields", None)]
+
+
+def _wide_frames(spark, scratch, mode):
+    from quarry.sources.wide import parse_wide_lines, read_wide_csv
+    write_lines(scratch, "a.csv", WIDE_LINES[:5])
+    write_lines(scratch, "b.csv", WIDE_LINES[:1] + WIDE_LINES[5:])
+    lines = spark.createDataFrame([(x,) for x in WIDE_LINES] + [(None,)], "value string").coalesce(1)
+    return read_wide_csv(spark, scratch, mode=mode)[1:], parse_wide_lines(lines, mode=mode)[1:]
+
+
+def test_wide_lenient_rows_and_rejects(spark, scratch):
+    for rows, rejects in _wide_frames(spark, scratch, "lenient"):
+        assert [f.dataType.simpleString() for f in rows.schema.fields] == ["string", "double", "double"]
+        assert rejects.dtypes == [("line", "string"), ("reason", "string"), ("column", "string")]
+        assert sorted(tuple(r) for r in rows.where("id <> 'n'").collect()) == WIDE_ROWS
+        assert rows.where("id = 'n' AND isnan(a)").count() == 1
+        assert sorted(tuple(r) for r in rejects.collect()) == WIDE_REJECTS
+
+
+def test_wide_permissive_keeps_bad_lines(spark, scratch):
+    for (df,) in _wide_frames(spark, scratch, "permissive"):
+        got = {r["id"]: (r["a"], r["b"], r["_corrupt_record"]) for r in df.where("id <> 'n'").collect()}
+        assert got == {"x": (1.0, 2.0, None), "y": (1.0, None, "y,1"), "z": (1.0, 2.0, "z,1,2,3"), "u": (None, 2.0, "u,,2"),
+                       "v": (1.0, None, "v,1,q"), "w": (1.0, -2000.0, None), "": (1.0, 2.0, None), "k": (1.0, None, "k,1, ")}
+
+
+def test_wide_other_header_fails_in_every_mode(spark, scratch):
+    from quarry.sources.wide import read_wide_csv
+    write_lines(scratch, "a.csv", ["id,a,b", "x,1,2"])
+    write_lines(scratch, "b.csv", ["id,b,a", "y,1,2"])
+    for mode in ("strict", "lenient", "permissive"):
+        with pytest.raises(Exception):
+            for df in read_wide_csv(spark, scratch, mode=mode)[1:]:
+                df.count()
+    with pytest.raises(ValueError):
+        read_wide_csv(spark, scratch, mode="loose")
+
+
+def test_written_files_hold_a_header_each(spark):
+    import glob
+    path = B.damaged_respondent_files(spark, SF_SMALL)
+    files = glob.glob(f"{path.removeprefix('file:')}/*.csv")
+    assert len(files) >= B.FILES
+    assert all(open(f).readline().rstrip("\n") == ",".join(B.RESPONDENT_COLUMNS) for f in files)
+
+
+def test_scratch_folders_can_be_cleared(spark):
+    import glob
+    from quarry.session import clear_scratch
+    path = B.posting_files(spark, SF_SMALL).removeprefix("file:")
+    assert glob.glob(f"{path}/*.txt")
+    assert clear_scratch(spark) and not glob.glob(f"{path}/*") and not clear_scratch(spark)
+
+
+def test_lines_are_parsed_once(spark):
+    """One split and one cast of a line, however many columns and checks use them."""
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+    wide = plan(parse_wide_lines(B.respondent_lines(spark, SF_SMALL))[1])
+    assert wide.count("split(") == 1 and wide.count("array<double>") == 1 and wide.count("from_csv") == 0
+    assert wide.count("concat_ws(") == 1
+    posting = plan(parse_postings(lines_df(spark, ["1,2,,,0"])))
+    assert posting.count("split(") == 1 and posting.count("as bigint)") == 4 and posting.count("as int)") == 1
