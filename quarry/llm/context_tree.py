@@ -53,8 +53,8 @@ from quarry.llm.common import store
 from quarry.llm.wordstream import Stream
 
 DEPTH = 5                        # bytes of context
-BLOCK_BYTES = 48 << 20
-SLICE = 1 << 20                  # bytes of text handled at a time
+BLOCK_BYTES = 32 << 20
+SLICE = 1 << 19                  # bytes of text handled at a time
 STRETCH = 200_000                # runs handled at a time, whole three-byte contexts
 FOLDS = 10
 LOG_HALF = math.log(0.5)
@@ -95,7 +95,7 @@ class _Counts:
         self.keys.append(keys)
         self.counts.append(counts)
         self.held += len(keys)
-        if self.held > 8 * max(len(self.keys[0]), 100_000):
+        if self.held > 4 * max(len(self.keys[0]), 100_000):
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +117,7 @@ class _Words:
     def add(self, words: pa.Array, counts: np.ndarray) -> None:
         self.parts.append((words, counts))
         self.held += len(words)
-        if self.held > 8 * max(len(self.parts[0][0]), 100_000):
+        if self.held > 4 * max(len(self.parts[0][0]), 100_000):
             self.merge()
 
     def merge(self) -> tuple[pa.Array, np.ndarray]:
