@@ -48,7 +48,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.bytescan import slices
+from quarry.llm.bytescan import _BYTE_POWERS, run_hashes, slices
 from quarry.llm.common import store
 from quarry.llm.wordstream import Stream
 
@@ -403,28 +403,54 @@ def model(asked: DataFrame) -> DataFrame:
 
 # Scores --------------------------------------------------------------------------------
 
-class _RunTable:
-    """Log probabilities by byte run: a slot table, and a search for the runs
-    whose slot another one has taken."""
+class _Table:
+    """Values by 64-bit key: a slot table, and a search for the keys whose slot
+    another one has taken. Only keys of the table may be asked for."""
 
-    def __init__(self, runs: np.ndarray, values: np.ndarray):
-        order = np.argsort(runs)
-        self.runs, self.values = runs[order], values[order]
-        self.shift = np.uint64(64 - max(4, (4 * len(runs)).bit_length()))
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        self.shift = np.uint64(64 - max(4, (4 * len(keys)).bit_length()))
         self.slots = np.zeros(1 << int(64 - self.shift), dtype=np.int32)
-        self.slots[self._slot(self.runs)] = np.arange(len(runs), dtype=np.int32)
+        self.slots[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
 
-    def _slot(self, runs: np.ndarray) -> np.ndarray:
-        return ((runs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
 
-    def get(self, runs: np.ndarray) -> np.ndarray:
-        at = self.slots[self._slot(runs)]
-        wrong = np.flatnonzero(self.runs[at] != runs)
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        at = self.slots[self._slot(keys)]
+        wrong = np.flatnonzero(self.keys[at] != keys)
         if len(wrong):
-            at[wrong] = np.searchsorted(self.runs, runs[wrong])
+            at[wrong] = np.searchsorted(self.keys, keys[wrong])
         return self.values[at]
 
 
+def _hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    values = data.astype(np.uint64) + np.uint64(1)
+    return run_hashes(values, offsets[:-1], offsets[1:], _BYTE_POWERS[0]).view(np.int64)
+
+
+class _WordCounts:
+    """Counts of a block's words, by their hashes; by the words themselves in
+    the rare block where two words share one."""
+
+    def __init__(self, words: pa.Array, counts: np.ndarray):
+        keys = [_hashes(data, offsets) for _, _, data, offsets in slices(words)]
+        found = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+        self.words, self.counts = words, counts
+        self.table = _Table(found, counts) if len(np.unique(found)) == len(found) else None
+
+    def get(self, s: Stream) -> np.ndarray:
+        """Of every token; pads give anything."""
+        if self.table:
+            keys = _hashes(s.bytes, s.offsets)
+            keys[s.first[:-1]] = self.table.keys[0]
+            return self.table.get(keys)
+        coded = s.tokens().dictionary_encode()
+        place = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.words), 0).to_numpy(zero_copy_only=False)
+        return self.counts[place][coded.indices.to_numpy(zero_copy_only=False)]
+
+
 SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, logs double, score double, n_bytes bigint"
 
 
@@ -433,9 +459,8 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     byte runs, counts of its words, its texts."""
     block = None
     found: dict[int, list] = {0: [], 1: []}
-    table: _RunTable | None = None
-    words: pa.Array | None = None
-    counts = np.zeros(0, np.int64)
+    table: _Table | None = None
+    words: _WordCounts | None = None
     names = [c.split(" ")[0] for c in SCORED.split(", ")]
     for batch in batches:
         key = batch.column("block").to_numpy().astype(np.int64) * 4 + batch.column("kind").to_numpy()
@@ -450,26 +475,24 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if table is None:
                 runs = pa.Table.from_batches(found[0])
-                table = _RunTable(runs.column("run").to_numpy(), runs.column("lp").to_numpy())
+                table = _Table(runs.column("run").to_numpy(), runs.column("lp").to_numpy())
                 listed = pa.Table.from_batches(found[1])
-                words = pa.concat_arrays([x.cast(pa.large_binary()) for x in listed.column("text").chunks])
-                counts = listed.column("c").to_numpy()
+                words = _WordCounts(pa.concat_arrays([x.cast(pa.large_binary()) for x in listed.column("text").chunks]),
+                                    listed.column("c").to_numpy())
                 found = {0: [], 1: []}
             for i, j, s in _streams(part, SLICE):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").slice(i, j - i), part.column("held_out").slice(i, j - i),
-                     *(pa.array(x) for x in _texts(s, table, words, counts))], names)
+                     *(pa.array(x) for x in _texts(s, table, words))], names)
 
 
-def _texts(s: Stream, table: _RunTable, words: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+def _texts(s: Stream, table: _Table, words: _WordCounts) -> tuple[np.ndarray, ...]:
     """n_tokens, n_known, sum of log10(c + 0.1), score and bytes of every text."""
     pad = np.zeros(len(s), dtype=bool)
     pad[s.first[:-1]] = True
     # every text has one token at least, its end; one less token each without the pads
     first = s.first - np.arange(len(s.first))
-    coded = s.tokens().filter(pa.array(~pad)).dictionary_encode()
-    place = pc.index_in(coded.dictionary, value_set=words).to_numpy(zero_copy_only=False)
-    c = counts[place][coded.indices.to_numpy(zero_copy_only=False)]
+    c = words.get(s)[~pad]
     tokens = np.diff(first)
     known = np.add.reduceat((c > 0).astype(np.int64), first[:-1])
     logs = np.add.reduceat(np.log10(c + 0.1), first[:-1])

@@ -291,3 +291,15 @@ def test_lyndon_arrays_by_grouping():
         longest = [max(e - k for e in range(k + 1, len(s) + 1)
                        if all(s[k:e] < s[m:e] for m in range(k + 1, e))) for k in range(len(s))]
         assert word_runs.lyndon(s, 4) == longest
+
+
+def test_words_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    docs = small(spark).limit(50)
+    key = lambda f: {r["doc_id"]: (r["n_known"], round(r["base_score"], 6)) for r in f.collect()}
+    import pyarrow as pa
+    s = context_tree.Stream(np.frombuffer(b"a b a c", np.uint8), np.array([0, 7]), lower=True, ends=True, pad=5)
+    words, counts = pa.array([b"a ", b"b ", b"c ", b"\n"], pa.large_binary()), np.array([7, 5, 3, 2])
+    assert context_tree._WordCounts(words, counts).get(s)[1:].tolist() == [7, 5, 7, 3, 2]
+    monkeypatch.setattr(context_tree, "_hashes", lambda data, offsets: np.zeros(len(offsets) - 1, np.int64))
+    assert context_tree._WordCounts(words, counts).get(s)[1:].tolist() == [7, 5, 7, 3, 2]
+    assert len(key(context_tree.scores(docs))) == 50
