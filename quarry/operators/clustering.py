@@ -51,9 +51,77 @@ def nearest(centres: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> C
     return F.expr(f"coalesce(cast(array_position({d}, array_min({d})) - 1 as int), -1)")
 
 
-def assign(vectors: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
-    """Adds `k`, the nearest centre, to every point."""
-    return vectors.withColumn("k", nearest(centres))
+SEARCH_CENTRES = 64       # more centres are searched by bisection
+LINES_MAX = 10_000        # lines (tag coordinates) for which a search table is made
+
+
+def line_table(centres: Sequence[tuple[int, int]], x: int) -> list[tuple[int | None, int]]:
+    """For points on the line of one x: `(from, index)` in order of y; a centre is
+    the nearest from its `from` (the first: None) up to the next one's. Exact in
+    whole numbers, the lowest index first on a tie.
+
+    On a line the squared distance is y * y - 2 * cy * y + (cy * cy + (x - cx) ** 2):
+    without the y * y that all have, a straight line in y for every centre, and
+    the nearest one is the lower envelope of these."""
+    best: dict[int, tuple[int, int]] = {}
+    for i, (cx, cy) in enumerate(centres):
+        rest = (cy * cy + (x - cx) ** 2, i)
+        best[cy] = min(best.get(cy, rest), rest)
+    table: list[tuple[int | None, int, int, int]] = []        # from, index, cy, rest
+    for cy in sorted(best):
+        rest, i = best[cy]
+        start: int | None = None
+        while table:
+            begin, j, cy0, rest0 = table[-1]
+            # first y where this centre is preferred to the last one of the table
+            gain, per = rest - rest0, 2 * (cy - cy0)
+            start = -(-gain // per)
+            if gain % per == 0 and i > j:
+                start += 1
+            if begin is None or start > begin:
+                break
+            table.pop()
+            start = None
+        table.append((start, i, cy, rest))
+    return [(begin, i) for begin, i, _, _ in table]
+
+
+def nearest_on_lines(centres: Sequence[tuple[int, int]], lines: Sequence[int], x: str = "x", y: str = "y") -> Column:
+    """`nearest` for points that lie on known lines of x (the tag coordinates): a
+    bisection in the line's table, so a point meets some log2(k) of the k
+    centres. -1 for a point on no such line."""
+    starts: list[int] = []
+    index: list[int] = []
+    bounds = [0]
+    for line in lines:
+        for begin, i in line_table(centres, line):
+            starts.append(-(1 << 63) if begin is None else max(-(1 << 63), min(begin, (1 << 63) - 1)))
+            index.append(i)
+        bounds.append(len(index))
+    longest = max(b - a for a, b in zip(bounds, bounds[1:]))
+    steps = [1 << p for p in reversed(range(max(1, longest.bit_length())))]
+
+    def array(values: Sequence[int], typ: str) -> str:
+        # one text literal, taken apart once when the plan is made
+        return f"from_json('[{','.join(map(str, values))}]', 'array<{typ}>')"
+
+    line = f"array_position({array(lines, 'bigint')}, `{x}`)"
+    found = (f"aggregate({array(steps, 'int')}, get({array(bounds, 'int')}, cast({line} AS int) - 1), "
+             f"(p, s) -> if(p + s < get({array(bounds, 'int')}, cast({line} AS int)) "
+             f"AND get({array(starts, 'bigint')}, p + s) <= `{y}`, p + s, p))")
+    return F.expr(f"if({line} > 0, coalesce(get({array(index, 'int')}, {found}), -1), -1)")
+
+
+def tag_lines(points: DataFrame) -> list[int] | None:
+    """The distinct x of the points, where there are up to `LINES_MAX` of them."""
+    rows = points.select("x").distinct().limit(LINES_MAX + 1).collect()
+    return sorted(r["x"] for r in rows) if 0 < len(rows) <= LINES_MAX else None
+
+
+def assign(vectors: DataFrame, centres: Sequence[tuple[int, int]], lines: Sequence[int] | None = None) -> DataFrame:
+    """Adds `k`, the nearest centre, to every point. With `lines`, every x that
+    occurs, the centre is searched there by bisection."""
+    return vectors.withColumn("k", nearest_on_lines(centres, lines) if lines else nearest(centres))
 
 
 def _weight(weight: str | None) -> Column:
@@ -110,10 +178,11 @@ def movement(old: Sequence[tuple[int, int]], new: Sequence[tuple[int, int]]) ->
     return sum((a[0] - b[0]) ** 2 + (a[1] - b[1]) ** 2 for a, b in zip(old, new))
 
 
-def step(points: DataFrame, centres: Centres, weight: str | None = None) -> Centres:
+def step(points: DataFrame, centres: Centres, weight: str | None = None,
+         lines: Sequence[int] | None = None) -> Centres:
     """One round on the driver's k centres; k rows come back."""
     cols = ["x", "y"] + ([weight] if weight else [])
-    rows = centre_means(points.select(*cols, nearest(centres).alias("k")), weight).collect()
+    rows = centre_means(assign(points.select(*cols), centres, lines), weight).collect()
     found = {r["k"]: (r["cx"], r["cy"]) for r in rows}
     return [found.get(i, c) for i, c in enumerate(centres)]
 
@@ -144,22 +213,65 @@ def kept_points(vectors: DataFrame, *, checkpoint: bool = True) -> Iterator[Data
 
 
 def kmeans(vectors: DataFrame, initial: Centres, params: KMeansParams, *,
-           checkpoint: bool = True) -> KMeansResult:
+           checkpoint: bool = True, resume: str | None = None) -> KMeansResult:
     """Rounds of assign -> mean -> keep old centre if empty -> movement, until
     the movement is below eta or max_iter rounds ran; the new centres of the
-    last round are returned either way."""
+    last round are returned either way. With `resume`, a folder that outlives
+    the session, every round is written there, and a fit that was stopped goes
+    on after its last whole round (see `RoundLog`)."""
     with kept_points(vectors, checkpoint=checkpoint) as points:
-        return _iterate(points, initial, params)
+        return _iterate(points, initial, params, resume)
 
 
-def _iterate(points: DataFrame, initial: Centres, params: KMeansParams) -> KMeansResult:
+class RoundLog:
+    """The rounds of a fit in a folder: round 0 holds the initial centres, every
+    later one the centres and the movement after it. A round counts once Spark
+    has committed it. A folder of another fit (other initial centres or other
+    parameters that the rounds depend on) is refused."""
+
+    COLUMNS = {"k": "int", "cx": "bigint", "cy": "bigint", "movement": "decimal(38,0)"}
+
+    def __init__(self, spark: SparkSession, folder: str, initial: Centres, params: KMeansParams):
+        self.spark, self.folder = spark, f"{folder.rstrip('/')}/k{params.k}-spread{params.spread}"
+        first = self.read(0)
+        if first is None:
+            self.write(0, list(initial), 0)
+        elif first[0] != list(initial):
+            raise ValueError(f"{folder} holds the rounds of a fit with other initial centres")
+
+    def _path(self, it: int) -> str:
+        return f"{self.folder}/round-{it:06d}"
+
+    def read(self, it: int) -> tuple[Centres, int] | None:
+        """Centres and movement of a round; None when it is not there."""
+        done = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self._path(it)}/_SUCCESS")
+        if not done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+            return None
+        rows = self.spark.read.schema(", ".join(f"{c} {t}" for c, t in self.COLUMNS.items())).parquet(self._path(it)).collect()
+        by_k = {r["k"]: r for r in rows}     # k rows, k is a parameter
+        return [(by_k[i]["cx"], by_k[i]["cy"]) for i in range(len(by_k))], int(rows[0]["movement"])
+
+    def write(self, it: int, centres: Centres, moved: int) -> None:
+        rows = [(i, int(cx), int(cy), moved) for i, (cx, cy) in enumerate(centres)]
+        local_table(self.spark, self.COLUMNS, rows).coalesce(1).write.mode("overwrite").parquet(self._path(it))
+
+
+def _iterate(points: DataFrame, initial: Centres, params: KMeansParams, resume: str | None = None) -> KMeansResult:
     """The rounds over kept weighted points `x, y, w`."""
     if len(initial) != params.k:
         raise ValueError(f"{len(initial)} initial centres for k={params.k}")
+    log = RoundLog(points.sparkSession, resume, initial, params) if resume else None
     result = KMeansResult(centres=list(initial))
+    lines = tag_lines(points) if params.k > SEARCH_CENTRES else None
     for it in range(1, params.max_iter + 1):
-        new = step(points, result.centres, "w")
-        moved = movement(result.centres, new)
+        known = log.read(it) if log else None
+        if known:
+            new, moved = known
+        else:
+            new = step(points, result.centres, "w", lines)
+            moved = movement(result.centres, new)
+            if log:
+                log.write(it, new, moved)
         result.history.append((it, moved))
         result.centres = new
         if moved < params.eta:
@@ -168,42 +280,87 @@ def _iterate(points: DataFrame, initial: Centres, params: KMeansParams) -> KMean
     return result
 
 
+MEDIAN_RANGES = 1 << 16     # ranges into which a cluster's scores are counted in a round
+
+
+def medians(counts: DataFrame, ranges: int = MEDIAN_RANGES) -> DataFrame:
+    """`k, median` of `k, y, n` (see `_medians`)."""
+    return local_table(counts.sparkSession, {"k": "int", "median": "bigint"}, sorted(_medians(counts, ranges).items()))
+
+
+def _medians(counts: DataFrame, ranges: int = MEDIAN_RANGES) -> dict[int, int]:
+    """The median (truncated toward zero) of every cluster of `k, y, n`: score y
+    occurs n times in cluster k. Exact, by distributed selection.
+
+    The scores between a cluster's least and greatest are counted in at most
+    `ranges` ranges of equal width (partial + final sums); running counts over
+    a cluster's ranges tell which one holds a middle rank. A round later the
+    scores of that range alone are counted, in ranges of their own, until it
+    holds one score: after one round when the scores span under `ranges`, after
+    four whatever they are. No task holds more of a cluster than
+    its ranges; per round two rows for each cluster come to the driver."""
+    spark = counts.sparkSession
+    sized = counts.groupBy("k").agg(F.sum("n").alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi")).collect()
+    # (cluster, which middle) -> least and greatest score left, rank among them
+    left = {(r["k"], m): (r["lo"], r["hi"], (r["n"] - 1 + m) // 2) for r in sized for m in (0, 1)}
+    found: dict[tuple[int, int], int] = {}
+    while left:
+        found |= {t: lo for t, (lo, hi, _) in left.items() if lo == hi}
+        left = {t: v for t, v in left.items() if t not in found}
+        if not left:
+            break
+        targets = local_table(spark, {"k": "int", "m": "int", "lo": "bigint", "hi": "bigint", "width": "decimal(20,0)", "rank": "bigint"},
+                              [(k, m, lo, hi, -(-(hi - lo + 1) // ranges), rank) for (k, m), (lo, hi, rank) in left.items()])
+        # two rows for each cluster: k is a parameter
+        inside = counts.join(F.broadcast(targets), "k").where("y BETWEEN lo AND hi")
+        place = F.expr("(cast(y AS decimal(20,0)) - cast(lo AS decimal(20,0))) div width").cast("bigint")
+        per_range = (inside.groupBy("k", "m", "rank", place.alias("place"))
+                     .agg(F.sum("n").alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi")))
+        running = F.sum("n").over(Window.partitionBy("k", "m").orderBy("place"))
+        holds = per_range.withColumn("upto", running).where("upto - n <= rank AND rank < upto")
+        left = {(r["k"], r["m"]): (r["lo"], r["hi"], r["rank"] - (r["upto"] - r["n"])) for r in holds.collect()}
+    middle = {k: found[k, 0] + found[k, 1] for k, _ in found}
+    return {k: (abs(v) // 2) * (1 if v >= 0 else -1) for k, v in middle.items()}
+
+
 def cluster_stats(vectors: DataFrame, centres: Centres, tags: Vocabulary, spread: int,
                   weight: str | None = None) -> DataFrame:
     """`k, tag, pct, size, median_score` per non-empty cluster, by median.
 
-    One pass over the points reduces them to counts per (cluster, tag
-    coordinate, score) with a partial + final count. Everything else comes
-    from that small table in one chain: a window sums the counts per (cluster,
-    tag); one aggregate per cluster then takes the dominant tag (most points,
-    lowest coordinate on a tie), its count, the size, and the exact median as
-    a frequency-weighted percentile (mean of the two middle scores when the
-    size is even), truncated toward zero."""
-    counts = (assign(vectors, centres).groupBy("k", "x", "y")
+    The points are reduced to counts per (cluster, tag coordinate, score) with
+    a partial + final count. From those, the counts per (cluster, tag) give the
+    dominant tag (most points, lowest coordinate on a tie), its share and the
+    size; `medians` gives the exact median (mean of the two middle scores when
+    the size is even, truncated toward zero). The medians are found when
+    this is called, the rest when the frame is used."""
+    lines = tag_lines(vectors) if len(centres) > SEARCH_CENTRES else None
+    counts = (assign(vectors, centres, lines).groupBy("k", "x", "y")
               .agg(F.sum(_weight(weight)).alias("n")))
-    per_tag = counts.withColumn("n_tag", F.sum("n").over(Window.partitionBy("k", "x")))
-    per_cluster = per_tag.groupBy("k").agg(
+    per_cluster = counts.groupBy("k", "x").agg(F.sum("n").alias("n_tag")).groupBy("k").agg(
         F.max_by("x", F.struct(F.col("n_tag"), -F.col("x"))).alias("x"),
         F.max("n_tag").alias("top"),
-        F.sum("n").alias("size"),
-        F.percentile("y", 0.5, F.col("n")).alias("_median"),
+        F.sum("n_tag").alias("size"),
     )
+    middle = _medians(counts.groupBy("k", "y").agg(F.sum("n").alias("n")))
+    # one entry for each cluster: k is a parameter
+    listed = "[" + ", ".join(str(middle.get(i, "null")) for i in range(len(centres))) + "]"
+    median = F.get(F.from_json(F.lit(listed), "array<bigint>"), F.col("k"))
     return (per_cluster
             .select(
                 "k",
                 tags.label(trunc_div("x", F.lit(spread))).alias("tag"),
                 trunc_div(F.col("top") * F.lit(100), "size").cast("double").alias("pct"),
                 F.col("size").cast("bigint").alias("size"),
-                F.col("_median").cast("bigint").alias("median_score"),
+                median.alias("median_score"),
             )
             .orderBy("median_score", "k"))
 
 
-def fit(vectors: DataFrame, params: KMeansParams, n_tags: int) -> KMeansResult:
+def fit(vectors: DataFrame, params: KMeansParams, n_tags: int, *, resume: str | None = None) -> KMeansResult:
     """Seeds and rounds from one kept copy of the vectors."""
     kept = keep(vectors.select("id", "x", "y"), reliable=False)
     try:
-        return kmeans(kept, seed_centres(kept, params, n_tags), params)
+        return kmeans(kept, seed_centres(kept, params, n_tags), params, resume=resume)
     finally:
         kept.unpersist()
 

@@ -6,8 +6,9 @@ temporary view, and through a schema-enforced ("typed") form.
 
 The recodes are `when` expressions, so the filter on `telfs` reaches the
 parquet scan and only the classified columns are read. The grouping has a
-handful of keys; `avg` is partial per task (sum, count), so a group holding
-most respondents shuffles one row per task.
+handful of keys; the means are partial per task (exact sums and a count), so a
+group holding most respondents shuffles one row per task, and a mean does not
+depend on how rows are dealt to tasks.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.fixed import MAX_EMPLOYABLE_STATUS, OTHER_PREFIXES, PRIMARY_PREFIXES, WORK_PREFIXES
+from quarry.functions.numeric import exact_mean, exact_mean_sql
 from quarry.functions.recode import age_group, hours_sum, sex_label, working_status
 from quarry.session import local_table
 
@@ -98,13 +100,13 @@ def respondent_summary(df: DataFrame, primary: Sequence[str], work: Sequence[str
 def summary_grouped(summed: DataFrame) -> DataFrame:
     """Mean hours per (working, sex, age), rounded to one decimal, sorted."""
     return (summed.groupBy(*GROUP_KEYS)
-            .agg(*[F.round(F.avg(m), 1).alias(m) for m in MEASURES])
+            .agg(*[F.round(exact_mean(m), 1).alias(m) for m in MEASURES])
             .orderBy(*GROUP_KEYS))
 
 
 def grouped_sql_text(relation: str) -> str:
     keys = ", ".join(GROUP_KEYS)
-    means = ", ".join(f"round(avg({m}), 1) AS {m}" for m in MEASURES)
+    means = ", ".join(f"round({exact_mean_sql(m)}, 1) AS {m}" for m in MEASURES)
     return f"SELECT {keys}, {means} FROM {relation} GROUP BY {keys} ORDER BY {keys}"
 
 

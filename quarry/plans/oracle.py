@@ -46,6 +46,28 @@ _SQL["term_rank_from_index"] = (
 
 _SQL["term_rank_one_pass"] = _SQL["term_rank_from_index"]
 
+TERM_TABLE = (
+    "WITH vocab AS (SELECT DISTINCT term FROM (SELECT unnest(string_split(html, ' ')) AS term FROM pages "
+    "UNION ALL SELECT unnest(string_split(text, ' ')) FROM conversations "
+    "UNION ALL SELECT unnest(string_split(text, ' ')) FROM benchmark "
+    "UNION ALL SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) FROM lineitem) WHERE term <> ''), "
+    "toks AS (SELECT DISTINCT doc_id, unnest(string_split(text, ' ')) AS term FROM documents), "
+    "hits AS (SELECT term, doc_id FROM toks JOIN vocab USING (term))")
+_SQL["term_table_rank"] = f"{TERM_TABLE} SELECT term, count(*) AS n FROM hits GROUP BY term ORDER BY n DESC, term"
+_SQL["term_table_rank_zero_filled"] = (
+    f"{TERM_TABLE} SELECT v.term, count(h.doc_id) AS n FROM vocab v LEFT JOIN hits h USING (term) GROUP BY v.term "
+    "ORDER BY n DESC, term")
+_SQL["term_table_index"] = f"{TERM_TABLE} SELECT term, doc_id, CAST(doc_id AS VARCHAR) AS title FROM hits"
+_SQL["term_index_ranked"] = (
+    f"{TERM_CTES}, spread AS (SELECT term, title, CAST('0x' || md5(title)[1:15] AS BIGINT) AS id FROM hits), "
+    "placed AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY id) - 1 AS pos, "
+    "count(*) OVER (PARTITION BY term) AS total FROM spread), "
+    "cut AS (SELECT *, CAST((pos * CAST(ceil(total / "
+    f"{B.RANKED_BLOCK_DOCS}.0) AS BIGINT)) // total AS BIGINT) AS block FROM placed), "
+    "steps AS (SELECT *, id - coalesce(lag(id) OVER (PARTITION BY term, block ORDER BY id), id) AS delta FROM cut) "
+    "SELECT term, block, count(*) AS n, min(id) AS first_id, string_agg(CAST(delta AS VARCHAR), ',' ORDER BY id) AS deltas, "
+    "string_agg(title, ',' ORDER BY id) AS titles FROM steps GROUP BY term, block")
+
 
 # -- postings ------------------------------------------------------------------
 _P = B.POSTING_KMEANS_FIXED
@@ -139,6 +161,14 @@ BRANDS = (
     f"FROM vectors) WHERE rn <= {_BM}), {_until_still(_BP)}")
 _LAST = "SELECT k, cx, cy FROM rounds WHERE iter = (SELECT max(iter) FROM rounds)"
 
+_SQL["nearest_of_many"] = (
+    "WITH scored AS (SELECT p_partkey AS id, p_brand AS tag, "
+    "max(CAST(trunc(l_quantity) AS BIGINT) * l_linenumber) AS y FROM part JOIN lineitem ON l_partkey = p_partkey "
+    f"GROUP BY ALL), tags(tag, pos) AS (SELECT * FROM {_values(B.BRAND_TAGS)} v(tag, pos)), "
+    f"vectors AS (SELECT id, CAST(pos AS BIGINT) * {_BP.spread} AS x, y FROM scored JOIN tags USING (tag)), "
+    f"c AS (SELECT CAST(i AS INTEGER) AS k, i % 15 * 50000 + i % 7 - 3 AS cx, i * 37 % 401 AS cy FROM range({len(B.MANY_CENTRES)}) t(i)), "
+    f"{_assign('near', 'c')} SELECT id, x, y, k FROM near")
+
 FIT = f"{SEED_CTES}, {_rounds(_P.max_iter)}"
 _CF = f"c{_P.max_iter}"
 STATS = (

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import clustering, postings, sampling, terms, timeuse
+from quarry.operators import clustering, postings, sampling, term_tables, terms, timeuse
 from quarry.session import reread
 from quarry.sources import bindings as B
 from quarry.sources.articles import parse_articles
@@ -79,6 +79,31 @@ def term_rank_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.rank_one_pass(B.articles(spark, sf_dir), B.DOC_TERMS)
 
 
+@query("term_table_rank")
+def term_table_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_tables.rank(B.articles(spark, sf_dir), reread(B.term_table(spark, sf_dir)))
+
+
+@query("term_table_rank_zero_filled")
+def term_table_rank_zero_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_tables.rank_zero_filled(B.articles(spark, sf_dir), reread(B.term_table(spark, sf_dir)))
+
+
+@query("term_table_index")
+def term_table_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_tables.inverted_index(B.articles(spark, sf_dir), reread(B.term_table(spark, sf_dir)))
+
+
+@query("term_index_ranked")
+def term_index_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posting lists by rank, of ids spread over all of bigint; deltas as one string."""
+    articles = B.articles(spark, sf_dir).withColumn("doc_id", F.conv(F.substring(F.md5("title"), 1, 15), 16, 10).cast("bigint"))
+    index = terms.inverted_index(articles, B.DOC_TERMS)
+    blocks = term_tables.ranked_blocks(index, block_docs=B.RANKED_BLOCK_DOCS)
+    text = F.concat_ws(",", F.transform("deltas", lambda d: d.cast("string")))
+    return blocks.select("term", "block", "n", "first_id", text.alias("deltas"), F.concat_ws(",", "titles").alias("titles"))
+
+
 # -- postings, scores, vectors -----------------------------------------------
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,6 +183,15 @@ def nearest_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.assign(v, _seeds(v)).select("id", "x", "y", "k")
 
 
+@query("nearest_of_many")
+def nearest_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1,500 centres, searched by bisection on every brand's line."""
+    scored = postings.question_max_score(B.brand_postings(spark, sf_dir))
+    vectors = postings.tag_vectors(scored, B.BRAND_TAGS, B.BRAND_KMEANS.spread)
+    lines = [i * B.BRAND_KMEANS.spread for i in range(len(B.BRAND_TAGS))]
+    return clustering.assign(vectors, B.MANY_CENTRES, lines).select("id", "x", "y", "k")
+
+
 def _seeded_points(spark: SparkSession, sf_dir: str):
     """Weighted points and seeds from one pass over the vectors (see
     `clustering.seeded_points`)."""

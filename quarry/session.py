@@ -75,6 +75,15 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{shared_root(spark)}/{_SCRATCH}-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The frame written once as Parquet into the shared folder and read back:
+    what its rows and their partitions were then holds for every later reader,
+    also where computing them again could deal them differently."""
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> bool:
     """Deletes what `scratch_folder` gave to this application. Frames that read
     those files fail afterwards. True if there was anything."""
@@ -91,7 +100,8 @@ def sql_literal(value) -> str:
     if isinstance(value, bool):
         return "TRUE" if value else "FALSE"
     if isinstance(value, int):
-        return f"{value}L"
+        # the least bigint has no literal of its own
+        return f"{value}L" if abs(value) < 1 << 63 else f"CAST('{value}' AS DECIMAL(38,0))"
     if isinstance(value, float):
         return f"CAST('{value!r}' AS DOUBLE)"
     if isinstance(value, str):

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators.term_tables import vocabulary_table
 from quarry.params import KMeansParams, Vocabulary
 from quarry.session import local_table, scratch_folder
 from quarry.sources.articles import article_line
@@ -28,6 +29,9 @@ POSTING_KMEANS_FIXED = KMeansParams(spread=50000, k=12, eta=0.0, max_iter=5, see
 # Fifteen tags and 45 centres, over the brands of the parts.
 BRAND_TAGS = Vocabulary(tuple(f"Brand#{i}" for i in range(1, 16)))
 BRAND_KMEANS = KMeansParams(spread=50000, k=45, eta=20.0, max_iter=120, seed=42)
+# Centres for a search among many, by rule: on and beside the lines of the brands.
+MANY_CENTRES = tuple((i % 15 * 50000 + i % 7 - 3, i * 37 % 401) for i in range(1500))
+RANKED_BLOCK_DOCS = 64
 ANSWER_ID_BASE = 1000000000
 SCORE_OFFSET = 25
 # ---------------------------------------------------------------------------
@@ -56,6 +60,16 @@ def article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("doc_id", article_line(F.col("title"), F.col("text")).alias("value"))
 
 
+def term_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`term`: a large vocabulary from tables: the tokens of pages, conversations
+    and benchmark passages, and a name for every line item."""
+    parts = [table(spark, sf_dir, name).select(F.explode(F.split(column, " ")).alias("term"))
+             for name, column in (("pages", "html"), ("conversations", "text"), ("benchmark", "text"))]
+    items = table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("term"))
+    return vocabulary_table(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(items))
+
+
 # -- postings ----------------------------------------------------------------
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:

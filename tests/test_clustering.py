@@ -270,3 +270,85 @@ def test_kmeans_parameters_defaults_and_checks():
     for bad in ({"spread": 0}, {"k": 0}, {"max_iter": 0}):
         with pytest.raises(ValueError):
             KMeansParams(**bad)
+
+
+# -- distributed median, search on lines, resumed fits ------------------------------
+
+def plain_median(scores):
+    s = sorted(scores)
+    total = s[(len(s) - 1) // 2] + s[len(s) // 2]
+    return abs(total) // 2 * (1 if total >= 0 else -1)
+
+
+@pytest.mark.parametrize("ranges", [2, 3, 1 << 16])
+def test_medians_by_running_counts(spark, ranges):
+    import random
+    rng = random.Random(ranges)
+    rows = [(k, rng.choice([rng.randrange(-9, 9), rng.randrange(-1 << 62, 1 << 62), -(1 << 63), (1 << 63) - 1]), rng.randrange(1, 4))
+            for k in range(12) for _ in range(rng.choice([1, 2, 9, 40]))]
+    got = {r["k"]: r["median"] for r in C.medians(spark.createDataFrame(rows, "k int, y bigint, n bigint"), ranges).collect()}
+    want = {k: plain_median([y for c, y, n in rows if c == k for _ in range(n)]) for k in range(12)}
+    # a middle sum is taken in whole numbers of any size
+    assert got == want
+    assert C.medians(spark.createDataFrame([], "k int, y bigint, n bigint")).collect() == []
+
+
+def test_median_of_ten_million_distinct_scores(spark):
+    n, step, prime = 10_000_000, 100_003, 1_000_000_007      # i -> i * step mod prime: all different
+    scores = spark.range(n).selectExpr("0 AS k", f"(id * {step}) % {prime} - 500000000 AS y", "1L AS n")
+    import numpy as np
+    y = np.sort(np.arange(n, dtype=np.int64) * step % prime - 500_000_000)
+    total = int(y[(n - 1) // 2] + y[n // 2])
+    assert C.medians(scores).first()["median"] == abs(total) // 2 * (1 if total >= 0 else -1)
+
+
+@pytest.mark.parametrize("k", [1, 45, 5000])
+def test_search_on_lines_finds_the_nearest_centre(spark, k):
+    import random
+    import numpy as np
+    rng = random.Random(k)
+    lines = [0, 50000, 100000, 150000]
+    centres = [(rng.choice(lines + [rng.randrange(160000)]), rng.choice([rng.randrange(-50, 50), rng.randrange(-9000, 9000)]))
+               for _ in range(k - k // 3)]
+    centres += centres[:k // 3]                                # equal centres: the first one counts
+    points = [(rng.choice(lines), rng.choice([rng.randrange(-60, 60), rng.randrange(-20000, 20000)])) for _ in range(1500)]
+    c = np.array(centres, dtype=np.int64)
+    want = [int(np.argmin((c[:, 0] - x) ** 2 + (c[:, 1] - y) ** 2)) for x, y in points]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "id int, x bigint, y bigint").coalesce(1)
+    got = [r["k"] for r in C.assign(df, centres, lines).orderBy("id").collect()]
+    assert got == want
+    assert C.assign(df.selectExpr("7L AS x", "y"), centres, lines).where("k <> -1").count() == 0
+
+
+def test_fit_with_many_centres_equals_the_plain_fit(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("id % 4 * 50000 AS x", "id * 7919 % 1009 AS y")
+    initial = [(i % 4 * 50000, i * 13 % 1000) for i in range(80)]
+    p = KMeansParams(k=80, max_iter=4, eta=0.0)
+    found = C.kmeans(df, initial, p)
+    monkeypatch.setattr(C, "SEARCH_CENTRES", 100)
+    assert C.kmeans(df, initial, p).history == found.history
+
+
+def test_a_stopped_fit_goes_on_where_it_stopped(spark, scratch, monkeypatch):
+    df = spark.range(2000).selectExpr("id % 4 * 50000 AS x", "id * 7919 % 1009 AS y")
+    initial = [(i * 50000, 3 * i) for i in range(4)]
+    p = KMeansParams(k=4, max_iter=8, eta=0.0)
+    want = C.kmeans(df, initial, p)
+    real, calls = C.step, []
+
+    def breaks_in_the_fourth(*args):
+        calls.append(1)
+        if len(calls) == 4:
+            raise RuntimeError("stopped")
+        return real(*args)
+
+    monkeypatch.setattr(C, "step", breaks_in_the_fourth)
+    with pytest.raises(RuntimeError):
+        C.kmeans(df, initial, p, resume=scratch)
+    again = C.kmeans(df, initial, p, resume=scratch)
+    assert (again.history, again.centres, again.converged) == (want.history, want.centres, want.converged)
+    assert len(calls) == 4 + 5                                 # three rounds were read
+    done = C.kmeans(df, initial, p, resume=scratch)
+    assert done.history == want.history and len(calls) == 9
+    with pytest.raises(ValueError, match="other initial centres"):
+        C.kmeans(df, initial[::-1], p, resume=scratch)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from quarry.functions.recode import hours_sum
@@ -93,3 +94,33 @@ def test_typed_form_enforces_names_and_types(spark):
     assert [f.dataType.simpleString() for f in t.schema.fields][3:] == ["double"] * 3
     with pytest.raises(ValueError, match="other"):
         TU.summary_typed(df.drop("other"))
+
+
+def test_means_at_a_rounding_boundary_do_not_depend_on_the_order(spark):
+    """Sums of thirds and tenths whose mean is at .x5: every dealing of the rows
+    to tasks gives the same rounded mean."""
+    from quarry.functions.numeric import exact_mean
+    rows = spark.range(4000).selectExpr("id", "id % 8 AS g", "CASE WHEN id % 16 < 8 THEN 0.1D ELSE 0.2D END + (id % 3) * 1000.1D "
+                                        "- (id % 3) * 1000.1D AS v", "(id % 7) / 60D + pow(10, id % 9) AS w").persist()
+    plain, seen = set(), set()
+    for seed in range(50):
+        dealt = rows.repartition(1 + seed % 13, F.xxhash64(F.lit(seed), "id")).sortWithinPartitions(F.xxhash64(F.lit(-seed), "id"))
+        got = dealt.groupBy("g").agg(F.round(exact_mean("v"), 1).alias("v"), exact_mean("w").alias("w"), F.avg("w").alias("p")).orderBy("g").collect()
+        seen.add(tuple((r["g"], r["v"], r["w"]) for r in got))
+        plain.add(tuple(r["p"] for r in got))
+        assert all(abs(r["w"] - r["p"]) <= 1e-12 * abs(r["p"]) for r in got)
+    assert len(seen) == 1
+    assert len(plain) > 1                 # what adding doubles in any order gives
+    rows.unpersist()
+
+
+def test_exact_mean_of_odd_values(spark):
+    import math
+    from quarry.functions.numeric import exact_mean
+    nan, inf = float("nan"), float("inf")
+    cases = {"none": [None, None], "one": [None, -2.5], "tiny": [1e-300, -1e-300], "large": [1e300, 1e300], "nan": [nan, 1.0],
+             "inf": [inf, 1.0], "minus": [-0.1, -0.2, -0.3]}
+    df = spark.createDataFrame([(k, v) for k, vs in cases.items() for v in vs], "g string, v double")
+    got = {r["g"]: r["m"] for r in df.groupBy("g").agg(exact_mean("v").alias("m")).collect()}
+    assert got["none"] is None and got["one"] == -2.5 and abs(got["tiny"]) < 1e-20 and got["large"] == 1e300
+    assert math.isnan(got["nan"]) and got["inf"] == inf and got["minus"] == pytest.approx(-0.2, abs=1e-15)
