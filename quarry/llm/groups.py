@@ -24,6 +24,7 @@ from quarry.llm.common import cut, few
 COARSE = 1 << 18         # buckets are counted in so many classes of keys
 EDGES_PER_TASK = 100_000
 BUCKET_ROWS = 4096       # a bucket of more rows is compared part by part
+LARGE_BROADCAST = 100_000   # components of more than a block that are broadcast
 
 
 # Groups of a sorted stream ---------------------------------------------------------
@@ -110,27 +111,54 @@ def bucket_edges(rows: DataFrame, bits: list[str], most: int | Callable,
     dealt = (spread.select("key", "id", *bits, F.explode(pairs_of_parts(part, parts)).alias("block"))
              .repartition("key", "block").sortWithinPartitions("key", "block"))
 
+    alike = most if callable(most) else (
+        lambda x, y: np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64) <= most)
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a: list[np.ndarray] = []
-        b: list[np.ndarray] = []
-        held = 0
-        for t in sorted_groups(batches, ["key", "block"]):
-            ids = t.column("id").to_numpy()
-            words = np.stack([t.column(c).to_numpy().view(np.uint64) for c in bits], axis=1)
-            i, j = forest(words, most)
-            if i:
-                a.append(ids[i])
-                b.append(ids[j])
-                held += len(i)
-            if held > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b)], ["a", "b"])
-                a, b, held = [], [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b)], ["a", "b"])
+        for key, ids, words in _whole_groups(batches, bits):
+            turn = (key[1:] != key[:-1]).any(axis=1)
+            begin = np.concatenate(([0], np.flatnonzero(turn) + 1, [len(key)]))
+            size = np.diff(begin)
+            two = begin[:-1][size == 2]        # most groups: all at once
+            two = two[alike(words[two], words[two + 1])]
+            a, b = [ids[two]], [ids[two + 1]]
+            for k in np.flatnonzero(size > 2).tolist():
+                lo, hi = begin[k], begin[k + 1]
+                i, j = forest(words[lo:hi], alike)
+                if i:
+                    a.append(ids[lo:hi][i])
+                    b.append(ids[lo:hi][j])
+            for at in range(0, sum(map(len, a)), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)[at:at + 50_000]) for x in (a, b)], ["a", "b"])
 
     return dealt.mapInArrow(find, "a bigint, b bigint")
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch], bits: list[str],
+                  rows: int = 50_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(key, block), ids and bit words of a sorted stream, in stretches of some
+    `rows` that end where a group ends."""
+    held: list[tuple] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(c).to_numpy() for c in ("key", "block")], axis=1)
+        words = np.stack([batch.column(c).to_numpy().view(np.uint64) for c in bits], axis=1)
+        held.append((key, batch.column("id").to_numpy(), words))
+        size += len(key)
+        if size < rows:
+            continue
+        whole = [np.concatenate(x) for x in zip(*held)]
+        last = np.flatnonzero((whole[0][1:] != whole[0][:-1]).any(axis=1))
+        stop = int(last[-1]) + 1 if len(last) else 0
+        if stop:
+            yield tuple(x[:stop] for x in whole)
+        held, size = [tuple(x[stop:] for x in whole)], len(whole[0]) - stop
+    if size:
+        yield tuple(np.concatenate(x) for x in zip(*held))
+
+
 # Components -----------------------------------------------------------------------
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -169,19 +197,23 @@ def _print(e: DataFrame) -> tuple:
 
 # Blocks ----------------------------------------------------------------------------
 
-def blocks(members: DataFrame, block_rows: int) -> DataFrame:
-    """`id, comp, block, part, parts` from `id, comp`: the blocks in which
+def blocks(members: DataFrame, block_rows: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """`id, comp, block, part, parts, *keep` from `id, comp, *keep`: the blocks in which
     every two members of a component meet at least once. A component of up to
     `block_rows` is one block; a larger one is split in parts of half that size
     on average. Two members of one part meet in several blocks; `home` says
     which of these is theirs."""
-    sizes = members.groupBy("comp").agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.when(F.col("_n") <= block_rows, 1).otherwise(F.ceil(F.col("_n") * 2 / block_rows)).cast("bigint")
+    # only the large components are joined back, by broadcast while they are few,
+    # so that the members of one do not meet in a task before they are dealt out
+    large = cut(members.groupBy("comp").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
+                .select("comp", F.ceil(F.col("_n") * 2 / block_rows).cast("bigint").alias("_parts")), few(members.sparkSession))
+    if large.count() <= LARGE_BROADCAST:
+        large = F.broadcast(large)
     part = F.pmod(F.xxhash64("id"), F.col("_parts"))
-    return (members.join(sizes.withColumn("_parts", parts), "comp")
+    return (members.join(large, "comp", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1).cast("bigint")))
             .withColumn("part", part)
             .select("id", "comp", F.explode(pairs_of_parts(F.col("part"), F.col("_parts"))).alias("block"),
-                    "part", F.col("_parts").alias("parts")))
+                    "part", F.col("_parts").alias("parts"), *keep))
 
 
 def home(part: np.ndarray, parts: int, block: int) -> np.ndarray:
@@ -194,10 +226,12 @@ def home(part: np.ndarray, parts: int, block: int) -> np.ndarray:
     return other == (part + 1) % parts
 
 
-def compare_blocks(rows: DataFrame, compare: Callable[[pa.Table], tuple], schema: str) -> DataFrame:
+def compare_blocks(rows: DataFrame, compare: Callable[[pa.Table], tuple], schema: str, tasks: int | None = None) -> DataFrame:
     """Runs `compare` on the rows of every (comp, block) and returns what it
-    gives: arrays of the columns of `schema`."""
-    dealt = rows.repartition("comp", "block").sortWithinPartitions("comp", "block")
+    gives: arrays of the columns of `schema`. Blocks cost by their pairs, not by
+    their bytes: `tasks` says how many partitions they are dealt to, which
+    adaptive execution then leaves alone."""
+    dealt = rows.repartition(*([tasks] if tasks else []), "comp", "block").sortWithinPartitions("comp", "block")
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
