@@ -12,9 +12,10 @@ removed since; so the automaton has one state per token and the construction
 is linear in the merges. `arc` answers whether a state has an arc, and keeps
 the answers as the transition table.
 
-Every string has exactly one path. Encoding a pre-split word follows the
-arcs whose labels its characters spell, longer ones first, and steps back
-where the rest cannot be spelt. Decoding emits the labels of the arcs.
+Every string has exactly one path. Encoding a pre-split word reads its
+characters once through the trie of the arcs' labels and finds the state after
+every prefix: the one arc that ends there and stands after the state where it
+begins. Decoding emits the labels of the arcs.
 
 The tokenizer file also names the rest: NFC, lower case, the split pattern,
 bytes written as printable characters, and the end-of-word mark on a word's
@@ -45,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CACHE = 60_000
-ARCS = 300_000        # answers of the transition table kept at once
+ARCS = 600_000        # answers of the transition table kept at once
 _BASE = -1              # "merge number" of base symbols
 
 
@@ -71,7 +72,7 @@ class Automaton:
         self.head = [-1] * n             # u of the merge: where arcs were added
         self.tail = [-1] * n             # v of the merge: whose state was copied
         self.cut: dict[tuple[int, int], int] = {}   # (u, v) -> the merge that removed arc v after u
-        self._table: dict[tuple[int, int], bool] = {}
+        self._table: dict[int, bool] = {}     # by x << 20 | t
         for i, (u, v) in enumerate(merges):
             self._gadget(i, u, v)
 
@@ -88,7 +89,7 @@ class Automaton:
 
     def arc(self, x: int, t: int) -> bool:
         """Whether the state reached by token x has an arc t."""
-        key = (x, t)
+        key = x << 20 | t
         found = self._table.get(key)
         if found is None:
             if len(self._table) >= ARCS:
@@ -111,73 +112,81 @@ class Automaton:
                 return True
 
     def trie(self, end: str) -> dict:
-        """Arc labels by their characters. A node holds its children by
-        character; under 0 the arcs spelt on the way to it, as (token, length),
-        longest first; under 1 the token that ends here, under 2 the one that
-        has the mark `end` as well, -1 for none."""
-        root: dict = {0: (), 1: -1, 2: -1}
+        """Arc labels by their characters, with the links of string matching. A
+        node holds its children by character; under 1 the arcs without the mark
+        `end` whose labels are suffixes of what was read to get there, as (token,
+        length), longest first; under 2 those with it; under 0 the node of the
+        longest proper suffix that is in the trie (None for the root)."""
+        root: dict = {0: None, 1: (), 2: ()}
         for t, label in enumerate(self.tokens):
             marked = bool(end) and label.endswith(end)
+            text = label[:-len(end)] if marked else label
             node = root
-            for c in label[:-len(end)] if marked else label:
-                node = node.setdefault(c, {0: (), 1: -1, 2: -1})
-            node[2 if marked else 1] = t
-        todo = [(root, 0)]
-        while todo:
-            node, depth = todo.pop()
-            for c, child in node.items():
-                if isinstance(c, str):
-                    own = ((child[1], depth + 1),) if child[1] >= 0 else ()
-                    child[0] = own + node[0]
-                    todo.append((child, depth + 1))
+            for c in text:
+                child = node.get(c)
+                if child is None:
+                    child = node[c] = {0: root, 1: (), 2: ()}
+                node = child
+            node[2 if marked else 1] = ((t, len(text)),)
+        level = [n for c, n in root.items() if isinstance(c, str)]
+        while level:
+            below = []
+            for node in level:
+                for c, child in node.items():
+                    if isinstance(c, str):
+                        child[0] = step(node[0], c) or root
+                        child[1] += child[0][1]
+                        child[2] += child[0][2]
+                        below.append(child)
+            level = below
         return root
 
     def path(self, word: str, trie: dict, mark: int = 2) -> list[int]:
         """The tokens of a word whose last symbol carries the mark (entry 2 of
-        the trie's nodes): the only path from the start that spells the word.
-        Longer arcs are tried first; states from which the rest cannot be spelt
-        are not entered twice, so the work stays linear in the word's length."""
-        n, known, slow = len(word), self._table.get, self.arc
+        the trie's nodes; entry 1 for no mark): the only path from the start that
+        spells the word. Every prefix has one path, too, and the state after it
+        is its last token. So the prefixes' states are found one after the other:
+        of the arcs that end where the prefix ends, only one leaves the state
+        reached where it begins. Then the path is read from the end."""
+        known, slow = self._table.get, self.arc
+        states: list[int] = [-1]
+        lengths: list[int] = [0]
+        node, n = trie, len(word)
+        end = 0
+        for c in word:
+            end += 1
+            node = node.get(c) or step(node[0], c) or trie
+            for t, length in node[1] if end < n else node[mark]:
+                if length == end:
+                    break
+                x = states[end - length]
+                key = x << 20 | t
+                stands = known(key)
+                if stands or stands is None and slow(x, t):
+                    break
+            else:
+                raise ValueError(f"no path for {word!r}")
+            states.append(t)
+            lengths.append(length)
         out: list[int] = []
-        todo: list[tuple[int, Iterator[tuple[int, int]]]] = []
-        barren: set[tuple[int, int]] = set()
-        at, state = 0, -1
-        while at < n:
-            arcs: Iterator[tuple[int, int]] = iter(())
-            if not barren or (at, state) not in barren:
-                last = node = trie
-                for c in word[at:]:
-                    last, node = node, node.get(c)
-                    if node is None:
-                        break
-                # the word's end is reached by a marked arc only, and no other arc is marked
-                if node is not None and node[mark] >= 0:
-                    arcs = iter(((node[mark], n - at), *last[0]))
-                else:
-                    arcs = iter(last[0])
-            while True:
-                for t, length in arcs:
-                    if state < 0:
-                        break
-                    stands = known((state, t))
-                    if stands or stands is None and slow(state, t):
-                        break
-                else:
-                    if not todo:
-                        raise ValueError(f"no path for {word!r}")
-                    barren.add((at, state))
-                    at, arcs = todo.pop()
-                    out.pop()
-                    state = out[-1] if out else -1
-                    continue
-                todo.append((at, arcs))
-                out.append(t)
-                at += length
-                state = t
-                break
+        while n:
+            out.append(states[n])
+            n -= lengths[n]
+        out.reverse()
         return out
 
 
+def step(node: dict | None, c: str) -> dict | None:
+    """The child by c of the first node from `node` along the suffix links that
+    has one."""
+    while node is not None:
+        child = node.get(c)
+        if child is not None:
+            return child
+        node = node[0]
+    return None
+
+
 class Recent(dict):
     """Up to `size` entries in use, and as many held from before: when it is
     full the held ones go and the present ones are held, so entries asked for
@@ -245,41 +254,46 @@ class Tokenizer:
             return text.lower()
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
-    def _word(self, piece: str) -> tuple[int, ...]:
-        """Ids of one piece of the split pattern."""
+    def _made(self, ids: list[int]) -> tuple[bytes, str, int]:
+        return struct.pack(f"<{len(ids)}I", *ids), " ".join([self.labels[i] for i in ids]), len(ids)
+
+    def _word(self, piece: str) -> tuple[bytes, str, int]:
+        """Encoded ids, labels and number of tokens of one piece of the split pattern."""
         found = self._words.get(piece) or self._words.recall(piece)
         if found is None:
             # printable ASCII characters stand for themselves
             plain = piece.isascii() and piece.isprintable()
             word = piece if plain else "".join([self.symbols[b] for b in piece.encode("utf-8")])
             ids = self.ids
-            found = tuple([ids[t] for t in self.automaton.path(word, self._trie)])
+            found = self._made([ids[t] for t in self.automaton.path(word, self._trie)])
             self._words.keep(piece, found)
         return found
 
-    def _chunk_ids(self, chunk: str) -> tuple[int, ...] | list[int]:
+    def _chunk_pieces(self, chunk: str) -> list[tuple[bytes, str, int]]:
         if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():      # a word and its mark: two pieces
             text = self._normal(chunk[:-1])
             if text.isalpha():
-                return self._word(text) + self._word(chunk[-1])
+                return [self._word(text), self._word(chunk[-1])]
         parts = self._special.split(chunk) if self._special and "<" in chunk else [chunk]
-        out: list[int] = []
+        out: list[tuple[bytes, str, int]] = []
         for k, part in enumerate(parts):
             if k % 2:
-                out.append(self.special[part])
+                out.append(self._made([self.special[part]]))
                 continue
             text = self._normal(part)
-            for piece in [text] if text.isalpha() else self._split.findall(text):
-                out += self._word(piece)
+            out += [self._word(piece) for piece in ([text] if text.isalpha() else self._split.findall(text))]
         return out
 
     def _chunk(self, chunk: str) -> tuple[bytes, str, int]:
-        """Encoded ids, labels and number of tokens of what stands between spaces."""
+        """The same of what stands between spaces."""
         found = self._chunks.recall(chunk)
         if found is not None:
             return found
-        ids = self._chunk_ids(chunk)
-        found = (struct.pack(f"<{len(ids)}I", *ids), " ".join([self.labels[i] for i in ids]), len(ids))
+        made = self._chunk_pieces(chunk)
+        if len(made) == 1:
+            found = made[0]
+        else:
+            found = (b"".join([m[0] for m in made]), " ".join([m[1] for m in made]), sum([m[2] for m in made]))
         self._chunks.keep(chunk, found)
         return found
 
