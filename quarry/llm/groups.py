@@ -122,7 +122,7 @@ def bucket_edges(rows: DataFrame, bits: list[str], most: int | Callable,
             two = begin[:-1][size == 2]        # most groups: all at once
             two = two[alike(words[two], words[two + 1])]
             a, b = [ids[two]], [ids[two + 1]]
-            for k in np.flatnonzero(size > 2).tolist():
+            for k in _with_near(words, begin[:-1], size, alike):
                 lo, hi = begin[k], begin[k + 1]
                 i, j = forest(words[lo:hi], alike)
                 if i:
@@ -134,6 +134,20 @@ def bucket_edges(rows: DataFrame, bits: list[str], most: int | Callable,
     return dealt.mapInArrow(find, "a bigint, b bigint")
 
 
+def _with_near(words: np.ndarray, begin: np.ndarray, size: np.ndarray, alike: Callable) -> list[int]:
+    """The groups of three rows or more that may hold a near pair: small ones of
+    one size are compared all at once, which most of them do not outlast."""
+    found = [np.flatnonzero(size > 32)]
+    for n in np.unique(size[(size > 2) & (size <= 32)]).tolist():
+        same = np.flatnonzero(size == n)
+        for at in range(0, len(same), step := max(1, (1 << 18) // (n * n))):
+            some = same[at:at + step]
+            rows = words[begin[some][:, None] + np.arange(n)]
+            near = alike(rows[:, :, None, :], rows[:, None, :, :])
+            found.append(some[np.count_nonzero(near, axis=(1, 2)) > n])
+    return np.concatenate(found).tolist()
+
+
 def _whole_groups(batches: Iterator[pa.RecordBatch], bits: list[str],
                   rows: int = 50_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(key, block), ids and bit words of a sorted stream, in stretches of some

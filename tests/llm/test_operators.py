@@ -534,3 +534,28 @@ def test_pruning_keeps_likely_pairs():
     for n in (16, 96):
         m = ngram_join.least_matches(n, 0.8)
         assert 0 < m < 0.8 * n
+
+
+def test_edit_distance_up_to_a_bound():
+    rng = random.Random(12)
+    for _ in range(3000):
+        a = "".join(rng.choice("abc") for _ in range(rng.randrange(14)))
+        b = "".join(rng.choice("abc") for _ in range(rng.randrange(14)))
+        d, most = line_dedup.edit_distance(a, b), rng.randrange(8)
+        assert (line_dedup.edit_distance(a, b, most) <= most) == (d <= most)
+        if d <= most:
+            assert line_dedup.edit_distance(a, b, most) == d
+
+
+def test_groups_of_every_size_give_their_near_pairs(spark):
+    rng = random.Random(13)
+    rows = [(k, 1000 * k + i, rng.choice([0, 1, 255, rng.randrange(1 << 62)])) for k in range(60) for i in range(rng.choice([1, 2, 3, 5, 31, 40]))]
+    got = groups.components(groups.bucket_edges(spark.createDataFrame(rows, "key bigint, id bigint, b bigint"), ["b"], 2))
+    want = {}
+    for k in range(60):
+        own = [(i, b) for key, i, b in rows if key == k]
+        for i, b in own:
+            near = [j for j, c in own if bin(b ^ c).count("1") <= 2]
+            if len(near) > 1:
+                want[i] = min(near)
+    assert {r["id"]: r["comp"] for r in got.collect()} == want
