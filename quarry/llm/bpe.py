@@ -157,7 +157,8 @@ class Automaton:
             end += 1
             node = node.get(c) or step(node[0], c) or trie
             for t, length in node[1] if end < n else node[mark]:
-                if length == end:
+                # a symbol alone comes last: where no longer arc stands, it does
+                if length == 1 or length == end:
                     break
                 x = states[end - length]
                 key = x << 20 | t
