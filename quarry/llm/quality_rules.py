@@ -31,6 +31,7 @@ from quarry.llm.common import SPACES, cut, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
+BLOCK = 100        # words of a stretch whose variety is looked at
 
 
 @dataclass(frozen=True)
@@ -72,6 +73,14 @@ def _covered(hs: str) -> str:
             f"ELSE least({WINDOW}, ps[least(i + 1, size(ps) - 1)] - p) END), 0L, (a, b) -> a + b))")
 
 
+def _block_distinct(ws: str) -> str:
+    """SQL: distinct words of every stretch of BLOCK words, summed up. Unlike
+    the distinct words of a whole text, its share of the words does not fall
+    with the length of a text."""
+    return (f"CASE WHEN size({ws}) = 0 THEN 0L ELSE aggregate(sequence(0, (size({ws}) - 1) div {BLOCK}), 0L, "
+            f"(z, k) -> z + size(array_distinct(slice({ws}, cast(k * {BLOCK} + 1 AS int), {BLOCK})))) END")
+
+
 def counts(docs: DataFrame) -> DataFrame:
     """`doc_id` and the counts the rules look at, one row per document."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -90,7 +99,7 @@ def counts(docs: DataFrame) -> DataFrame:
                 (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
                 F.size(lines).cast("bigint").alias("n_lines"),
                 F.expr(_repeat_words("_w")).alias("n_repeat_words"),
-                F.size(F.array_distinct("_w")).cast("bigint").alias("n_distinct_words"),
+                F.expr(_block_distinct("_w")).alias("n_block_distinct"),
                 F.length(F.translate("_t", "!", "")).cast("bigint").alias("_no_bang"),
                 F.length("_t").cast("bigint").alias("n_chars"),
                 F.length(F.regexp_replace("_t", r"[^\p{Lu}]+", "")).cast("bigint").alias("n_upper"),
@@ -120,8 +129,8 @@ def rules() -> dict[str, Column]:
         "bangs": _vote((n >= 10) & (c("n_bangs") > 0.2 * n)),
         "dup_lines": _vote((c("n_lines") >= 4) & (c("n_dup_lines") > 0.3 * c("n_lines"))),
         "repeats": _vote((n >= 10) & (c("n_repeat_words") > 0.2 * n), (n >= 50) & (c("n_repeat_words") <= 0.02 * n)),
-        "variety": _vote((n >= 20) & (n <= 5000) & (c("n_distinct_words") < 0.2 * n),
-                         (n >= 20) & (c("n_distinct_words") > 0.4 * n)),
+        "variety": _vote((n >= 20) & (c("n_block_distinct") < 0.2 * n),
+                         (n >= 20) & (c("n_block_distinct") > 0.4 * n)),
         "case": _vote((n >= 10) & (c("n_upper") > 0.5 * chars)),
     }
 
@@ -177,7 +186,8 @@ def fit(pats: DataFrame, names: list[str], rounds: int = 25, tolerance: float =
             return ((bad + 0.1) / (voted + 0.2),) * 2 if pair[0] > pair[1] else pair
 
         new = Rates(min(max(s["g"] / s["n"], 1e-3), 1 - 1e-3), tuple(rate(i) for i in range(len(names))))
-        done = abs(new.good - r.good) < tolerance
+        moved = [abs(new.good - r.good)] + [abs(x - y) for p, q in zip(new.objects, r.objects) for x, y in zip(p, q)]
+        done = max(moved) < tolerance
         r = new
         if done:
             break
