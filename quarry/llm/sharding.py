@@ -9,7 +9,9 @@ shards whose row counts differ by at most one (law `rows`).
 Records that are equal in all key columns are counted before the scatter and
 numbered, so that copies spread over the buckets like all other records. The
 number of buckets comes from the record count; a bucket's array holds keys and
-digests, never texts. Offsets of buckets are one number per bucket.
+digests, never texts. A task holds up to BUCKETS_PER_TASK buckets beyond
+LEAST_TASKS tasks. Offsets of buckets are one number per bucket, summed up in
+groups of buckets first.
 
 Defined results: a null text has no bytes and crc32 0; null ids are records
 like others; repeated rows each get a place of their own; an empty table gives
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import cut
@@ -29,18 +31,14 @@ from quarry.llm.common import cut
 SHARDS = 24
 SEED = 20
 ROWS_PER_BUCKET = 4_096
+BUCKETS_PER_TASK = 64
+LEAST_TASKS = 256          # up to so many buckets have a task each
+ROWS_PER_FILE = 65_536     # rows of a shard that one task writes
 LAW = "rows"
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]):
-    on = F.lit(True)
-    for k in keys:
-        on = on & left[k].eqNullSafe(right[f"_{k}"])
-    return on
-
-
 def shuffled(records: DataFrame, keys: list[str], *, seed: int = SEED,
-             rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+             rows_per_bucket: int = ROWS_PER_BUCKET, group: int = 4096) -> DataFrame:
     """One row per record of `records` (its `keys`), with `_pos`: its place
     in the shuffled order, 0 to the number of records - 1. The order depends
     on the records, the seed and the bucket size only."""
@@ -53,19 +51,30 @@ def shuffled(records: DataFrame, keys: list[str], *, seed: int = SEED,
         "_bucket", F.pmod(F.xxhash64(F.lit(seed), *keys, "_copy"), F.lit(buckets)).cast("int"))
     # Each partition holds whole buckets in ascending order, each array is
     # sorted first: the same arrays meet the same random numbers on a retry.
-    arrays = (scattered.repartition(buckets, "_bucket")
+    tasks = max(min(buckets, LEAST_TASKS), math.ceil(buckets / BUCKETS_PER_TASK))
+    arrays = (scattered.repartition(tasks, "_bucket")
               .groupBy("_bucket").agg(F.sort_array(F.collect_list(F.struct(*keys, "_copy"))).alias("_recs"))
               .sortWithinPartitions("_bucket"))
     mixed = cut(arrays.select("_bucket", F.shuffle("_recs", F.lit(seed)).alias("_recs")))
-    # one row per bucket: a running sum over them is a small window
-    sizes = mixed.select("_bucket", F.size("_recs").cast("bigint").alias("_size"))
-    before = F.sum("_size").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select("_bucket", F.coalesce(before, F.lit(0)).alias("_first"))
+    offsets = _running(mixed.select("_bucket", F.size("_recs").cast("bigint").alias("_size")), group)
     return (mixed.join(offsets, "_bucket")
             .select("_first", F.posexplode("_recs").alias("_i", "_r"))
             .select(*[F.col(f"_r.{k}").alias(k) for k in keys], (F.col("_first") + F.col("_i")).alias("_pos")))
 
 
+def _running(sizes: DataFrame, group: int) -> DataFrame:
+    """`_bucket, _first`: how many records lie in the buckets before. Sums run
+    inside groups of buckets, and over the sums of the groups (a row each)."""
+    def ahead(order: str, *within: str) -> Column:
+        w = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_size").over(w), F.lit(0))
+
+    grouped = sizes.withColumn("_g", F.floor(F.col("_bucket") / group))
+    groups = grouped.groupBy("_g").agg(F.sum("_size").alias("_size")).select("_g", ahead("_g").alias("_before"))
+    return (grouped.select("_bucket", "_g", ahead("_bucket", "_g").alias("_in"))
+            .join(groups, "_g").select("_bucket", (F.col("_before") + F.col("_in")).alias("_first")))
+
+
 def cut_into_shards(placed: DataFrame, n_rows: int, shards: int = SHARDS) -> DataFrame:
     """Adds `shard` and `slot`: equal runs of the order, counts at most one
     apart, slots gapless from 0."""
@@ -90,9 +99,11 @@ def assign(docs: DataFrame, shards: int = SHARDS, *, seed: int = SEED,
     return cut_into_shards(placed, narrow.count(), shards).drop("_pos").withColumn("law", F.lit(LAW))
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, *, seed: int = SEED) -> None:
-    """Writes the documents, all columns, as Parquet folders `shard=0` ... in
-    their shuffled order. Rows that agree in doc_id and text share their
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, *, seed: int = SEED,
+                 rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Writes the documents, all columns, as Parquet folders `shard=0` ...; a
+    shard is cut in runs of `rows_per_file` slots that different tasks may write,
+    each in ascending `slot`. Rows that agree in doc_id and text share their
     places in any order."""
     text = F.coalesce("text", F.lit(""))
     key = {"_size": (F.octet_length(text) + 8).cast("bigint"), "_crc": F.crc32(F.encode(text, "UTF-8"))}
@@ -106,8 +117,10 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, *, seed: int
             .withColumn("_nth", F.row_number().over(same)))
     on = (rows["doc_id"].eqNullSafe(places["_doc_id"]) & (rows["_size"] == places["__size"])
           & (rows["_crc"] == places["__crc"]) & (rows["_nth"] == places["__nth"]))
+    runs = max(1, math.ceil(docs.count() / shards / rows_per_file))
     out = (rows.join(places, on).select("_row", "_shard", "_slot")
-           .repartition(shards, "_shard").sortWithinPartitions("_shard", "_slot"))
+           .repartition(shards * runs, "_shard", F.floor(F.col("_slot") / rows_per_file))
+           .sortWithinPartitions("_shard", "_slot"))
     out.select(F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), "_row").write.partitionBy(
         "shard").mode("errorifexists").parquet(path)
 
