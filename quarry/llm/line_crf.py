@@ -51,8 +51,8 @@ _STEPS = {
 }
 _SYMBOLS = "#*$%&|<>{}[]\\^~_=+@/"
 _MARKS = "!?;:"
-_DELETE = {n: str.maketrans("", "", c) for n, c in (("symbols", _SYMBOLS), ("marks", _MARKS),
-                                                    ("digits", "0123456789"))}
+# ASCII characters only: no byte of another UTF-8 character equals one of these
+_DELETE = {n: c.encode() for n, c in (("symbols", _SYMBOLS), ("marks", _MARKS), ("digits", "0123456789"))}
 
 _OFFSETS: dict[str, int] = {}
 _n = 0
@@ -74,12 +74,13 @@ def line_values(lines: list[str]) -> np.ndarray:
     for k, line in enumerate(lines):
         ws = line.split()
         n, chars = max(1, len(ws)), max(1, len(line))
+        raw = line.encode("utf-8", "surrogatepass")
+        symbols, digits, marks = (len(raw) - len(raw.translate(None, _DELETE[c])) for c in ("symbols", "digits", "marks"))
         solid = sum(map(len, ws))
         lower = line.lower()
         upper = sum(map(str.isupper, line)) if lower != line else 0
-        out[k] = (len(ws), solid / n, (chars - len(line.translate(_DELETE["symbols"]))) / chars,
-                  upper / max(1, solid), (chars - len(line.translate(_DELETE["digits"]))) / chars,
-                  (chars - len(line.translate(_DELETE["marks"]))) / chars, len(set(ws)) / n,
+        out[k] = (len(ws), solid / n, symbols / chars, upper / max(1, solid), digits / chars, marks / chars,
+                  len(set(ws)) / n,
                   sum(map(str.__eq__, ws[1:], ws)) / n, float(line in before))
         before.add(line)
     return out
@@ -114,12 +115,15 @@ class Crf:
         p, _, _ = chain(self.weights[act].sum(axis=1)[None, :], np.array([len(act)]), self.moves)
         return p[0]
 
+    def weighted(self, act: np.ndarray, size: np.ndarray) -> float:
+        """Length-weighted mean of the marginals of one document's lines."""
+        return float(np.average(self.marginals(act), weights=size))
+
     def average(self, text: str | None) -> float | None:
         lines = lines_of(text)
         if not lines:
             return None
-        p = self.marginals(active(line_values(lines)))
-        return float(np.average(p, weights=[len(x) for x in lines]))
+        return self.weighted(active(line_values(lines)), np.array([len(x) for x in lines]))
 
     def score(self, text: str | None) -> float:
         a = self.average(text)
@@ -209,20 +213,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Crf:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            acts = [active(line_values(x)).astype(np.int16).tobytes() if (x := lines_of(t)) else b""
-                    for t in batch.column("_text").to_pylist()]
-            size = [sum(map(len, lines_of(t))) for t in batch.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("_label"), pa.array(acts, pa.binary()), pa.array(
-                size, pa.int64())], ["_label", "act", "size"])
-
-    rows = sample.select("_text", "_label").mapInArrow(measure, "_label int, act binary, size bigint").orderBy(
-        "act", "_label").collect()
+            found = [lines_of(t) for t in batch.column("_text").to_pylist()]
+            acts = [active(line_values(x)).astype(np.int16).tobytes() if x else b"" for x in found]
+            sizes = [np.array([len(line) for line in x], dtype=np.int32).tobytes() for x in found]
+            yield pa.RecordBatch.from_arrays([batch.column("_label"), pa.array(acts, pa.binary()),
+                                              pa.array(sizes, pa.binary())], ["_label", "act", "sizes"])
+
+    rows = sample.select("_text", "_label").mapInArrow(measure, "_label int, act binary, sizes binary").orderBy(
+        "act", "sizes", "_label").collect()
+    rows = [r for r in rows if r["act"]]
     per = 3 * len(_STEPS) + 2
-    acts = [np.frombuffer(r["act"], dtype=np.int16).reshape(-1, per).astype(np.int64) for r in rows if r["act"]]
-    y = np.array([r["_label"] for r in rows if r["act"]], dtype=np.int64)
+    acts = [np.frombuffer(r["act"], dtype=np.int16).reshape(-1, per).astype(np.int64) for r in rows]
+    y = np.array([r["_label"] for r in rows], dtype=np.int64)
     crf = fit_crf(acts, y)
     if len(acts) and len(set(y.tolist())) == 2:
-        x = np.array([logit(crf.marginals(a).mean()) for a in acts])
+        x = np.array([logit(crf.weighted(a, np.frombuffer(r["sizes"], dtype=np.int32))) for a, r in zip(acts, rows)])
         w = training.logistic(x[:, None], y, ridge=0.1)
         crf.slope, crf.offset = float(w[0]), float(w[1])
     return crf
