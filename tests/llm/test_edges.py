@@ -1,6 +1,8 @@
 """Every operator and stage on nulls, empty and very long texts, ties, repeated
 rows, empty tables and clashing column names."""
 
+import collections
+
 import pytest
 
 import corpus_pipeline
@@ -52,6 +54,31 @@ def test_repeated_rows_have_equal_results(spark, name):
     assert len(rows) == 2 and rows[0] == rows[1]
 
 
+@pytest.mark.parametrize("name", ["op7", "op10"])
+def test_copies_of_all_rows_have_equal_results(spark, name):
+    docs = edge_docs(spark)
+    rows = collections.Counter(map(tuple, QUERIES[name](docs.unionAll(docs)).collect()))
+    assert sum(rows.values()) == 2 * len(EDGE_ROWS) and all(n % 2 == 0 for n in rows.values())
+
+
+def test_repeated_rows_follow_each_other(spark):
+    docs = edge_docs(spark).unionAll(edge_docs(spark))
+    order = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()),
+                   key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    want = collections.Counter((i, t, order[(k + 1) % len(order)][1]) for k, (i, t) in enumerate(order))
+    for rows_per_range in (1500, 4):
+        got = fingerprints.with_next(docs, {}, rows_per_range).select("doc_id", "_t", "_next_t").collect()
+        assert collections.Counter(map(tuple, got)) == want
+
+
+def test_repeated_rows_have_places_of_their_own(spark):
+    docs = edge_docs(spark).unionAll(edge_docs(spark))
+    shards = sharding.query(docs).collect()
+    assert len({(r["shard"], r["slot"]) for r in shards}) == len(shards) == 2 * len(EDGE_ROWS)
+    mixed = mixing.interleave(docs).collect()
+    assert len({(r["_slot"], r["_rank"]) for r in mixed}) == len(mixed) == 2 * len(EDGE_ROWS)
+
+
 STAGES = dict(corpus_pipeline.STAGES)
 
 
@@ -68,6 +95,17 @@ def test_stages(spark, scratch, name, make):
     assert n <= docs.count() and (n > 0) == (docs.count() > 0)
 
 
+def test_pipeline_on_repeated_rows_and_an_empty_table(spark, scratch):
+    labels(spark).write.parquet(f"{scratch}/labels.parquet")
+    for name, docs in (("once", edge_docs(spark)), ("twice", edge_docs(spark).unionAll(edge_docs(spark))),
+                       ("none", empty_docs(spark))):
+        docs.write.parquet(f"{scratch}/{name}/documents.parquet")
+        labels(spark).write.parquet(f"{scratch}/{name}/labels.parquet")
+    runs = {n: corpus_pipeline.run(spark, f"{scratch}/{n}").collect() for n in ("once", "twice", "none")}
+    ids = {n: sorted(((r["doc_id"], r["ids_sha256"]) for r in rows), key=repr) for n, rows in runs.items()}
+    assert runs["none"] == [] and ids["once"] == ids["twice"] and ids["once"]
+
+
 def test_pipeline_is_the_stages_one_after_the_other(spark, scratch):
     docs = edge_docs(spark)
     docs.write.parquet(f"{scratch}/documents.parquet")

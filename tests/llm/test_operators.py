@@ -81,6 +81,20 @@ def test_quality_against_labels(spark):
     assert np.mean([r["kept"] == bool(labels[r["doc_id"]]) for r in rows]) > 0.97
 
 
+def test_variety_does_not_depend_on_length(spark):
+    dull, lively = [f"w{k % 12}" for k in range(100)], [f"w{k * k % 997}" for k in range(100)]
+    rows = [(k, " ".join(ws * times), None, None, None) for k, (ws, times) in enumerate(
+        [(dull, 1), (dull, 300), (lively, 1), (lively, 300)])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r["doc_id"]: r["vote_variety"] for r in quality_rules.query(docs).collect()}
+    assert got == {0: 0, 1: 0, 2: 1, 3: 1}
+    text = " ".join(f"x{k % 37}" for k in range(250))
+    w = text.split()
+    want = sum(len(set(w[k:k + 100])) for k in range(0, 250, 100))
+    one = quality_rules.counts(spark.createDataFrame([(1, text), (2, ""), (3, None)], "doc_id int, text string"))
+    assert {r["doc_id"]: r["n_block_distinct"] for r in one.collect()} == {1: want, 2: 0, 3: 0}
+
+
 # 2 ------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("rows_per_range", [1500, 7])
@@ -144,6 +158,29 @@ def test_written_shards_hold_all_rows(spark, scratch):
     assert sorted(map(repr, docs.collect())) == sorted(repr(r["_row"]) for r in back.collect())
 
 
+@pytest.mark.parametrize("group", [3, 4096])
+def test_offsets_are_running_sums(spark, group):
+    sizes = [(b, (b * 7) % 11) for b in range(40) if b % 9]
+    got = sharding._running(spark.createDataFrame(sizes, "_bucket int, _size bigint"), group).collect()
+    assert {r["_bucket"]: r["_first"] for r in got} == {
+        b: sum(n for c, n in sizes if c < b) for b, _ in sizes}
+
+
+def test_a_shard_is_written_by_several_tasks(spark, scratch):
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    sharding.write_shards(docs, f"{scratch}/out", shards=2, rows_per_file=30)
+    rows = spark.read.parquet(f"{scratch}/out").selectExpr(
+        "shard", "slot", "_row.doc_id AS doc_id", "_metadata.file_path AS file", "_metadata.row_index AS at").collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(400))
+    places = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.assign(docs, 2).collect()}
+    assert places == {r["doc_id"]: (r["shard"], r["slot"]) for r in rows}
+    files = collections.defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r["file"], r["at"])):
+        files[r["shard"], r["file"]].append(r["slot"])
+    assert all(s == sorted(s) for s in files.values())
+    assert all(sum(shard == k for shard, _ in files) > 2 for k in (0, 1))
+
+
 # 4 ------------------------------------------------------------------------------------
 
 def plain_distance(a, b):
@@ -259,6 +296,37 @@ def test_marginals_against_all_labellings():
     assert np.allclose(p[0], want) and np.isclose(z[0], np.log(total)) and np.isclose(counts.sum(), 4)
 
 
+def test_line_values_are_shares_of_the_characters():
+    rng = random.Random(5)
+    for _ in range(300):
+        line = "".join(rng.choice("aB cé日#$!?;0189\U0001f600 ") for _ in range(rng.randrange(1, 40)))
+        if not words(line):
+            continue
+        got = dict(zip(line_crf._STEPS, line_crf.line_values([line])[0]))
+        for name, chars in (("symbols", line_crf._SYMBOLS), ("marks", line_crf._MARKS), ("digits", "0123456789")):
+            assert got[name] == sum(c in chars for c in line) / len(line)
+
+
+def test_marginals_are_weighted_by_line_length():
+    crf = line_crf.Crf(np.random.default_rng(4).normal(size=line_crf.WIDTH + 1), np.zeros((2, 2)))
+    crf.weights[-1] = 0.0
+    lines = ["a " * 50, "### $$$", "some words of no weight"]
+    p = crf.marginals(line_crf.active(line_crf.line_values(lines)))
+    size = [len(x) for x in lines]
+    want = sum(a * b for a, b in zip(p, size)) / sum(size)
+    assert np.isclose(crf.average("\n".join(lines)), want) and not np.isclose(want, p.mean())
+
+
+def test_the_slope_is_fitted_on_the_weighted_average(spark, monkeypatch):
+    seen = []
+    weighted = line_crf.Crf.weighted
+    monkeypatch.setattr(line_crf.Crf, "weighted", lambda s, a, n: seen.append(n.tolist()) or weighted(s, a, n))
+    docs = spark.createDataFrame([(k, "good words here\nmore of them" if k % 2 else "# #\n$$$$ $$$$$$") for k in range(60)],
+                                 "doc_id bigint, text string")
+    line_crf.fit(docs, spark.createDataFrame([(k, k % 2, 0) for k in range(60)], "doc_id bigint, quality int, toxic int"))
+    assert {tuple(x) for x in seen} == {(15, 12), (3, 11)}
+
+
 def test_quality_crf_on_held_out_labels(spark):
     labels = {r["doc_id"]: r["quality"] for r in table(spark, SF_CHECK, "labels").collect()}
     rows = line_crf.query(table(spark, SF_CHECK, "documents"), table(spark, SF_CHECK, "labels")).collect()
@@ -414,6 +482,46 @@ def test_added_spans(spark):
     assert [k for k, _, _ in base] == ["email", "card"] and set(base) <= set(spans)
 
 
+def planted_spans():
+    """Spans written as the patterns do not have them, with their kinds."""
+    names = ["john.smith", "anna", "k_meyer9", "li-wei", "info"]
+    hosts = ["example.com", "mail.example.org", "mx1.mail.example.co.uk", "uni-ulm.de"]
+    for k, (name, host) in enumerate((n, h) for n in names for h in hosts):
+        yield "email", f"{name} at {host.replace('.', ' dot ')}"
+        yield "email", f"{name} [at] {host.replace('.', ' [dot] ')}"
+        yield "email", f"{name} (at) {host}"
+        a, b, c = 201 + 7 * k, 310 + 11 * k, 1000 + 397 * k
+        yield "phone", f"({a}) {b}-{c}"
+        yield "phone", f"{a}-{b}-{c}"
+        yield "ip", f"{10 + k}[.]{20 + k}[.]{3 * k}[.]{k + 1}"
+        digits = f"4{a}{b}{c}{k:02}55"[:15]
+        digits += next(d for d in "0123456789" if pii.luhn(digits + d))
+        yield "card", ".".join(digits[i:i + 4] for i in range(0, 16, 4))
+
+
+def test_recall_of_planted_rewritten_spans(spark):
+    model = pii.fit(table(spark, SF_CHECK, "documents"))
+    found, all_of = collections.Counter(), collections.Counter()
+    for kind, s in planted_spans():
+        before, after = prose(7, 12), prose(8, 12)
+        text = f"{before} {s} {after}"
+        assert all(k != kind or text[a:b] != s for k, a, b in pii.base_spans(text))
+        all_of[kind] += 1
+        found[kind] += (kind, len(before) + 1, len(before) + 1 + len(s)) in model.spans(text)[1]
+    assert all(found[k] >= 0.9 * n for k, n in all_of.items()), (found, all_of)
+    clean = ["they met at home. There are copies", "that and. 12345678 of it", "Version 2.0.1 of 2024-01-02",
+             "from 1914-1918 and 1939-1945", "it cost 1.250.000 or 12,500.00 at most", "at dot dot dot"]
+    assert [model.spans(t)[1] for t in clean] == [[]] * len(clean)
+
+
+def test_sample_is_bounded_and_counts_copies_once(spark):
+    docs = spark.range(6000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'copy 1234', concat('text ', id + 10000)) AS text")
+    every = pii.sample_texts(docs, 5000).collect()
+    assert len(every) == 4001 and len({r["text"] for r in every}) == 4001
+    some = pii.sample_texts(docs, 50).collect()
+    assert [tuple(r) for r in some] == sorted(tuple(r) for r in every)[:50]
+
+
 def test_segmentations_against_all():
     text = "a 12345 678901 b"
     lat = pii.lattice(text, 0, len(text))
