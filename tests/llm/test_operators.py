@@ -3,13 +3,14 @@
 import collections
 import hashlib
 import random
+import time
 import zlib
 from fractions import Fraction
 
 import numpy as np
 import pytest
 
-from quarry.llm import (bpe, fingerprints, groups, line_crf, line_dedup, mixing, ngram_join, pii, quality_rules,
+from quarry.llm import (bpe, edit_pairs, fingerprints, groups, line_crf, line_dedup, mixing, ngram_join, pii, quality_rules,
                         sharding, toxicity)
 from quarry.llm.common import table
 
@@ -667,3 +668,46 @@ def test_groups_of_every_size_give_their_near_pairs(spark):
             if len(near) > 1:
                 want[i] = min(near)
     assert {r["id"]: r["comp"] for r in got.collect()} == want
+
+
+def test_edit_distances_of_many_pairs_at_once(monkeypatch):
+    """Equal to the plain ones, also beyond the bounds that fit in a byte and
+    those that are taken one pair at a time."""
+    rng = random.Random(12)
+    texts = ["", "", "a", "ab"]
+    for n in [3, 10, 30, 70, 70, 150] * 8 + [400] * 4:
+        x = [rng.choice("abcé") for _ in range(n)]
+        texts.append("".join(x))
+        for _ in range(rng.randrange(n // 2 + 1)):
+            k = rng.randrange(len(x) + 1)
+            x[k:k + rng.randrange(2)] = rng.choice(["", "a", "x", "bx"])
+        texts.append("".join(x))
+    lines = edit_pairs.Texts(texts)
+    pairs = [(k, k + 1) for k in range(0, len(texts), 2)] + [(rng.randrange(len(texts)), rng.randrange(len(texts))) for _ in range(300)]
+    i, j = (np.array(x) for x in zip(*pairs))
+    most = np.array([rng.randrange(len(texts[a]) // 2 + 3) for a, _ in pairs])
+    want = [line_dedup.edit_distance(texts[a], texts[b]) <= k for (a, b), k in zip(pairs, most.tolist())]
+    assert 20 < sum(want) < len(want) - 20
+    for small, wide in ((245, 1000), (8, 1000), (8, 30)):
+        monkeypatch.setattr(edit_pairs, "SMALL", small)
+        monkeypatch.setattr(edit_pairs, "WIDE", wide)
+        assert lines.within(i, j, most).tolist() == want
+
+
+def test_lines_around_one_passage_take_no_time_each():
+    """A block of long lines that share half of their text and are not similar:
+    each pair once took a millisecond, half a minute together."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("aeinrst") for _ in range(6))       # noqa: E731
+    passage = " ".join(word() for _ in range(45))
+    texts = []
+    for _ in range(250):
+        around = [word() for _ in range(45)]
+        k = rng.randrange(5, 40)
+        texts.append(" ".join([*around[:k], passage, *around[k:]]))
+    texts += [texts[0] + " x", "y " + texts[0]]
+    began = time.process_time()
+    a, b = line_dedup._linked(np.arange(len(texts)), texts, np.array([0]),
+                              lambda i, j: np.ones(np.broadcast_shapes(i.shape, j.shape), dtype=bool))
+    assert time.process_time() - began < 8
+    assert {*a.tolist(), *b.tolist()} == {0, 250, 251} and len(a) == 2
