@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import clustering, postings, sampling, term_tables, terms, timeuse
-from quarry.session import reread
+from quarry.session import reread, stored
 from quarry.sources import bindings as B
 from quarry.sources.articles import parse_articles
 from quarry.sources.postings import parse_postings
@@ -81,17 +81,17 @@ def term_rank_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("term_table_rank")
 def term_table_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return term_tables.rank(B.articles(spark, sf_dir), reread(B.term_table(spark, sf_dir)))
+    return term_tables.rank(B.articles(spark, sf_dir), stored(B.term_table(spark, sf_dir)))
 
 
 @query("term_table_rank_zero_filled")
 def term_table_rank_zero_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return term_tables.rank_zero_filled(B.articles(spark, sf_dir), reread(B.term_table(spark, sf_dir)))
+    return term_tables.rank_zero_filled(B.articles(spark, sf_dir), stored(B.term_table(spark, sf_dir)))
 
 
 @query("term_table_index")
 def term_table_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return term_tables.inverted_index(B.articles(spark, sf_dir), reread(B.term_table(spark, sf_dir)))
+    return term_tables.inverted_index(B.articles(spark, sf_dir), stored(B.term_table(spark, sf_dir)))
 
 
 @query("term_index_ranked")

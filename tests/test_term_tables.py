@@ -65,6 +65,17 @@ def test_hot_tokens_are_not_shuffled(spark, corpus):
     assert "common" in hot and len(hot) <= 20
 
 
+def test_terms_that_no_article_has_do_not_fill_the_filter(spark, corpus, monkeypatch):
+    """Filters hold terms of the articles only, however many others there are."""
+    articles, vocab, hits = corpus
+    large = vocab.unionByName(spark.range(50_000).selectExpr("concat('line-', id) AS term"))
+    sizes, bits = [], T.bloom_bits
+    monkeypatch.setattr(T, "bloom_bits", lambda n: sizes.append(n) or bits(n))
+    got = T.inverted_index(articles, large, hot_terms=20)
+    assert collections.Counter((r["term"], r["doc_id"]) for r in got.collect()) == collections.Counter(hits)
+    assert sizes and max(sizes) <= articles.select(F.explode(F.split("text", " ")).alias("t")).distinct().count()
+
+
 def test_a_vocabulary_of_over_100_000_terms(spark):
     assert B.term_table(spark, "/root/testdata/sf0.01").count() > 100_000
 
