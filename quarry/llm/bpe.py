@@ -45,7 +45,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 60_000
+CACHE = 200_000
+STEP = 4                # characters from one kept prefix of words to the next
+LONGEST = 16            # characters of a kept prefix
+PREFIXES = 100_000      # kept at once
 ARCS = 600_000        # answers of the transition table kept at once
 _BASE = -1              # "merge number" of base symbols
 
@@ -116,8 +119,9 @@ class Automaton:
         node holds its children by character; under 1 the arcs without the mark
         `end` whose labels are suffixes of what was read to get there, as (token,
         length), longest first; under 2 those with it; under 0 the node of the
-        longest proper suffix that is in the trie (None for the root)."""
-        root: dict = {0: None, 1: (), 2: ()}
+        longest proper suffix that is in the trie (None for the root). The root
+        holds what `path` keeps under 3."""
+        root: dict = {0: None, 1: (), 2: (), 3: {}}
         for t, label in enumerate(self.tokens):
             marked = bool(end) and label.endswith(end)
             text = label[:-len(end)] if marked else label
@@ -147,13 +151,28 @@ class Automaton:
         spells the word. Every prefix has one path, too, and the state after it
         is its last token. So the prefixes' states are found one after the other:
         of the arcs that end where the prefix ends, only one leaves the state
-        reached where it begins. Then the path is read from the end."""
+        reached where it begins. Then the path is read from the end. Words begin
+        alike: the states of prefixes met are kept, by STEP characters."""
         known, slow = self._table.get, self.arc
-        states: list[int] = [-1]
-        lengths: list[int] = [0]
-        node, n = trie, len(word)
-        end = 0
-        for c in word:
+        prefixes = trie[3]
+        n = len(word)
+        end = min((n - 1) // STEP * STEP, LONGEST)
+        begun = None
+        while end > 0:
+            begun = prefixes.get(word[:end])
+            if begun is not None:
+                break
+            end -= STEP
+        kept = end
+        if begun is None:
+            end, node, states, lengths = 0, trie, [-1], [0]
+        else:
+            node, states, lengths = begun[0], begun[1].copy(), begun[2].copy()
+        for c in word[end:] if end else word:
+            if kept < end <= LONGEST and end % STEP == 0:
+                if len(prefixes) >= PREFIXES:
+                    prefixes.clear()
+                prefixes[word[:end]] = node, states.copy(), lengths.copy()
             end += 1
             node = node.get(c) or step(node[0], c) or trie
             for t, length in node[1] if end < n else node[mark]:
@@ -239,11 +258,14 @@ class Tokenizer:
         names = sorted(self.special, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self._trie = self.automaton.trie(self.end)
+        # an arc without an id fails where it is met
+        self._raws = [struct.pack("<I", i) if i >= 0 else None for i in self.ids]
+        self._shown = [self.labels.get(i) for i in self.ids]
         self._chunks = Recent(CACHE)
         self._words = Recent(CACHE)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("_split", "_special", "_trie", "_chunks", "_words")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_split", "_special", "_trie", "_raws", "_shown", "_chunks", "_words")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -258,6 +280,11 @@ class Tokenizer:
     def _made(self, ids: list[int]) -> tuple[bytes, str, int]:
         return struct.pack(f"<{len(ids)}I", *ids), " ".join([self.labels[i] for i in ids]), len(ids)
 
+    def _spelled(self, path: list[int]) -> tuple[bytes, str, int]:
+        """The same of arcs."""
+        raws, shown = self._raws, self._shown
+        return b"".join([raws[t] for t in path]), " ".join([shown[t] for t in path]), len(path)
+
     def _word(self, piece: str) -> tuple[bytes, str, int]:
         """Encoded ids, labels and number of tokens of one piece of the split pattern."""
         found = self._words.get(piece) or self._words.recall(piece)
@@ -265,8 +292,7 @@ class Tokenizer:
             # printable ASCII characters stand for themselves
             plain = piece.isascii() and piece.isprintable()
             word = piece if plain else "".join([self.symbols[b] for b in piece.encode("utf-8")])
-            ids = self.ids
-            found = self._made([ids[t] for t in self.automaton.path(word, self._trie)])
+            found = self._spelled(self.automaton.path(word, self._trie))
             self._words.keep(piece, found)
         return found
 
@@ -290,6 +316,10 @@ class Tokenizer:
         found = self._chunks.recall(chunk)
         if found is not None:
             return found
+        if chunk.isalpha() and (text := self._normal(chunk)).isalpha():
+            found = self._word(text)
+            self._chunks.keep(chunk, found)
+            return found
         made = self._chunk_pieces(chunk)
         if len(made) == 1:
             found = made[0]

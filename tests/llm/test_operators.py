@@ -670,6 +670,24 @@ def test_groups_of_every_size_give_their_near_pairs(spark):
     assert {r["id"]: r["comp"] for r in got.collect()} == want
 
 
+def test_kept_prefixes_change_no_token(monkeypatch):
+    """Words that begin alike, up to a long one, with few prefixes kept at once."""
+    tokenizers = pytest.importorskip("tokenizers")
+    path = bpe.word_tokenizer_path()
+    mine, ref = bpe.Tokenizer(path), tokenizers.Tokenizer.from_file(path)
+    ref.no_padding()
+    ref.no_truncation()
+    rng = random.Random(6)
+    begins = ["".join(rng.choice("aeinrst") for _ in range(n)) for n in (3, 4, 5, 8, 9, 16, 17, 40)] + ["éçan", "x" * 3000]
+    monkeypatch.setattr(bpe, "PREFIXES", 40)
+    for _ in range(600):
+        b = rng.choice(begins)
+        word = b[:rng.randrange(1, len(b) + 1)] + "".join(rng.choice("aeinrsté") for _ in range(rng.randrange(8)))
+        assert mine.encode(word) == ref.encode(word, add_special_tokens=False).ids
+    kept = mine._trie[3]
+    assert 0 < len(kept) <= 40 and max(map(len, kept)) <= bpe.LONGEST
+
+
 def test_edit_distances_of_many_pairs_at_once(monkeypatch):
     """Equal to the plain ones, also beyond the bounds that fit in a byte and
     those that are taken one pair at a time."""
