@@ -84,27 +84,43 @@ def _streams(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[int, int, Stre
 
 
 class _Counts:
-    """Distinct keys and their counts, added up in parts."""
+    """Distinct keys of up to 48 bits and their counts, added up in parts. What came
+    since the last merge is held as one number a key, the count in the low 16 bits,
+    and is no more than what is merged already: a merge holds little besides both."""
 
     def __init__(self):
-        self.keys: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.new: list[np.ndarray] = []
         self.held = 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.keys.append(keys)
-        self.counts.append(counts)
-        self.held += len(keys)
-        if self.held > 4 * max(len(self.keys[0]), 100_000):
+        keys, counts = keys.view(np.uint64) << np.uint64(16), counts.view(np.uint64)
+        while len(keys):
+            self.new.append(keys | np.minimum(counts, np.uint64(0xFFFF)))
+            self.held += len(keys)
+            more = counts > np.uint64(0xFFFF)
+            keys, counts = keys[more], counts[more] - np.uint64(0xFFFF)
+        if self.held > max(len(self.keys), 200_000):
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.keys:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        keys, place = np.unique(np.concatenate(self.keys), return_inverse=True)
-        counts = np.bincount(place, np.concatenate(self.counts), len(keys)).astype(np.int64)
-        self.keys, self.counts, self.held = [keys], [counts], len(keys)
-        return keys, counts
+        if self.held:
+            new = np.concatenate(self.new)
+            self.new, self.held = [], 0
+            new.sort()
+            keys = (new >> np.uint64(16)).view(np.int64)
+            begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            counts = np.add.reduceat((new & np.uint64(0xFFFF)).view(np.int64), begin)
+            keys = keys[begin]
+            del new, begin
+            at = np.searchsorted(self.keys, keys)
+            known = np.zeros(len(keys), dtype=bool)
+            inside = at < len(self.keys)
+            known[inside] = self.keys[at[inside]] == keys[inside]
+            self.counts[at[known]] += counts[known]
+            self.keys, self.counts = (np.insert(x, at[~known], y[~known])
+                                      for x, y in ((self.keys, keys), (self.counts, counts)))
+        return self.keys, self.counts
 
 
 class _Words:
@@ -151,8 +167,11 @@ ASKED = "block int, run bigint, word binary, n bigint"
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct byte runs and words of the blocks in a task."""
+    pa.set_memory_pool(pa.system_memory_pool())      # it gives back what is freed: workers go on to other tasks
     found: dict[int, tuple[_Counts, _Words]] = {}
     for batch in batches:
+        if not batch.num_rows:
+            continue
         block = batch.column("block").to_numpy()
         learn = batch.column("learn").to_numpy(zero_copy_only=False)
         for b in np.unique(block).tolist():
@@ -161,7 +180,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch if len(rows) == batch.num_rows else batch.take(pa.array(rows))
             for i, j, s in _streams(part, SLICE):
                 _add(s, learn[rows[i:j]], runs, words)
-    for b, (runs, words) in found.items():
+    for b in list(found):
+        runs, words = found.pop(b)
         keys, counts = runs.merge()
         for k in range(0, len(keys), 50_000):
             n = len(keys[k:k + 50_000])
@@ -437,8 +457,8 @@ class _WordCounts:
     def __init__(self, words: pa.Array, counts: np.ndarray):
         keys = [_hashes(data, offsets) for _, _, data, offsets in slices(words)]
         found = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-        self.words, self.counts = words, counts
         self.table = _Table(found, counts) if len(np.unique(found)) == len(found) else None
+        self.words, self.counts = (None, None) if self.table else (words, counts)
 
     def get(self, s: Stream) -> np.ndarray:
         """Of every token; pads give anything."""
@@ -454,11 +474,17 @@ class _WordCounts:
 SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, logs double, score double, n_bytes bigint"
 
 
+ROWS = "block int, kind int, number bigint, lp double, text binary"
+RUN, WORD, LEARNT, HELD_OUT = range(4)       # kinds of rows
+
+
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of blocks, in order of (block, kind): probabilities of the block's
-    byte runs, counts of its words, its texts."""
+    """`ROWS` of blocks, in order of (block, kind): the block's byte runs and their
+    probabilities, its words and their counts, its texts and their ids. Numbers are
+    copied out of the batches, which are not held."""
+    pa.set_memory_pool(pa.system_memory_pool())
     block = None
-    found: dict[int, list] = {0: [], 1: []}
+    found: dict[int, list] = {}
     table: _Table | None = None
     words: _WordCounts | None = None
     names = [c.split(" ")[0] for c in SCORED.split(", ")]
@@ -469,20 +495,25 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(lo, hi - lo)
             b, kind = divmod(int(key[lo]), 4)
             if b != block:
-                block, found, table, words = b, {0: [], 1: []}, None, None
-            if kind < 2:
-                found[kind].append(part.select(["run", "lp"] if kind == 0 else ["text", "c"]))
+                block, found, table, words = b, {RUN: [], WORD: []}, None, None
+            if kind == RUN:
+                found[RUN].append([np.array(part.column(c)) for c in ("number", "lp")])
                 continue
             if table is None:
-                runs = pa.Table.from_batches(found[0])
-                table = _Table(runs.column("run").to_numpy(), runs.column("lp").to_numpy())
-                listed = pa.Table.from_batches(found[1])
-                words = _WordCounts(pa.concat_arrays([x.cast(pa.large_binary()) for x in listed.column("text").chunks]),
-                                    listed.column("c").to_numpy())
-                found = {0: [], 1: []}
+                # the runs are all there: their table before the words come
+                table = _Table(*(np.concatenate(x) for x in zip(*found.pop(RUN))))
+            if kind == WORD:
+                # a slice would hold its whole batch
+                found[WORD].append((pa.concat_arrays([part.column("text").cast(pa.large_binary()), pa.array([], pa.large_binary())]),
+                                    np.array(part.column("number"))))
+                continue
+            if words is None:
+                texts, counts = zip(*found.pop(WORD))
+                words = _WordCounts(pa.concat_arrays(texts), np.concatenate(counts))
+                del texts, counts
             for i, j, s in _streams(part, SLICE):
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").slice(i, j - i), part.column("held_out").slice(i, j - i),
+                    [part.column("number").slice(i, j - i), pa.array(np.full(j - i, kind == HELD_OUT)),
                      *(pa.array(x) for x in _texts(s, table, words))], names)
 
 
@@ -528,15 +559,17 @@ def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     total = counted.where("one").agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
     train, kinds = total[0] or 0, total[1] or 0
 
-    def rows(frame: DataFrame, kind: int, given: dict[str, Column]) -> DataFrame:
-        types = {"run": "bigint", "lp": "double", "c": "bigint", "text": "binary", "doc_id": "bigint", "held_out": "boolean"}
-        return frame.select("block", F.lit(kind).alias("kind"),
-                            *((given[c] if c in given else F.lit(None)).cast(t).alias(c) for c, t in types.items()))
+    def rows(frame: DataFrame, kind: Column, given: dict[str, str | Column]) -> DataFrame:
+        types = {"number": "bigint", "lp": "double", "text": "binary"}
+        return frame.select("block", kind.alias("kind"),
+                            *((F.col(given[c]) if isinstance(given.get(c), str) else given.get(c, F.lit(None))).cast(t).alias(c)
+                              for c, t in types.items()))
 
     answers = asked.where(F.col("run").isNotNull()).select("block", "run").join(lp, "run")
-    every = (rows(answers, 0, {"run": F.col("run"), "lp": F.col("lp")})
-             .unionByName(rows(counted, 1, {"text": F.col("word"), "c": F.col("c")}))
-             .unionByName(rows(dealt, 2, {"text": F.encode("text", "UTF-8"), "doc_id": F.col("doc_id"), "held_out": F.col("held_out")})))
+    every = (rows(answers, F.lit(RUN), {"number": "run", "lp": "lp"})
+             .unionByName(rows(counted, F.lit(WORD), {"number": "c", "text": "word"}))
+             .unionByName(rows(dealt, F.when(F.col("held_out"), HELD_OUT).otherwise(LEARNT),
+                               {"number": "doc_id", "text": F.encode("text", "UTF-8")})))
     scored = every.repartitionById(n, "block").sortWithinPartitions("block", "kind").mapInArrow(_score, SCORED)
     base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(train + 0.1 * (kinds + 1)))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train).cast("bigint").alias("train_tokens"),

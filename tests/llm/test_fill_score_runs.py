@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from functools import lru_cache
 
@@ -303,3 +304,31 @@ def test_words_that_share_a_hash_are_told_apart(spark, monkeypatch):
     monkeypatch.setattr(context_tree, "_hashes", lambda data, offsets: np.zeros(len(offsets) - 1, np.int64))
     assert context_tree._WordCounts(words, counts).get(s)[1:].tolist() == [7, 5, 7, 3, 2]
     assert len(key(context_tree.scores(docs))) == 50
+
+
+def test_byte_run_counts_hold_little():
+    """Counts of many parts, beyond 16 bits too, in memory that follows the distinct keys."""
+    rng = np.random.default_rng(4)
+    pool = np.unique(rng.integers(0, 1 << 48, 600_000))
+    counts = context_tree._Counts()
+    want = np.zeros(len(pool), np.int64)
+    parts = []
+    for k in range(60):
+        at = np.sort(rng.choice(len(pool), 40_000, replace=False))
+        n = rng.integers(0, 9, len(at))
+        n[k] = 200_000
+        want[at] += n
+        parts.append((pool[at], n))
+    seen = np.zeros(len(pool), bool)
+    for keys, _ in parts:
+        seen[np.searchsorted(pool, keys)] = True
+    tracemalloc.start()
+    try:
+        for keys, n in parts:
+            counts.add(keys, n)
+        got = counts.merge()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.array_equal(got[0], pool[seen]) and np.array_equal(got[1], want[seen])
+    assert peak < 80 * len(pool)
