@@ -729,3 +729,50 @@ def test_lines_around_one_passage_take_no_time_each():
                               lambda i, j: np.ones(np.broadcast_shapes(i.shape, j.shape), dtype=bool))
     assert time.process_time() - began < 8
     assert {*a.tolist(), *b.tolist()} == {0, 250, 251} and len(a) == 2
+
+
+def test_line_signatures_equal_plain_ones():
+    """SimHash and marks of lines, also very long ones, as counted bit by bit."""
+    rng = np.random.default_rng(8)
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        x ^= x >> 32
+        for _ in range(2):
+            x = x * 0xD6E8FEB86659FD93 & mask
+            x ^= x >> 32
+        return x
+
+    lines = [b"", b"abc", b"abcd", b"abcdefghi", b"abcdefghij", bytes(rng.integers(97, 123, 3000).astype(np.uint8))]
+    lines += [bytes(rng.integers(97, 100, k).astype(np.uint8)) for k in range(1, 40)]
+    data = np.frombuffer(b"".join(lines), np.uint8)
+    sim, marks, sketch = line_dedup.signatures(data, np.repeat(np.arange(len(lines)), [len(x) for x in lines]), len(lines))
+    for k, x in enumerate(lines):
+        four = {mix(int.from_bytes(x[i:i + 4], "little") * 0x9E3779B97F4A7C15 & mask) for i in range(len(x) - 3)}
+        some = {mix(h >> 20) for h in four if h & 3 == 0}
+        bits = [sum(h.to_bytes(8, "little")[j // 8] >> (7 - j % 8) & 1 for h in some) * 2 > len(some) for j in range(64)]
+        assert int(sim[k]) == int.from_bytes(np.packbits(bits).tobytes(), "little")
+        least = {}
+        for i in range(len(x) - 9):
+            h = mix(mix(int.from_bytes(x[i:i + 8], "little")) + int.from_bytes(x[i + 6:i + 10], "little") * 0xC2B2AE3D27D4EB4F & mask)
+            least[h >> 61] = min(least.get(h >> 61, mask), h)
+        want = [least[j] >> 20 & 0xFFFFFFFF if j in least else 0 for j in range(8)]
+        assert marks[k].tolist() == want
+        assert sketch[k:k + 1].view(np.uint8).tolist() == [m & 255 for m in want]
+    # more words than a 16-bit counter counts
+    words = rng.integers(0, 1 << 64, 70_000, dtype=np.uint64) | np.uint64(1 << 40)
+    bounds = np.array([0, 0, 69_990, 70_000])
+    got = line_dedup.majority(words, bounds)
+    for a, b, x in zip(bounds, bounds[1:], got.tolist()):
+        assert [x >> k & 1 for k in range(64)] == [int(2 * int((words[a:b] >> np.uint64(k) & np.uint64(1)).sum()) > b - a) for k in range(64)]
+
+
+def test_line_candidates_by_words_equal_bytes():
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 1 << 64, (300, 2), dtype=np.uint64)
+    y = x ^ np.where(rng.random((300, 2)) < 0.9, rng.integers(0, 1 << 64, (300, 2), dtype=np.uint64)
+                     & rng.integers(0, 1 << 64, (300, 2), dtype=np.uint64) & rng.integers(0, 1 << 64, (300, 2), dtype=np.uint64), np.uint64(0))
+    y[:, 1] ^= np.uint64(0x0100) ^ (rng.integers(0, 256, 300).astype(np.uint64) << np.uint64(56))
+    same = ((x[:, 1] ^ y[:, 1])[:, None].view(np.uint8) == 0).sum(axis=1)
+    want = (same >= line_dedup.SAME) & (np.bitwise_count(x[:, 0] ^ y[:, 0]) <= line_dedup.BITS_APART)
+    assert 0 < want.sum() < 300 and np.array_equal(line_dedup.alike(x, y), want)
