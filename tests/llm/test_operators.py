@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import time
+import tracemalloc
 import zlib
 from fractions import Fraction
 
@@ -776,3 +777,23 @@ def test_line_candidates_by_words_equal_bytes():
     same = ((x[:, 1] ^ y[:, 1])[:, None].view(np.uint8) == 0).sum(axis=1)
     want = (same >= line_dedup.SAME) & (np.bitwise_count(x[:, 0] ^ y[:, 0]) <= line_dedup.BITS_APART)
     assert 0 < want.sum() < 300 and np.array_equal(line_dedup.alike(x, y), want)
+
+
+def test_bigrams_of_many_lines_take_little_memory():
+    """Counted some lines at a time, also lines longer than that and empty ones."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdefgh é😀", k=rng.choice((0, 1, 2, 30, 300, 900)))) for _ in range(6000)]
+    texts[7] = "xy" * 200_000
+    chars = sum(map(len, texts))
+    tracemalloc.start()
+    try:
+        lines = edit_pairs.Texts(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 24 * chars + 20_000_000
+    for k in (0, 7, 8, 2500, 5999):
+        want = np.zeros(256, np.int64)
+        for a, b in zip(texts[k], texts[k][1:]):
+            want[(ord(a) * 31 + ord(b)) % (1 << 32) % 256] += 1
+        assert lines.grams[k].tolist() == np.minimum(want, 32000).tolist()
