@@ -713,6 +713,52 @@ def test_edit_distances_of_many_pairs_at_once(monkeypatch):
         assert lines.within(i, j, most).tolist() == want
 
 
+def test_bounds_of_several_words_are_exact():
+    """Long pairs, with distances about the bound and about what fits in a word,
+    taken many at once and one at a time; what the work grows with is the columns."""
+    rng = random.Random(14)
+    texts, most = [], []
+    for n in (64, 200, 330, 330, 700, 1300) * 40:
+        x = [rng.choice("abcdeé ") for _ in range(n)]
+        texts.append("".join(x))
+        for _ in range(rng.choice([1, 3, n // 20, n // 6])):
+            k = rng.randrange(len(x) + 1)
+            x[k:k + rng.randrange(3)] = rng.choice(["", "a", "bx", "é"])
+        texts.append("".join(x))
+        d = line_dedup.edit_distance(*texts[-2:])
+        most.append(max(0, rng.choice([d - 1, d, d + 1, 63, 64, 127, 128, n // 5])))
+    lines, i = edit_pairs.Texts(texts), np.arange(0, len(texts), 2)
+    want = [line_dedup.edit_distance(texts[a], texts[a + 1]) <= k for a, k in zip(i.tolist(), most)]
+    assert 20 < sum(want) < len(want) - 20
+    assert lines.within(i, i + 1, np.array(most)).tolist() == want
+    assert [edit_pairs.within_one(texts[a + 1], texts[a], k) for a, k in zip(i.tolist(), most)] == want
+
+
+def test_line_buckets_hold_no_more_marks_than_needed(spark, monkeypatch):
+    """Of three equal marks one is among any six: a line comes under six of its
+    eight, unless it lacks one; pairs with just three equal marks are still found."""
+    seen = []
+    bucket_edges = groups.bucket_edges
+    monkeypatch.setattr(groups, "bucket_edges", lambda rows, *rest: seen.append(rows) or bucket_edges(rows, *rest))
+    rng = random.Random(15)
+    lines = [" ".join("".join(rng.choice("aeinrst") for _ in range(7)) for _ in range(40)) for _ in range(30)]
+    near = [x[:150] + "".join(rng.choice("aeinrst") for _ in range(40)) + x[190:] for x in lines]
+    docs = spark.createDataFrame([(k, x) for k, x in enumerate(lines + near)], "doc_id bigint, text string")
+    dropped = [r["doc_id"] for r in line_dedup.query(docs).where("n_kept = 0").collect()]
+    found = {(int(k) - 30) for k in dropped}
+    rows = seen[0].selectExpr("id", "pmod(key, 8) AS k").collect()
+    assert len(rows) == 6 * 60 and {r["k"] for r in rows} == set(range(6))
+    buffer = "\n".join(lines + near).encode()
+    data = np.frombuffer(buffer.replace(b"\n", b" ") + b" ", np.uint8)
+    size = [len(x) + 1 for x in lines + near]
+    sim, marks, sketch = line_dedup.signatures(data, np.repeat(np.arange(60), size), 60)
+    bits = np.stack([sim, sketch], axis=1)
+    same = (marks[:30] == marks[30:]).sum(axis=1)
+    want = {k for k in range(30) if same[k] >= line_dedup.SAME and line_dedup.alike(bits[k], bits[30 + k])
+            and line_dedup.similar(lines[k], near[k])}
+    assert want and want <= found
+
+
 def test_lines_around_one_passage_take_no_time_each():
     """A block of long lines that share half of their text and are not similar:
     each pair once took a millisecond, half a minute together."""
