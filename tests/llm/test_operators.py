@@ -11,7 +11,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
-from quarry.llm import (bpe, edit_pairs, fingerprints, groups, line_crf, line_dedup, mixing, ngram_join, pii, quality_rules,
+from quarry.llm import (bpe, bytescan, edit_pairs, fingerprints, groups, line_crf, line_dedup, mixing, ngram_join, pii, quality_rules,
                         sharding, toxicity)
 from quarry.llm.common import table
 
@@ -734,6 +734,14 @@ def test_bounds_of_several_words_are_exact():
     assert [edit_pairs.within_one(texts[a + 1], texts[a], k) for a, k in zip(i.tolist(), most)] == want
 
 
+def test_mixed_hashes_of_any_shape_are_those_of_each_number(monkeypatch):
+    x = np.arange(60, dtype=np.uint64).reshape(12, 5) * np.uint64(0x9E3779B97F4A7C15)
+    want = [[int(bytescan.mix(np.array([v]))[0]) for v in row] for row in x]
+    monkeypatch.setattr(bytescan, "MIXED", 7)
+    assert bytescan.mix(x).tolist() == want and bytescan.mix(x.T).T.tolist() == want
+    assert len({v for row in want for v in row}) == 60 and bytescan.mix(x[:0]).shape == (0, 5)
+
+
 def test_line_buckets_hold_no_more_marks_than_needed(spark, monkeypatch):
     """Of three equal marks one is among any six: a line comes under six of its
     eight, unless it lacks one; pairs with just three equal marks are still found."""
