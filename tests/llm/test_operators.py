@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import time
 import tracemalloc
@@ -851,3 +852,81 @@ def test_bigrams_of_many_lines_take_little_memory():
         for a, b in zip(texts[k], texts[k][1:]):
             want[(ord(a) * 31 + ord(b)) % (1 << 32) % 256] += 1
         assert lines.grams[k].tolist() == np.minimum(want, 32000).tolist()
+
+
+def sketches(rng, n: int, kinds: int) -> list[int]:
+    """Words of eight bytes that have few values each, so that many have some in common."""
+    return [int.from_bytes(bytes(rng.randrange(kinds) for _ in range(8)), "little", signed=True) for _ in range(n)]
+
+
+def equal_bytes(x: int, y: int) -> int:
+    return sum(a == b for a, b in zip(*(z.to_bytes(8, "little", signed=True) for z in (x, y))))
+
+
+@pytest.mark.parametrize("bucket_rows", [None, 100])
+def test_large_buckets_are_compared_by_bytes_of_their_sketches(spark, bucket_rows):
+    """Compared in the task, and dealt out to several before: the near pairs connect the same rows."""
+    rng = random.Random(21)
+    base = rng.randrange(1 << 62)
+    marks = [x & ~0xFFFF | 5 | rng.choice([x & 0xFF00, 256]) for x in sketches(rng, 700, 90)]      # byte 0 is equal, 1 often
+    sims = [base ^ sum(1 << b for b in rng.sample(range(62), rng.randrange(4, 28))) for _ in marks]
+    rows = [(8 * 77, k, sims[k], marks[k]) for k in range(700)]
+    words = np.array([[s, m] for s, m in zip(sims, marks)], dtype=np.int64).view(np.uint64)
+    near = line_dedup.alike(words[:, None, :], words[None, :, :])
+    got = groups.bucket_edges(spark.createDataFrame(rows, "key bigint, id bigint, sim bigint, sketch bigint"), ["sim", "sketch"],
+                              line_dedup.alike, bucket_rows, "sketch", line_dedup.SAME)
+    comp = np.arange(700)
+    while not np.array_equal(least := np.where(near, comp[None, :], 700).min(axis=1), comp):
+        comp = least
+    want = {k: int(c) for k, c in enumerate(comp) if (comp == c).sum() > 1}
+    assert 100 < len(want) < 700 and {r["id"]: r["comp"] for r in groups.components(got).collect()} == want
+
+
+def test_large_components_fall_into_blocks_by_bytes(spark):
+    """Pairs with three equal bytes meet, in few rows; a component of near copies is
+    dealt in pairs of parts still, and one that fits a block is not dealt."""
+    rng = random.Random(22)
+    rows = [(k, 7, x) for k, x in enumerate(sketches(rng, 900, 24))]
+    copies = [(1000 + k, 8, x) for k, x in enumerate([rng.randrange(1 << 60)] * 90)]
+    small_ones = [(2000 + k, 9, x) for k, x in enumerate(sketches(rng, 30, 24))]
+    schema = "id bigint, comp bigint, sketch bigint"
+    got = groups.sketch_blocks(spark.createDataFrame(rows + copies + small_ones, schema), 32, 3).collect()
+    assert {r["comp"] for r in got} == {7, 8}
+    blocks = collections.defaultdict(set)
+    for r in got:
+        blocks[r["comp"], r["block"]].add(r["id"])
+    meet = {p for b in blocks.values() for p in itertools.combinations(sorted(b), 2)}
+    assert {(i, j) for (i, _, x), (j, _, y) in itertools.combinations(rows, 2) if equal_bytes(x, y) >= 3} <= meet
+    assert set(itertools.combinations(range(1000, 1090), 2)) <= meet
+    # pairs of parts took 56 rows of each: 900 * 2 / 32 parts
+    assert max(map(len, blocks.values())) <= 64 and sum(r["comp"] == 7 for r in got) <= 36 * 900
+    assert groups.sketch_blocks(spark.createDataFrame(small_ones, schema), 32, 3) is None
+
+
+def test_lines_of_a_long_chain_are_compared_in_few_blocks(spark, monkeypatch):
+    """Every line is near the next ones only, and all make one component: the rows
+    that are compared once grew with its square."""
+    rng = random.Random(23)
+    text = "".join(rng.choice("aeinrst ") for _ in range(12_000))
+    docs = spark.createDataFrame([(k, "x" + text[15 * k:15 * k + 300] + "x") for k in range(700)], "doc_id bigint, text string")
+    seen = []
+    compare_blocks = groups.compare_blocks
+    monkeypatch.setattr(groups, "compare_blocks", lambda rows, *rest, **more: seen.append(rows) or compare_blocks(rows, *rest, **more))
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", 16)
+    kept = [r["doc_id"] for r in line_dedup.query(docs).where("n_kept > 0").collect()]
+    assert kept == [0]
+    lines = seen[-1].selectExpr("count(*)", "count(distinct id)", "count(distinct comp)").first()
+    assert lines[1:] == (700, 1) and lines[0] <= 36 * 700      # in pairs of parts 86 times 700
+
+
+def test_unlike_lengths_are_no_candidates():
+    x = np.array([[5, 5, n] for n in (100, 80, 79, 125, 126, line_dedup.UNKNOWN)], dtype=np.uint64)
+    assert line_dedup.alike(x[:1], x).all()
+    assert line_dedup.may_link(x[:1], x).tolist() == [True, True, False, True, False, True]
+    assert line_dedup.may_link(x, x[:1]).tolist() == [True, True, False, True, False, True]
+
+
+def test_blocks_without_candidates_have_no_edges():
+    none = lambda i, j: np.zeros(np.broadcast_shapes(i.shape, j.shape), dtype=bool)       # noqa: E731
+    a, b = edit_pairs.forest(np.arange(19), np.array([0, 3, 10]), none, lambda i, j: np.ones(len(i), dtype=bool))
+    assert not len(a) and not len(b)
